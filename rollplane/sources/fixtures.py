@@ -128,6 +128,11 @@ SELECT event_id AS uid, user_id AS instance_id, ts, value / 500 AS reward,
        CASE WHEN event_type = 'error' THEN 'abort' WHEN event_type = 'view' THEN 'length' ELSE 'stop' END AS finish_reason,
        event_type
 FROM events""",
+    "tok": """
+SELECT group_index, idx_in_group, reward, response_length,
+       unnest(range(response_length)) AS t, unnest(loss_mask) AS m, unnest(log_probs) AS lp,
+       unnest(rollout_log_probs) AS olp, unnest(ref_log_probs) AS rlp, unnest("values") AS v
+FROM token_rows""",
     "vectors": """
 SELECT vec_id, CAST(embedding AS DOUBLE[]) AS embedding, label FROM embeddings""",
 }
@@ -136,6 +141,7 @@ SELECT vec_id, CAST(embedding AS DOUBLE[]) AS embedding, label FROM embeddings""
 FIXTURE_DEPS: dict[str, tuple[str, ...]] = {
     "samples_n4": ("samples",),
     "token_rows": ("samples",),
+    "tok": ("token_rows",),
 }
 
 
