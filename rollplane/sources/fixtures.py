@@ -53,6 +53,7 @@ def token_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr(f"transform({seq}, t -> -CAST(({g} * 31 + {i} * 17 + t * 7 + 3) % 97 AS DOUBLE) / 50)").alias("rollout_log_probs"),
         F.expr(f"transform({seq}, t -> -CAST(({g} * 13 + {i} * 11 + t * 5) % 89 AS DOUBLE) / 50)").alias("ref_log_probs"),
         F.expr(f"transform({seq}, t -> CAST(({g} * 7 + {i} * 3 + t) % 21 - 10 AS DOUBLE) / 10)").alias("values"),
+        F.expr(f"transform({seq}, t -> CAST(({g} * 7 + {i} * 3 + t * 11) % 1000 + 1 AS INT))").alias("tokens"),
     )
 
 
@@ -115,7 +116,8 @@ SELECT group_index, idx_in_group, reward, status, response_length, dense_reward,
   list_transform(range(response_length), lambda t: -CAST((group_index * 31 + idx_in_group * 17 + t * 7) % 97 AS DOUBLE) / 50) AS log_probs,
   list_transform(range(response_length), lambda t: -CAST((group_index * 31 + idx_in_group * 17 + t * 7 + 3) % 97 AS DOUBLE) / 50) AS rollout_log_probs,
   list_transform(range(response_length), lambda t: -CAST((group_index * 13 + idx_in_group * 11 + t * 5) % 89 AS DOUBLE) / 50) AS ref_log_probs,
-  list_transform(range(response_length), lambda t: CAST((group_index * 7 + idx_in_group * 3 + t) % 21 - 10 AS DOUBLE) / 10) AS "values"
+  list_transform(range(response_length), lambda t: CAST((group_index * 7 + idx_in_group * 3 + t) % 21 - 10 AS DOUBLE) / 10) AS "values",
+  list_transform(range(response_length), lambda t: CAST((group_index * 7 + idx_in_group * 3 + t * 11) % 1000 + 1 AS INTEGER)) AS tokens
 FROM samples""",
     "prompts": """
 SELECT d.doc_id AS question_id, d.text AS prompt, CAST(l.quality AS VARCHAR) AS label, d.lang, d.source
@@ -131,8 +133,14 @@ FROM events""",
     "tok": """
 SELECT group_index, idx_in_group, reward, response_length,
        unnest(range(response_length)) AS t, unnest(loss_mask) AS m, unnest(log_probs) AS lp,
-       unnest(rollout_log_probs) AS olp, unnest(ref_log_probs) AS rlp, unnest("values") AS v
+       unnest(rollout_log_probs) AS olp, unnest(ref_log_probs) AS rlp, unnest("values") AS v,
+       unnest(tokens) AS tk
 FROM token_rows""",
+    "chat_msgs": r"""
+SELECT conv_id, turn, role, text, step_loss_mask,
+       list_filter(regexp_split_to_array('<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10), '\s+'),
+                   lambda w: w <> '') AS words
+FROM chat""",
     "vectors": """
 SELECT vec_id, CAST(embedding AS DOUBLE[]) AS embedding, label FROM embeddings""",
 }
@@ -142,6 +150,7 @@ FIXTURE_DEPS: dict[str, tuple[str, ...]] = {
     "samples_n4": ("samples",),
     "token_rows": ("samples",),
     "tok": ("token_rows",),
+    "chat_msgs": ("chat",),
 }
 
 
