@@ -68,3 +68,28 @@ def attach_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
     return (df.withColumn("_one", F.lit(1))
               .join(F.broadcast(one_row.withColumn("_one", F.lit(1))), "_one")
               .drop("_one"))
+
+
+def global_cumsum(df: DataFrame, order_cols: Sequence[str | Column], value: str | Column, name: str = "cumsum",
+                  num_partitions: int | None = None) -> DataFrame:
+    """Inclusive running sum of ``value`` in a total order: range partitions
+    are checkpointed, summed (one row per partition), the partition
+    offsets broadcast and added to a per-partition running sum."""
+    spark = df.sparkSession
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    order = _cols(order_cols)
+    v = F.col(value) if isinstance(value, str) else value
+    tagged = (df.withColumn("_cs_v", v)
+                .repartitionByRange(n, *order).sortWithinPartitions(*order)
+                .withColumn("_cs_mid", F.monotonically_increasing_id()))
+    ensure_checkpoint_dir(spark)
+    tagged = tagged.checkpoint(eager=True).withColumn("_cs_pid", F.shiftright("_cs_mid", 33))
+    sums = tagged.groupBy("_cs_pid").agg(F.sum("_cs_v").alias("_cs_tot"))
+    offsets = sums.select("_cs_pid", F.coalesce(F.sum("_cs_tot").over(
+        W.orderBy("_cs_pid").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_cs_off"))
+    local = F.sum("_cs_v").over(W.partitionBy("_cs_pid").orderBy("_cs_mid")
+                                 .rowsBetween(W.unboundedPreceding, W.currentRow))
+    return (tagged.withColumn("_cs_loc", local)
+                  .join(F.broadcast(offsets), "_cs_pid")
+                  .withColumn(name, F.col("_cs_off") + F.col("_cs_loc"))
+                  .drop("_cs_v", "_cs_mid", "_cs_pid", "_cs_loc", "_cs_off"))
