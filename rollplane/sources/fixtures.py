@@ -85,6 +85,36 @@ def buffer_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_type")
 
 
+# ----------------------------------------------------------- F6 graded
+def graded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Synthesised responses with labels and grader types (6 kinds by line
+    number; every third part key gets a wrong label)."""
+    s = samples(spark, sf_dir)
+    part = read_table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_name", "p_brand")
+    j = s.join(part, "l_partkey")
+    q = F.col("response_length").cast("string")
+    kind = F.col("l_linenumber") % 6
+    wrong = (F.col("l_partkey") % 3) == 0
+    letter = F.char(F.lit(65) + F.col("l_partkey") % 4)
+    other = F.char(F.lit(65) + (F.col("l_partkey") + 1) % 4)
+    boxed = F.when(F.col("l_partkey") % 5 == 0, F.concat(F.lit("\\frac{"), q, F.lit("}{1}"))).otherwise(q)
+    resp = (F.when(kind == 0, F.concat(F.lit("<think>compute "), F.col("p_name"), F.lit("</think> so x = \\boxed{"), boxed, F.lit("}")))
+             .when(kind == 1, F.concat(F.lit("Working: "), F.col("p_name"), F.lit("\nAnswer: "), q, F.lit(",000")))
+             .when(kind == 2, F.concat(F.lit("After checking, the answer is ("), F.when(wrong, other).otherwise(letter), F.lit(")")))
+             .when(kind == 3, F.concat(F.lit("<search>"), F.col("p_name"), F.lit("</search>")))
+             .when(kind == 4, F.concat(F.lit('<tool_call>{"name":"code_interpreter","arguments":{"code":"print('), q,
+                                       F.lit(')"}}</tool_call>')))
+             .otherwise(F.concat(F.lit("The "), F.col("p_name"))))
+    qn = F.col("response_length") + F.when(wrong, 1).otherwise(0)
+    label = (F.when(kind.isin(0, 4), qn.cast("string"))
+              .when(kind == 1, (qn * 1000).cast("string"))
+              .when(kind == 2, letter)
+              .otherwise(F.when(wrong, F.col("p_brand")).otherwise(F.col("p_name"))))
+    rm = (F.when(kind == 0, "boxed_f1").when(kind.isin(1, 4), "dapo").when(kind == 2, "gpqa").otherwise("f1"))
+    return j.select("group_index", "idx_in_group", kind.alias("kind"), resp.alias("response"), label.alias("label"),
+                    rm.alias("rm_type"), "p_name")
+
+
 # -------------------------------------------------------------- F7 vectors
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = read_table(spark, sf_dir, "embeddings")
@@ -141,6 +171,24 @@ SELECT conv_id, turn, role, text, step_loss_mask,
        list_filter(regexp_split_to_array('<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10), '\s+'),
                    lambda w: w <> '') AS words
 FROM chat""",
+    "graded": r"""
+SELECT group_index, idx_in_group, kind,
+       CASE kind WHEN 0 THEN '<think>compute ' || p_name || '</think> so x = \boxed{' ||
+                             (CASE WHEN l_partkey % 5 = 0 THEN '\frac{' || q || '}{1}' ELSE q END) || '}'
+                 WHEN 1 THEN 'Working: ' || p_name || chr(10) || 'Answer: ' || q || ',000'
+                 WHEN 2 THEN 'After checking, the answer is (' || (CASE WHEN wrong THEN other ELSE letter END) || ')'
+                 WHEN 3 THEN '<search>' || p_name || '</search>'
+                 WHEN 4 THEN '<tool_call>{"name":"code_interpreter","arguments":{"code":"print(' || q || ')"}}</tool_call>'
+                 ELSE 'The ' || p_name END AS response,
+       CASE WHEN kind IN (0, 4) THEN CAST(qn AS VARCHAR) WHEN kind = 1 THEN CAST(qn * 1000 AS VARCHAR)
+            WHEN kind = 2 THEN letter WHEN wrong THEN p_brand ELSE p_name END AS label,
+       CASE WHEN kind = 0 THEN 'boxed_f1' WHEN kind IN (1, 4) THEN 'dapo' WHEN kind = 2 THEN 'gpqa' ELSE 'f1' END AS rm_type,
+       p_name
+FROM (SELECT s.*, p.p_name, p.p_brand, s.l_linenumber % 6 AS kind, CAST(s.response_length AS VARCHAR) AS q,
+             s.l_partkey % 3 = 0 AS wrong, chr(CAST(65 + s.l_partkey % 4 AS INTEGER)) AS letter,
+             chr(CAST(65 + (s.l_partkey + 1) % 4 AS INTEGER)) AS other,
+             s.response_length + CASE WHEN s.l_partkey % 3 = 0 THEN 1 ELSE 0 END AS qn
+      FROM samples s JOIN part p ON s.l_partkey = p.p_partkey) x""",
     "vectors": """
 SELECT vec_id, CAST(embedding AS DOUBLE[]) AS embedding, label FROM embeddings""",
 }
@@ -151,6 +199,7 @@ FIXTURE_DEPS: dict[str, tuple[str, ...]] = {
     "token_rows": ("samples",),
     "tok": ("token_rows",),
     "chat_msgs": ("chat",),
+    "graded": ("samples",),
 }
 
 
