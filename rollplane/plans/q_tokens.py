@@ -387,11 +387,11 @@ def q_multi_turn_stats(spark, sf):
 
 
 # E13 ------------------------------------------------------------------------
-@register("masked_whiten", W("""
+@register("masked_whiten", W(f"""
 , st AS (SELECT sum(v * m) / sum(m) AS mu, sum(v * v * m) / sum(m) AS q, sum(m) AS n FROM tok),
 pr AS (SELECT mu, CASE WHEN n >= 2 THEN (q - mu * mu) * n / (n - 1) ELSE q - mu * mu END AS var FROM st),
 x AS (SELECT tok.*, (v - mu) / sqrt(var + 1e-8) AS w FROM tok, pr)
-SELECT group_index, idx_in_group, round(sum(w), 6) AS w_sum, round(sum(w * (t + 1)), 6) AS w_wsum
+SELECT group_index, idx_in_group, {sig_sql('w', 'w')}
 FROM x GROUP BY group_index, idx_in_group""", "tok"))
 def q_masked_whiten(spark, sf):
     w = TK.masked_whiten(_tok(spark, sf), "values", "loss_mask", out_col="w")
