@@ -81,10 +81,24 @@ def zeros_like(arr: ColumnOrName) -> Column:
 
 
 # ------------------------------------------------------ suffix recurrences
-def suffix_scan(x: ColumnOrName, w: float | Column) -> Column:
-    """y_t = x_t + w * y_{t+1} (y after the end = 0), one fold over the
-    reversed array.  Row-local; fine for responses of a few thousand
-    tokens — longer trajectories use ``operators.tokens.gae_chunked``."""
+def suffix_scan(x: ColumnOrName, w: float) -> Column:
+    """y_t = x_t + w * y_{t+1} (y after the end = 0) as a log-depth parallel
+    scan: pass s adds w^(2^s) * y_{t+2^s}.  Only positive powers of w appear
+    (no underflowing w^-t rescaling) and a row of T tokens costs exactly
+    ceil(log2 T) array passes."""
+    arr = _c(x)
+    passes = F.ceil(F.log2(F.greatest(F.size(arr), F.lit(2)))).cast("int")
+    init = F.struct(arr.alias("y"), F.lit(1).alias("step"), lit(w).alias("wp"))
+
+    def one_pass(acc, _):
+        y = F.transform(acc["y"], lambda e, i: e + acc["wp"] * F.coalesce(F.get(acc["y"], i + acc["step"]), F.lit(0.0)))
+        return F.struct(y.alias("y"), (acc["step"] * 2).alias("step"), (acc["wp"] * acc["wp"]).alias("wp"))
+
+    return F.aggregate(F.sequence(F.lit(1), passes), init, one_pass, lambda acc: acc["y"])
+
+
+def suffix_scan_fold(x: ColumnOrName, w: float | Column) -> Column:
+    """Sequential twin of ``suffix_scan`` (one fold over the reversed array)."""
     wc = w if isinstance(w, Column) else lit(w)
     init = F.struct(F.lit(0.0).alias("run"), F.array().cast("array<double>").alias("out"))
 
@@ -112,8 +126,10 @@ def rpp_returns(reward: ColumnOrName, kl: ColumnOrName, mask: ColumnOrName, kl_c
                 gamma: float) -> Column:
     """H3 REINFORCE++: token reward -kl_coef*kl, plus the sequence reward at
     the last masked-in token; discounted suffix sum with gamma."""
-    last = last_masked_index(mask)
-    tok = F.transform(_c(kl), lambda k, i: lit(-kl_coef) * k + F.when(i == last, _c(reward)).otherwise(0.0))
+    from .text import let
+    tok = let(lambda v: F.transform(v["kl"], lambda k, i: lit(-kl_coef) * k + F.when(i == v["last"], v["r"])
+                                    .otherwise(0.0)),
+              kl=_c(kl), last=last_masked_index(mask), r=_c(reward).cast("double"))
     return suffix_scan(tok, gamma)
 
 
@@ -125,8 +141,10 @@ def rpp_baseline_adv(reward: ColumnOrName, kl: ColumnOrName, kl_coef: float) ->
 def kl_shaped_rewards(reward: ColumnOrName, kl: ColumnOrName, kl_coef: float) -> Column:
     """H7 PPO: -kl_coef*kl per token, plus the reward on the last position
     (the mask is ignored here)."""
-    n = F.size(_c(kl))
-    return F.transform(_c(kl), lambda k, i: lit(-kl_coef) * k + F.when(i == n - 1, _c(reward)).otherwise(0.0))
+    from .text import let
+    return let(lambda v: F.transform(v["kl"], lambda k, i: lit(-kl_coef) * k + F.when(i == F.size(v["kl"]) - 1, v["r"])
+                                     .otherwise(0.0)),
+               kl=_c(kl), r=_c(reward).cast("double"))
 
 
 def gae(rewards: ColumnOrName, values: ColumnOrName, gamma: float, lambd: float) -> Column:

@@ -100,13 +100,19 @@ def bm25_terms(text: Column | str) -> Column:
     return F.filter(F.split(F.lower(c), r"[^\p{L}\p{N}]+"), lambda w: w != "")
 
 
-def bm25_index(corpus: DataFrame, *, d_id: str, text: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(postings(term, doc, tf, dl), df(term, df), stats(n_docs, avgdl))."""
+def bm25_index(corpus: DataFrame, *, d_id: str, text: str,
+               vocabulary: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(postings(term, doc, tf, dl), df(term, df), stats(n_docs, avgdl)).
+    With ``vocabulary`` (a one-column ``term`` frame) postings and document
+    frequencies are built only for those terms (a semi join before the
+    aggregation); lengths and N still count every token."""
     toks = corpus.select(F.col(d_id).alias("doc"), bm25_terms(text).alias("_t"))
     dl = toks.select("doc", F.size("_t").alias("dl"))
-    post = (toks.select("doc", F.explode("_t").alias("term"))
-                .groupBy("term", "doc").agg(F.count(F.lit(1)).alias("tf"))
-                .join(dl, "doc"))
+    exploded = toks.select("doc", F.explode("_t").alias("term"))
+    if vocabulary is not None:
+        exploded = exploded.join(vocabulary, "term", "left_semi")
+    post = (exploded.groupBy("term", "doc").agg(F.count(F.lit(1)).alias("tf"))
+                    .join(dl, "doc"))
     dfreq = post.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     stats = dl.agg(F.count(F.lit(1)).alias("n_docs"), F.avg("dl").alias("avgdl"))
     return post, dfreq, stats
@@ -118,14 +124,16 @@ def bm25_topk(queries: DataFrame, corpus: DataFrame, k: int, *, q_id: str, q_tex
     idf = ln(1 + (N - df + 0.5) / (df + 0.5)); fewer than k rows when fewer
     documents match; ties by smaller doc id.  Returns (q_id, rank, d_id,
     score)."""
-    post, dfreq, stats = bm25_index(corpus, d_id=d_id, text=d_text)
     qt = queries.select(F.col(q_id).alias("qid"), F.explode(F.array_distinct(bm25_terms(q_text))).alias("term"))
+    post, dfreq, stats = bm25_index(corpus, d_id=d_id, text=d_text, vocabulary=qt.select("term").distinct())
     weighted = attach_scalars(dfreq, stats).select(
         "term", F.log(1 + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"), "avgdl")
     contrib = (qt.join(weighted, "term").join(post, "term")
                  .select("qid", "doc", (F.col("idf") * F.col("tf") * (k1 + 1) /
                                         (F.col("tf") + k1 * (1 - b + b * F.col("dl") / F.col("avgdl")))).alias("s")))
     scores = contrib.groupBy("qid", "doc").agg(F.sum("s").alias("score"))
+    # row_number <= k over a query partition: Spark pushes a partial
+    # per-partition group limit below the shuffle (WindowGroupLimit)
     w = W.partitionBy("qid").orderBy(F.round("score", 6).desc(), F.col("doc"))
     top = scores.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
     return top.select(F.col("qid").alias(q_id), "rank", F.col("doc").alias(d_id), "score")

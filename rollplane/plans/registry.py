@@ -8,8 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import functools
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..session import configure
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -18,10 +22,16 @@ def register(name: str, sql: str | None = None):
     def deco(fn: Callable[[SparkSession, str], DataFrame]):
         if name in QUERIES:
             raise ValueError(f"duplicate query {name}")
-        QUERIES[name] = fn
+
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            configure(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = positive_zero_rounds(sql)
-        return fn
+        return run
     return deco
 
 

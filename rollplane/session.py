@@ -26,11 +26,34 @@ SQL_OPTIONS = {
 
 def configure(spark: SparkSession) -> SparkSession:
     for k, v in SQL_OPTIONS.items():
-        spark.conf.set(k, v)
+        if spark.conf.get(k, None) != v:
+            spark.conf.set(k, v)
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make the package importable in Python workers (pandas functions run
+    there): zip it once per application and add it with ``addPyFile``."""
+    import zipfile
+    from pathlib import Path
+
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg = Path(__file__).resolve().parent
+    zpath = Path(tempfile.mkdtemp(prefix="rollplane-py-")) / "rollplane.zip"
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in pkg.rglob("*.py"):
+            z.write(f, f.relative_to(pkg.parent))
+    sc.addPyFile(str(zpath))
+    _SHIPPED.add(sc.applicationId)
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "rollplane", driver_memory: str = "8g") -> SparkSession:
     """Session for tests and the local bench (UI off, no extra ports)."""
