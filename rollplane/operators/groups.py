@@ -159,3 +159,19 @@ def zero_std_counts(df: DataFrame, *, group_cols: Sequence[str] = GROUP_COLS, re
     if estimator == "ppo":
         out = out.filter(F.lit(False))
     return out
+
+
+# C11 ------------------------------------------------------------------------
+def staleness_filter(df: DataFrame, *, current: DataFrame, max_lag: int, max_versions: int | None = None,
+                     group_cols: Sequence[str] = GROUP_COLS, rollout_col: str = "rollout_id") -> DataFrame:
+    """Keep buffered groups first generated at most ``max_lag`` rollouts
+    before the current one (``current``: one-row frame with ``current``)
+    and, optionally, spanning at most ``max_versions`` weight versions."""
+    from ..plans.ordering import attach_scalars
+    g = df.groupBy(*_g(group_cols)).agg(F.min(rollout_col).alias("_start"),
+                                        F.count_distinct(rollout_col).alias("_nv"))
+    g = attach_scalars(g, current)
+    keep = (F.col("current") - F.col("_start")) <= max_lag
+    if max_versions is not None:
+        keep = keep & (F.col("_nv") <= max_versions)
+    return df.join(g.filter(keep).select(*_g(group_cols)), _g(group_cols), "left_semi")

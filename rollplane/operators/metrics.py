@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Sequence
 
+import pandas as pd
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..plans.ordering import attach_scalars
@@ -85,3 +88,81 @@ def weighted_meta_merge(df: DataFrame, *, keys: Sequence[str], weight_col: str,
     return df.groupBy(*keys).agg(
         F.sum(w).alias(weight_col),
         *[(F.sum(F.col(c) * w) / F.nullif(F.sum(w), F.lit(0))).alias(c) for c in value_cols])
+
+
+# E8 -------------------------------------------------------------------------
+def eval_summary(df: DataFrame, *, dataset_col: str, reward: Column, status_col: str = "status",
+                 length: Column | None = None, prefix: str = "eval/") -> DataFrame:
+    """Per dataset: mean reward, truncated ratio and mean response length as
+    a long table ``(dataset, key, value)`` with keys ``<prefix><ds>/<name>``
+    (one aggregation pass, then an unpivot)."""
+    aggs = [F.avg(reward).alias("reward"),
+            F.avg((F.col(status_col) == "truncated").cast("double")).alias("truncated_ratio")]
+    if length is not None:
+        aggs.append(F.avg(length).alias("response_len_mean"))
+    wide = df.groupBy(dataset_col).agg(*aggs)
+    names = [a for a in ("reward", "truncated_ratio", "response_len_mean") if a in wide.columns]
+    kv = F.explode(F.array(*[F.struct(F.lit(n).alias("name"), F.col(n).cast("double").alias("value")) for n in names]))
+    long = wide.select(dataset_col, kv.alias("_kv"))
+    return long.select(dataset_col, F.concat(F.lit(prefix), F.col(dataset_col).cast("string"), F.lit("/"),
+                                             F.col("_kv.name")).alias("key"), F.col("_kv.value").alias("value"))
+
+
+# C10 ------------------------------------------------------------------------
+def metric_gate(metrics: DataFrame, *, key: str, threshold: float, key_col: str = "key",
+                value_col: str = "value", by: Sequence[str] = ()) -> DataFrame:
+    """Pass when the metric reached the threshold at any evaluation."""
+    return (metrics.filter(F.col(key_col) == key).groupBy(*by)
+                   .agg(F.bool_or(F.col(value_col) >= threshold).alias("passed"),
+                        F.max(value_col).alias("best")))
+
+
+# E14 ------------------------------------------------------------------------
+def rank_mean_reduce(df: DataFrame, *, rank_col: str, value: Column, weighted: bool = False) -> DataFrame:
+    """Mean over ranks of the per-rank means (or the sample-weighted mean)."""
+    per = df.groupBy(rank_col).agg(F.avg(value).alias("_m"), F.count(F.lit(1)).alias("_n"))
+    if weighted:
+        return per.agg((F.sum(F.col("_m") * F.col("_n")) / F.sum("_n")).alias("value"))
+    return per.agg(F.avg("_m").alias("value"))
+
+
+# E15 ------------------------------------------------------------------------
+def step_metric_reduce(df: DataFrame, *, step_col: str, metrics: dict[str, Column], denom: Column) -> DataFrame:
+    """Per train step: sum(metric) / sum(samples or tokens)."""
+    return df.groupBy(step_col).agg(*[(F.sum(c) / F.sum(denom)).alias(k) for k, c in metrics.items()])
+
+
+# E16 ------------------------------------------------------------------------
+def throughput(df: DataFrame, *, rollout_col: str, length: Column, rollout_time: Column | float,
+               num_gpus: int | None) -> DataFrame:
+    """tokens/gpu/s and longest-sample tokens/s per rollout."""
+    t = rollout_time if isinstance(rollout_time, Column) else F.lit(float(rollout_time))
+    agg = df.groupBy(rollout_col).agg(F.sum(length).alias("_tok"), F.max(length).alias("_max"))
+    cols = [rollout_col, (F.col("_max") / t).alias("longest_sample_tokens_per_sec")]
+    if num_gpus:
+        cols.append((F.col("_tok") / t / num_gpus).alias("tokens_per_gpu_per_sec"))
+    return agg.select(*cols)
+
+
+# E7 -------------------------------------------------------------------------
+def _is_repetitive(t) -> bool:
+    if t is None or len(t) <= 10000:
+        return False
+    raw = t[-10000:].encode("utf-8")
+    return len(raw) / len(zlib.compress(raw, 9)) > 10
+
+
+def _repetitive_batch(texts: pd.Series) -> pd.Series:
+    return texts.map(_is_repetitive)
+
+
+def _repetitive_udf():
+    return F.pandas_udf(_repetitive_batch, "boolean")
+
+
+def has_repetition(text: Column | str) -> Column:
+    """Text longer than 10 000 characters whose last 10 000 compress more
+    than 10x with zlib level 9 (Arrow-batched pandas function; only texts
+    longer than the limit are compressed)."""
+    c = F.col(text) if isinstance(text, str) else text
+    return F.when(F.length(c) > 10000, _repetitive_udf()(c)).otherwise(F.lit(False))

@@ -344,3 +344,50 @@ def append_turns(turns: Column | str, tokenizer: Tokenizer = word_tokens) -> Col
     mask = F.flatten(F.transform(per, lambda p: F.array_repeat(F.when(p["model"], 1).otherwise(0), F.size(p["tok"]))))
     return F.struct(toks.alias("tokens"), mask.alias("loss_mask"),
                     F.transform(mask, lambda m: F.lit(0.0)).alias("obs_log_probs"))
+
+
+# B24 ------------------------------------------------------------------------
+def sampling_seed(seed: int, position: Column | str) -> Column:
+    """Per-sample seed = base seed + position inside its group."""
+    return F.lit(seed) + _c(position)
+
+
+# B25 ------------------------------------------------------------------------
+TOOL_CALL_RE = r"(?s)<tool_call>(.*?)</tool_call>"
+
+
+def tool_calls(text: Column | str) -> Column:
+    """Parsed tool calls of a response: array<struct<name, code, valid>>."""
+    blocks = F.regexp_extract_all(_c(text), F.lit(TOOL_CALL_RE), 1)
+    return F.transform(blocks, lambda b: F.struct(
+        F.get_json_object(b, "$.name").alias("name"),
+        F.get_json_object(b, "$.arguments.code").alias("code"),
+        F.get_json_object(b, "$.name").isNotNull().alias("valid")))
+
+
+def tool_call_action(text: Column | str, default: str = "respond") -> Column:
+    """First parsed call's name; no call or unparsable JSON -> default."""
+    first = F.get(tool_calls(text), 0)
+    return F.when(first.isNotNull() & first["valid"], first["name"]).otherwise(F.lit(default))
+
+
+# T25 ------------------------------------------------------------------------
+def token_delta(df: DataFrame, *, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
+                text_col: str = "text", tokenizer: Tokenizer = word_tokens) -> DataFrame:
+    """Per message: the text added to the rendered conversation by that
+    message = render(messages[:i+1]) minus render(messages[:i]), found by
+    the running rendered length; tokens of the delta, mask 1 only for
+    assistant messages."""
+    from pyspark.sql import Window as W
+    rendered = chatml_message(F.col(role_col), F.col(text_col))
+    w = W.partitionBy(conv_col).orderBy(turn_col).rowsBetween(W.unboundedPreceding, -1)
+    msgs = df.select(conv_col, turn_col, role_col, rendered.alias("_r"))
+    full = msgs.groupBy(conv_col).agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(turn_col, "_r"))), lambda e: e["_r"]), "")
+        .alias("_full"))
+    pos = msgs.withColumn("_start", F.coalesce(F.sum(F.length("_r")).over(w), F.lit(0)))
+    j = pos.join(full, conv_col)
+    delta = F.substring(F.col("_full"), F.col("_start") + 1, F.length("_r"))
+    toks = tokenizer(delta)
+    return j.select(conv_col, turn_col, role_col, delta.alias("delta"), toks.alias("tokens"),
+                    F.array_repeat(F.when(F.col(role_col) == "assistant", 1).otherwise(0), F.size(toks)).alias("loss_mask"))

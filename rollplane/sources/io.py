@@ -161,3 +161,18 @@ def read_corpus(df: DataFrame, *, id_col: str = "id", contents_col: str = "conte
     return df.select(F.col(id_col).alias("id"), F.substring_index(c, "\n", 1).alias("title"),
                      F.when(F.instr(c, "\n") > 0, F.expr(f"substr({contents_col}, instr({contents_col}, '\n') + 1)"))
                       .otherwise(F.lit("")).alias("text"), c.alias("contents"))
+
+
+def subsample_ends_by(df: DataFrame, ratio: float, *, key_cols: Sequence[str], order_cols: Sequence[str]) -> DataFrame:
+    """``subsample_ends`` per key (e.g. per rollout id): first k//2 and last
+    k - k//2 rows of each key, k = int(n_key * ratio); keys with k = 0 keep
+    nothing.  Positions come from the distributed index, counts from one
+    aggregate per key."""
+    from ..plans.ordering import index_within_group
+    g = index_within_group(df, list(key_cols), list(order_cols), "_ss")
+    n = df.groupBy(*key_cols).agg(F.count(F.lit(1)).alias("_n"))
+    k = F.floor(F.col("_n") * ratio).cast("bigint")
+    head = F.floor(k / 2).cast("bigint")
+    return (g.join(n, list(key_cols))
+             .filter((k > 0) & ((F.col("_ss") < head) | (F.col("_ss") >= F.col("_n") - (k - head))))
+             .drop("_ss", "_n"))

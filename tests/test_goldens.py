@@ -145,3 +145,36 @@ def test_read_prompts_jsonl_and_slice(spark, tmp_path):
     assert dict(df.dtypes)["label"] == "string"
     with pytest.raises(ValueError):
         io.read_prompts(spark, str(tmp_path / "x.csv"))
+
+
+def test_repetition_flag_matches_python(spark):
+    import zlib
+
+    import pyarrow.parquet as pq
+
+    from conftest import SF_SMALL
+    from rollplane.operators.metrics import has_repetition
+
+    docs = pq.read_table(f"{SF_SMALL}/documents.parquet").to_pylist()
+
+    def expect(t):
+        if len(t) <= 10000:
+            return False
+        raw = t[-10000:].encode("utf-8")
+        return len(raw) / len(zlib.compress(raw, 9)) > 10
+
+    df = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    got = {r["doc_id"]: r["rep"] for r in df.select("doc_id", has_repetition("text").alias("rep")).collect()}
+    assert got == {d["doc_id"]: expect(d["text"]) for d in docs}
+
+
+def test_group_reward_hook(spark):
+    from rollplane.operators import hooks as H
+    df = spark.createDataFrame([(1, 5), (1, 3), (1, 5), (2, 7)], "g int, x int")
+
+    def rank_reward(pdf):
+        s = pdf.groupby("g")["x"]
+        return s.rank(method="min") / s.transform("size")
+
+    got = sorted((r["g"], r["x"], r["reward"]) for r in H.group_reward(df, rank_reward, group_cols=["g"]).collect())
+    assert got == [(1, 3, 1 / 3), (1, 5, 2 / 3), (1, 5, 2 / 3), (2, 7, 1.0)]
