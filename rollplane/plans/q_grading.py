@@ -286,3 +286,23 @@ def q_snippet_segments(spark, sf):
     d = read_table(spark, sf, "documents")
     s = TX.snippet_segments("text")
     return d.select("doc_id", F.size(s).alias("n_segments"), F.md5(F.array_join(s, "|")).alias("segments_md5"))
+
+
+# C6 -------------------------------------------------------------------------
+def _code_safety_sql(x: str) -> str:
+    parts = [f"CASE WHEN regexp_matches({x}, {q('(?i)' + p)}) THEN {q('Code contains dangerous pattern: ' + p)} END"
+             for p in TX.DANGEROUS_CODE_PATTERNS]
+    allowed = "[" + ", ".join(q(m) for m in TX.ALLOWED_MODULES) + "]"
+    mods = (f"list_concat(regexp_extract_all({x}, {q(r'import\s+(\w+)')}, 1), "
+            f"regexp_extract_all({x}, {q(r'from\s+(\w+)')}, 1))")
+    bad = f"list_filter({mods}, lambda m: NOT list_contains({allowed}, m))[1]"
+    parts.append(f"CASE WHEN {bad} IS NOT NULL THEN 'Import of ''' || {bad} || ''' is not allowed' END")
+    return "coalesce(" + ", ".join(parts) + ")"
+
+
+@register("code_safety_filter", f"""
+SELECT page_id, r IS NULL AS safe, coalesce(r, 'Code is safe') AS reason
+FROM (SELECT page_id, {_code_safety_sql('html')} AS r FROM pages) x""")
+def q_code_safety_filter(spark, sf):
+    p = read_table(spark, sf, "pages").select("page_id", "html")
+    return TX.code_safety_filter(p, "html").select("page_id", "safe", "reason")

@@ -178,3 +178,13 @@ def test_group_reward_hook(spark):
 
     got = sorted((r["g"], r["x"], r["reward"]) for r in H.group_reward(df, rank_reward, group_cols=["g"]).collect())
     assert got == [(1, 3, 1 / 3), (1, 5, 2 / 3), (1, 5, 2 / 3), (2, 7, 1.0)]
+
+
+def test_code_safety(spark):
+    df = spark.createDataFrame([("import os\nx=1",), ("import math\nfrom numpy import x",), ("y = 2",),
+                                ("x.__class__",)], "code string")
+    got = [(r["safe"], r["reason"]) for r in TX.code_safety_filter(df, "code").collect()]
+    assert got[0] == (False, r"Code contains dangerous pattern: import\s+os")
+    assert got[1] == (False, "Import of 'x' is not allowed")
+    assert got[2] == (True, "Code is safe")
+    assert got[3][0] is False
