@@ -175,3 +175,11 @@ def staleness_filter(df: DataFrame, *, current: DataFrame, max_lag: int, max_ver
     if max_versions is not None:
         keep = keep & (F.col("_nv") <= max_versions)
     return df.join(g.filter(keep).select(*_g(group_cols)), _g(group_cols), "left_semi")
+
+
+# C12 ------------------------------------------------------------------------
+def grade_pending(df: DataFrame, grader, *, reward_col: str = "reward") -> DataFrame:
+    """Grade only rows without a reward (``grader``: DataFrame -> DataFrame
+    that sets ``reward_col``); rows already graded pass through."""
+    todo = grader(df.filter(F.col(reward_col).isNull()))
+    return df.filter(F.col(reward_col).isNotNull()).unionByName(todo.select(*df.columns))

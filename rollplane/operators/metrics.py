@@ -166,3 +166,13 @@ def has_repetition(text: Column | str) -> Column:
     longer than the limit are compressed)."""
     c = F.col(text) if isinstance(text, str) else text
     return F.when(F.length(c) > 10000, _repetitive_udf()(c)).otherwise(F.lit(False))
+
+
+# E22 ------------------------------------------------------------------------
+def rollout_step(rollout_id: Column, *, rollout_batch_size: int, n_samples: int, global_batch_size: int,
+                 use_train_step: bool = True) -> Column:
+    """Logging step of a rollout: rollout_id * batch * n // global batch
+    (or the rollout id itself)."""
+    if not use_train_step:
+        return rollout_id.cast("bigint")
+    return F.floor(rollout_id * (rollout_batch_size * n_samples) / global_batch_size).cast("bigint")

@@ -14,6 +14,7 @@ from ..sources.fixtures import with_fixtures as W
 from ..sources.tables import read_table
 from ..streaming.buffer import run_dir
 from .ordering import global_index
+from .q_grading import F1_FROM_PARTS, f1_sql_subquery
 from .registry import r6, register
 
 MONTH_SQL = "((year(finished_at) - 1992) * 12 + month(finished_at) - 1)"
@@ -320,3 +321,73 @@ def q_custom_filter(spark, sf):
 
     _, drops = H.custom_filter(s, verdict, group_cols=["group_index"])
     return drops.select("reason", F.col("n_groups").cast("bigint"))
+
+
+# A5 -------------------------------------------------------------------------
+@register("dump_train_data", W(f"""
+SELECT CAST({MONTH_SQL} AS INTEGER) AS rollout_id, CAST((row_number() OVER (ORDER BY group_index, idx_in_group) - 1) % 4 AS INTEGER) AS "rank",
+       group_index, idx_in_group, response_length
+FROM samples""", "samples"))
+def q_dump_train_data(spark, sf):
+    s = FX.samples(spark, sf).select("group_index", "idx_in_group", "response_length", _month().alias("rollout_id"))
+    s = global_index(s, ["group_index", "idx_in_group"], "_i").withColumn("rank", F.pmod("_i", F.lit(4)).cast("int"))
+    path = run_dir(spark, "train_dump")
+    io.dump_train_data(s.drop("_i"), path)
+    back = spark.read.parquet(path)
+    return back.select(F.col("rollout_id").cast("int"), F.col("rank").cast("int"), "group_index", "idx_in_group",
+                       "response_length")
+
+
+# A6 -------------------------------------------------------------------------
+@register("scan_dumps", W(f"""
+SELECT CAST({MONTH_SQL} AS INTEGER) AS rollout_id, group_index, idx_in_group,
+       '{{"group_index":' || CAST(group_index AS VARCHAR) || ',"status":"' || status || '","response_length":' ||
+       CAST(response_length AS VARCHAR) || '}}' AS sample_json
+FROM samples WHERE status IN ('completed', 'truncated')""", "samples"))
+def q_scan_dumps(spark, sf):
+    s = FX.samples(spark, sf).select("group_index", "idx_in_group", "status", "response_length", "reward",
+                                     _month().alias("rollout_id"))
+    path = run_dir(spark, "scan_dumps")
+    io.dump_samples(s.withColumn("category", F.when(F.col("status") == "aborted", "eval").otherwise("train")), path)
+    return io.scan_dumps(spark, path, categories=["train"], whitelist=["group_index", "status", "response_length"])
+
+
+# A7 -------------------------------------------------------------------------
+@register("write_dataset", W("""
+SELECT question_id, prompt, label FROM prompts""", "prompts"))
+def q_write_dataset(spark, sf):
+    p = FX.prompts(spark, sf).select("question_id", "prompt", "label")
+    path = run_dir(spark, "dataset") + "/prompts.jsonl"
+    io.write_dataset(p, path)
+    back = io.read_prompts(spark, path, schema="question_id long, prompt string, label string")
+    return back.select("question_id", "prompt", "label")
+
+
+# C12 ------------------------------------------------------------------------
+@register("pending_reward_only", W(f"""
+, f AS ({f1_sql_subquery('graded', 'response', 'label', 'group_index, idx_in_group')})
+SELECT x.group_index, x.idx_in_group,
+       CASE WHEN x.status IN ('completed', 'truncated') AND x.kind % 2 = 0 THEN 1.0 ELSE round({F1_FROM_PARTS}, 6) END AS reward
+FROM (SELECT g.group_index, g.idx_in_group, g.kind, sm.status FROM graded g JOIN samples sm USING (group_index, idx_in_group)) x
+JOIN f ON f.group_index = x.group_index AND f.idx_in_group = x.idx_in_group""", "graded"))
+def q_pending_reward_only(spark, sf):
+    g = FX.graded(spark, sf).join(FX.samples(spark, sf).select("group_index", "idx_in_group", "status"),
+                                  ["group_index", "idx_in_group"])
+    existing = F.when(F.col("status").isin("completed", "truncated") & (F.col("kind") % 2 == 0), F.lit(1.0))
+    g = g.withColumn("reward", existing)
+    from ..functions import text as TX
+    out = G.grade_pending(g, lambda d: d.withColumn("reward", TX.f1_grade("response", "label")["f1"]))
+    return out.select("group_index", "idx_in_group", r6("reward").alias("reward"))
+
+
+# E22 ------------------------------------------------------------------------
+@register("rollout_step_id", W("""
+SELECT CAST(r AS BIGINT) AS rollout_id, CAST(r * 32 * 4 // 64 AS BIGINT) AS step, CAST(n // 32 AS BIGINT) AS rollouts_per_epoch
+FROM (SELECT count(*) AS n FROM prompts) c, (SELECT unnest(range((SELECT count(*) FROM prompts) // 32)) AS r) ids""",
+    "prompts"))
+def q_rollout_step_id(spark, sf):
+    n = FX.prompts(spark, sf).agg(F.count(F.lit(1)).alias("n"))
+    per = F.floor(F.col("n") / 32).cast("bigint")
+    ids = n.select(per.alias("rollouts_per_epoch"), F.explode(F.sequence(F.lit(0).cast("bigint"), per - 1)).alias("rollout_id"))
+    return ids.select("rollout_id", M.rollout_step(F.col("rollout_id"), rollout_batch_size=32, n_samples=4,
+                                                   global_batch_size=64).alias("step"), "rollouts_per_epoch")
