@@ -306,3 +306,24 @@ FROM (SELECT page_id, {_code_safety_sql('html')} AS r FROM pages) x""")
 def q_code_safety_filter(spark, sf):
     p = read_table(spark, sf, "pages").select("page_id", "html")
     return TX.code_safety_filter(p, "html").select("page_id", "safe", "reason")
+
+
+# T11 ------------------------------------------------------------------------
+_TAGSEQ_RE = "^<think></think>(<search></search><information></information><think></think>)*<answer></answer>$"
+
+
+@register("search_format_valid", W(f"""
+SELECT conv_id,
+       coalesce(regexp_matches(transcript, '<\\|im_start\\|>assistant')
+                AND regexp_matches(array_to_string(tags, ''), '{_TAGSEQ_RE}')
+                AND len(list_filter(list_zip(tags, segs[1:len(tags)]),
+                                    lambda p: p[1][2] <> '/' AND NOT regexp_matches(p[2], '^\\s*$'))) = 0
+                AND regexp_matches(segs[-1], '^\\s*$'), false) AS valid
+FROM (SELECT conv_id, transcript, regexp_extract_all(c, '{TX.SEARCH_TAG_RE}') AS tags,
+             regexp_split_to_array(c, '{TX.SEARCH_TAG_RE}') AS segs
+      FROM (SELECT conv_id, transcript,
+                   regexp_extract(transcript, '(?s)<\\|im_start\\|>assistant\\s*(.*)', 1) AS c FROM transcripts) a) b""",
+    "transcripts"))
+def q_search_format_valid(spark, sf):
+    t = FX.transcripts(spark, sf)
+    return t.select("conv_id", TX.search_format_valid("transcript")["valid"].alias("valid"))

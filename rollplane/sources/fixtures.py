@@ -115,6 +115,23 @@ def graded(spark: SparkSession, sf_dir: str) -> DataFrame:
                     rm.alias("rm_type"), "p_name")
 
 
+# ------------------------------------------------------- search transcripts
+def transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One search-agent transcript per conversation, built from its first
+    three turns in four shapes by conv_id mod 4 (valid direct answer, valid
+    search round, stray text between tags, unbalanced think)."""
+    c = read_table(spark, sf_dir, "conversations")
+    t = c.groupBy("conv_id").agg(*[F.max(F.when(F.col("turn") == i, F.col("text"))).alias(f"t{i}") for i in range(3)])
+    t0, t1, t2 = F.col("t0"), F.coalesce(F.col("t1"), F.lit("")), F.coalesce(F.col("t2"), F.lit(""))
+    k = F.col("conv_id") % 4
+    body = (F.when(k == 0, F.concat(F.lit("<think>"), t0, F.lit("</think>\n<answer>"), t1, F.lit("</answer>")))
+             .when(k == 1, F.concat(F.lit("<think>"), t0, F.lit("</think><search>"), t1, F.lit("</search>\n<information>"),
+                                    t2, F.lit("</information><think>ok</think><answer>"), t1, F.lit("</answer>")))
+             .when(k == 2, F.concat(F.lit("<think>"), t0, F.lit("</think> stray "), F.lit("<answer>"), t1, F.lit("</answer>")))
+             .otherwise(F.concat(F.lit("<think>"), t0, F.lit("<answer>"), t1, F.lit("</answer>"))))
+    return t.select("conv_id", F.concat(F.lit("<|im_start|>assistant\n"), body).alias("transcript"))
+
+
 # -------------------------------------------------------------- F7 vectors
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = read_table(spark, sf_dir, "embeddings")
@@ -189,6 +206,17 @@ FROM (SELECT s.*, p.p_name, p.p_brand, s.l_linenumber % 6 AS kind, CAST(s.respon
              chr(CAST(65 + (s.l_partkey + 1) % 4 AS INTEGER)) AS other,
              s.response_length + CASE WHEN s.l_partkey % 3 = 0 THEN 1 ELSE 0 END AS qn
       FROM samples s JOIN part p ON s.l_partkey = p.p_partkey) x""",
+    "transcripts": r"""
+SELECT conv_id, '<|im_start|>assistant' || chr(10) ||
+  CASE conv_id % 4
+    WHEN 0 THEN '<think>' || t0 || '</think>' || chr(10) || '<answer>' || t1 || '</answer>'
+    WHEN 1 THEN '<think>' || t0 || '</think><search>' || t1 || '</search>' || chr(10) || '<information>' || t2 ||
+                '</information><think>ok</think><answer>' || t1 || '</answer>'
+    WHEN 2 THEN '<think>' || t0 || '</think> stray <answer>' || t1 || '</answer>'
+    ELSE '<think>' || t0 || '<answer>' || t1 || '</answer>' END AS transcript
+FROM (SELECT conv_id, max(CASE WHEN turn = 0 THEN text END) AS t0, coalesce(max(CASE WHEN turn = 1 THEN text END), '') AS t1,
+             coalesce(max(CASE WHEN turn = 2 THEN text END), '') AS t2
+      FROM conversations GROUP BY conv_id) x""",
     "vectors": """
 SELECT vec_id, CAST(embedding AS DOUBLE[]) AS embedding, label FROM embeddings""",
 }

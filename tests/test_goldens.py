@@ -188,3 +188,19 @@ def test_code_safety(spark):
     assert got[1] == (False, "Import of 'x' is not allowed")
     assert got[2] == (True, "Code is safe")
     assert got[3][0] is False
+
+
+def test_search_format_reasons(spark):
+    df = spark.createDataFrame([
+        ("<|im_start|>assistant\n<think>a</think>\n<answer>b</answer>",),
+        ("<|im_start|>assistant\n<think>a</think> stray <answer>b</answer>",),
+        ("<|im_start|>assistant\n<think>a<answer>b</answer>",),
+        ("<think>a</think><answer>b</answer>",),
+        ("<|im_start|>assistant\n<think>a</think><search>q</search>",),
+    ], "t string")
+    got = [(r["v"]["valid"], r["v"]["reason"]) for r in df.select(TX.search_format_valid("t").alias("v")).collect()]
+    assert got[0] == (True, "Valid sequence format")
+    assert got[1] == (False, "Unexpected content 'stray' between tags (state: after_think)")
+    assert got[2] == (False, "Mismatch in think tags: 1 opening vs 0 closing tags")
+    assert got[3] == (False, "Missing assistant marker")
+    assert got[4] == (False, "Incomplete sequence, ended in state after_search")
