@@ -183,3 +183,24 @@ def grade_pending(df: DataFrame, grader, *, reward_col: str = "reward") -> DataF
     that sets ``reward_col``); rows already graded pass through."""
     todo = grader(df.filter(F.col(reward_col).isNull()))
     return df.filter(F.col(reward_col).isNotNull()).unionByName(todo.select(*df.columns))
+
+
+# D9 / T20 ---------------------------------------------------------------------
+def selector_reward_join(selections: DataFrame, candidates: DataFrame, *, key: str, order_col: str,
+                         text_col: str, reward_col: str, selected_col: str) -> DataFrame:
+    """The selector's reward = reward of the first candidate (in
+    ``order_col``) whose text contains the selected solution; 0 when no
+    selection or no candidate contains it.  A theta join bounded by the key."""
+    j = selections.join(candidates, key).filter(F.col(selected_col).isNotNull() &
+                                                 (F.instr(F.col(text_col), F.col(selected_col)) > 0))
+    first = j.groupBy(key).agg(F.min_by(reward_col, order_col).alias("selector_reward"))
+    return (selections.select(key).join(first, key, "left")
+                      .withColumn("selector_reward", F.coalesce("selector_reward", F.lit(0.0))))
+
+
+def team_reward_adjust(samples: DataFrame, selector: DataFrame, *, key: str, reward_col: str = "reward",
+                       correct_weight: float = 1.2, incorrect_weight: float = 0.8) -> DataFrame:
+    """Scale every reward of an episode by ``correct_weight`` when its
+    selector reward is 1, else by ``incorrect_weight``."""
+    w = F.when(F.col("selector_reward") == 1, F.lit(correct_weight)).otherwise(F.lit(incorrect_weight))
+    return samples.join(selector, key).withColumn(reward_col, F.col(reward_col) * w)

@@ -176,3 +176,23 @@ def rollout_step(rollout_id: Column, *, rollout_batch_size: int, n_samples: int,
     if not use_train_step:
         return rollout_id.cast("bigint")
     return F.floor(rollout_id * (rollout_batch_size * n_samples) / global_batch_size).cast("bigint")
+
+
+# E18 ------------------------------------------------------------------------
+def forward_flops(seqlen: Column, *, hidden: int, heads: int, kv_groups: int, ffn: int, layers: int, vocab: int,
+                  moe_ffn: int | None = None, moe_layers: int = 0) -> Column:
+    """Forward FLOPs of one sequence (exact integer arithmetic): per layer
+    q/kv projections 2*s*h*d*(heads + 2*kv_groups), attention 4*heads*s^2*d,
+    output 2*s*h^2, gated MLP 6*s*h*ffn; plus the LM head 2*s*h*vocab.  MoE
+    layers use ``moe_ffn`` (routed top-k width plus shared experts)."""
+    s = seqlen.cast("bigint")
+    d = hidden // heads
+
+    def layer(f: int) -> Column:
+        return (F.lit(2 * hidden * d * (heads + 2 * kv_groups)) * s + F.lit(4 * heads * d) * s * s
+                + F.lit(2 * hidden * hidden) * s + F.lit(6 * hidden * f) * s)
+
+    total = layer(ffn) * F.lit(layers - moe_layers) + F.lit(2 * hidden * vocab) * s
+    if moe_layers:
+        total = total + layer(moe_ffn) * F.lit(moe_layers)
+    return total

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import q_balance, q_grading, q_groups, q_prompts, q_cache, q_extra, q_retrieve, q_sampling, q_streaming, q_tokens  # noqa: F401  (registration side effects)
+from . import (  # noqa: F401  (registration side effects)
+    q_agents, q_balance, q_cache, q_extra, q_grading, q_groups, q_prompts, q_retrieve, q_sampling, q_streaming, q_tokens,
+)
 from .registry import ORACLE, QUERIES, r6
 
 __all__ = ["QUERIES", "ORACLE", "flagship"]

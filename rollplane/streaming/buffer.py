@@ -175,3 +175,25 @@ def stream_metrics(items: DataFrame, spark: SparkSession, *, window: str = "1 da
     hist = spark.read.parquet(out)
     last = hist.groupBy("window_start").agg(F.max("batch_id").alias("batch_id"))
     return hist.join(last, ["window_start", "batch_id"]).drop("batch_id")
+
+
+def filter_groups_stream(groups: DataFrame, spark: SparkSession, name: str = "filter_refill"
+                         ) -> tuple[DataFrame, DataFrame]:
+    """The dynamic filter applied to each micro-batch of emitted groups
+    (groups keep zero-variance rewards out of training); kept members and
+    per-batch drop counts by reason are appended to two sinks and read back."""
+    from ..operators import groups as G
+    base = run_dir(spark, name)
+    kept_path, drop_path = f"{base}/kept", f"{base}/drops"
+    keys = ("instance_id", "group_seq")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        G.nonzero_std_filter(batch, group_cols=keys).write.mode("append").parquet(kept_path)
+        (G.filter_drop_reasons(batch, group_cols=keys).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+          .write.mode("append").parquet(drop_path))
+
+    q = (groups.writeStream.foreachBatch(write).option("checkpointLocation", f"{base}/_checkpoint")
+               .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return (spark.read.schema(groups.schema).parquet(kept_path),
+            spark.read.schema("reason string, n_groups long, batch_id long").parquet(drop_path))
