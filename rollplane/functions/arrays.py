@@ -42,8 +42,10 @@ def asum(x: ColumnOrName) -> Column:
 
 
 def broadcast_like(value: Column, like: ColumnOrName) -> Column:
-    """Repeat a scalar along an array (``expand_as``)."""
-    return F.transform(_c(like), lambda _: value.cast("double"))
+    """Repeat a scalar along an array (``expand_as``); the scalar is bound
+    once, not re-evaluated per element."""
+    from .text import let
+    return let(lambda v: F.transform(v["arr"], lambda _: v["val"]), val=value.cast("double"), arr=_c(like))
 
 
 def clamp(x: Column, lo: float | None, hi: float | None) -> Column:
@@ -265,10 +267,15 @@ def mis_rejection_veto(train_lp: ColumnOrName, rollout_lp: ColumnOrName, mask: C
         return F.struct(mm.alias("mask"), cat.alias("catastrophic_token"), cat.alias("catastrophic_seq"))
     thr = math.log(veto_threshold)
     cat = F.zip_with(raw, _c(mask), lambda x, k: ((x < thr) & (k != 0)).cast("double"))
-    any_cat = F.exists(cat, lambda c: c > 0)
-    mm = F.transform(mm, lambda k: F.when(any_cat, F.lit(0.0)).otherwise(k))
-    return F.struct(mm.alias("mask"), cat.alias("catastrophic_token"),
-                    broadcast_like(any_cat.cast("double"), raw).alias("catastrophic_seq"))
+    from .text import let
+
+    def veto(v):
+        any_cat = F.exists(v["cat"], lambda c: c > 0)
+        return F.struct(F.transform(v["mm"], lambda k: F.when(any_cat, F.lit(0.0)).otherwise(k)).alias("mask"),
+                        v["cat"].alias("catastrophic_token"),
+                        F.transform(v["cat"], lambda _: any_cat.cast("double")).alias("catastrophic_seq"))
+
+    return let(veto, cat=cat, mm=mm)
 
 
 # ------------------------------------------------------------- H15 metrics

@@ -27,9 +27,10 @@ MAX_BROADCAST_BYTES = 64 << 20
 
 
 def l2_normalize(v: Column | str) -> Column:
+    from ..functions.text import let
     c = F.col(v) if isinstance(v, str) else v
-    norm = F.sqrt(F.aggregate(c, F.lit(0.0), lambda a, x: a + x * x))
-    return F.transform(c, lambda x: x / norm)
+    return let(lambda b: F.transform(b["v"], lambda x: x / b["norm"]),
+               v=c, norm=F.sqrt(F.aggregate(c, F.lit(0.0), lambda a, x: a + x * x)))
 
 
 def mean_vectors(df: DataFrame, *, key: str, vec: str, normalize: bool = True) -> DataFrame:

@@ -138,7 +138,7 @@ def q_dapo_normalize(spark, sf):
 
 # T5 -------------------------------------------------------------------------
 @register("dapo_grade", W(f"""
-SELECT group_index, idx_in_group, CASE WHEN pred = gt THEN 1.0 ELSE -1.0 END AS score, pred = gt AS acc, pred
+SELECT group_index, idx_in_group, CAST(CASE WHEN pred = gt THEN 1.0 ELSE -1.0 END AS DOUBLE) AS score, pred = gt AS acc, pred
 FROM (SELECT group_index, idx_in_group, {dapo_norm_final_sql('pn')} AS pred,
              CAST(CAST(trunc(TRY_CAST({dapo_norm_final_sql('gn')} AS DOUBLE)) AS BIGINT) AS VARCHAR) AS gt
       FROM (SELECT group_index, idx_in_group,
@@ -172,11 +172,11 @@ def choice_norm_sql(x: str) -> str:
 
 CHOICE_SQL = f"""
 SELECT group_index, idx_in_group,
-       CASE WHEN response IS NULL THEN 0.0
+       CAST(CASE WHEN response IS NULL THEN 0.0
             WHEN ext IS NOT NULL AND cl IS NOT NULL THEN CASE WHEN ext = cl THEN 1.0 ELSE 0.0 END
             WHEN {choice_norm_sql('lab')} <> '' AND instr(rn, {choice_norm_sql('lab')}) > 0 THEN 1.0
             WHEN ext IS NOT NULL AND cl IS NULL AND lab <> '' THEN CASE WHEN ext = upper(lab) THEN 1.0 ELSE 0.0 END
-            ELSE 0.0 END AS reward
+            ELSE 0.0 END AS DOUBLE) AS reward
 FROM (SELECT *, CASE WHEN response IS NULL OR response = '' THEN NULL ELSE {letter_sql('st')} END AS ext,
              {choice_norm_sql('st')} AS rn
       FROM (SELECT *, string_split(coalesce(response, ''), '</think>')[-1] AS st, trim(label) AS lab,

@@ -203,7 +203,7 @@ SELECT group_index, idx_in_group,
        round(sum(least(greatest(w0, 0), 2.0) * m * m) / greatest(sum(m), 1), 6) AS trunc_weight,
        round(sum(CASE WHEN w0 > 2.0 THEN 1.0 ELSE 0.0 END * m) / greatest(sum(m), 1), 6) AS trunc_frac_high,
        round(sum(wg * m * m) / greatest(sum(m), 1), 6) AS geo_weight,
-       round(sum(m * CASE WHEN wg >= 0.5 AND wg <= 2.0 THEN 1.0 ELSE 0.0 END), 6) AS geo_mask_sum,
+       round(CAST(sum(m * CASE WHEN wg >= 0.5 AND wg <= 2.0 THEN 1.0 ELSE 0.0 END) AS DOUBLE), 6) AS geo_mask_sum,
        round(sum(CASE WHEN wg < 0.5 THEN 1.0 ELSE 0.0 END * m) / greatest(sum(m), 1), 6) AS geo_frac_low,
        round(sum(CASE WHEN wg > 2.0 THEN 1.0 ELSE 0.0 END * m) / greatest(sum(m), 1), 6) AS geo_frac_high
 FROM x GROUP BY group_index, idx_in_group""", "tok"))
@@ -230,8 +230,8 @@ _VETO = 0.2
                CASE WHEN (lp - olp) < ln({_VETO}) AND m <> 0 THEN 1.0 ELSE 0.0 END AS cat
         FROM tok)
 SELECT group_index, idx_in_group,
-       round(CASE WHEN max(cat) > 0 THEN 0.0 ELSE sum(m * CASE WHEN rs >= 0.5 AND rs <= 2.0 THEN 1.0 ELSE 0.0 END) END, 6) AS mask_sum,
-       round(sum(cat), 6) AS catastrophic_tokens, round(max(cat), 6) AS catastrophic_seq
+       round(CAST(CASE WHEN max(cat) > 0 THEN 0.0 ELSE sum(m * CASE WHEN rs >= 0.5 AND rs <= 2.0 THEN 1.0 ELSE 0.0 END) END AS DOUBLE), 6) AS mask_sum,
+       round(CAST(sum(cat) AS DOUBLE), 6) AS catastrophic_tokens, round(CAST(max(cat) AS DOUBLE), 6) AS catastrophic_seq
 FROM x GROUP BY group_index, idx_in_group""", "tok"))
 def q_mis_rejection_veto(spark, sf):
     t = _tok(spark, sf)
@@ -304,7 +304,7 @@ s AS (SELECT group_index, idx_in_group,
              sum(abs(olp - rlp) * m) / greatest(sum(m), 1) AS ad
       FROM y GROUP BY group_index, idx_in_group)
 SELECT round(avg(pg), 6) AS pg_loss, round(avg(cf), 6) AS pg_clipfrac, round(avg(pk), 6) AS ppo_kl,
-       round(0.0, 6) AS entropy_loss, round(avg(kl), 6) AS kl_loss, round(avg(ois), 6) AS ois,
+       CAST(0.0 AS DOUBLE) AS entropy_loss, round(avg(kl), 6) AS kl_loss, round(avg(ois), 6) AS ois,
        round(avg(tis), 6) AS tis, round(avg(tis_abs), 6) AS tis_abs, round(avg(tcf), 6) AS tis_clipfrac,
        round(avg(ad), 6) AS train_rollout_logprob_abs_diff, round(avg(pg) + 0.01 * avg(kl), 6) AS loss
 FROM s""", "tok"))
