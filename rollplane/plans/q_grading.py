@@ -327,3 +327,50 @@ FROM (SELECT conv_id, transcript, regexp_extract_all(c, '{TX.SEARCH_TAG_RE}') AS
 def q_search_format_valid(spark, sf):
     t = FX.transcripts(spark, sf)
     return t.select("conv_id", TX.search_format_valid("transcript")["valid"].alias("valid"))
+
+
+# T12 ------------------------------------------------------------------------
+_SEARCH_PROMPT = ("<|im_start|>user\nAnswer inside <answer> and </answer>, for example <answer> Beijing </answer>."
+                  "<|im_end|>\n")
+
+
+def _gold_sql() -> str:
+    return "CASE WHEN conv_id % 3 = 0 THEN ['nothing'] ELSE [t1] END"
+
+
+@register("search_em_score", W(f"""
+, v AS (SELECT conv_id, transcript,
+               coalesce(regexp_matches(transcript, '<\\|im_start\\|>assistant')
+                 AND regexp_matches(array_to_string(tags, ''), '{_TAGSEQ_RE}')
+                 AND len(list_filter(list_zip(tags, segs[1:len(tags)]),
+                                     lambda p: p[1][2] <> '/' AND NOT regexp_matches(p[2], '^\\s*$'))) = 0
+                 AND regexp_matches(segs[-1], '^\\s*$'), false) AS valid
+        FROM (SELECT conv_id, transcript, regexp_extract_all(c, '{TX.SEARCH_TAG_RE}') AS tags,
+                     regexp_split_to_array(c, '{TX.SEARCH_TAG_RE}') AS segs
+              FROM (SELECT conv_id, transcript,
+                           regexp_extract(transcript, '(?s)<\\|im_start\\|>assistant\\s*(.*)', 1) AS c FROM transcripts) a) b),
+g AS (SELECT conv_id, coalesce(max(CASE WHEN turn = 1 THEN text END), '') AS t1 FROM conversations GROUP BY conv_id),
+x AS (SELECT v.conv_id, v.valid, {q(_SEARCH_PROMPT)} || v.transcript AS sol,
+             list_transform({_gold_sql()}, lambda a: {norm_sql('a')}) AS gold
+      FROM v JOIN g USING (conv_id)),
+y AS (SELECT *, list_transform(regexp_extract_all(sol, '(?s)<answer>(.*?)</answer>', 1), lambda s: {strip_sql('s')}) AS answers,
+             list_transform(list_transform(regexp_extract_all(sol, '(?s)<information>(.*?)</information>', 1),
+                                           lambda s: {strip_sql('s')}), lambda s: {norm_sql('s')}) AS info
+      FROM x),
+z AS (SELECT *, CASE WHEN len(answers) >= 2 THEN answers[-1] END AS answer,
+             valid AND len(list_filter(info, lambda b: len(list_filter(gold, lambda gg: instr(b, gg) > 0)) > 0)) > 0 AS retrieved
+      FROM y)
+SELECT conv_id,
+       round(CAST(CASE WHEN answer IS NULL THEN CASE WHEN valid THEN CASE WHEN retrieved THEN 0.3 ELSE 0.2 END ELSE 0.0 END
+                       WHEN list_contains(gold, {norm_sql('answer')}) THEN CASE WHEN valid THEN 1.0 ELSE 0.8 END
+                       WHEN valid THEN CASE WHEN retrieved THEN 0.3 ELSE 0.2 END
+                       ELSE 0.1 END AS DOUBLE), 6) AS score
+FROM z""", "transcripts"))
+def q_search_em_score(spark, sf):
+    t = FX.transcripts(spark, sf)
+    c = read_table(spark, sf, "conversations")
+    g = c.groupBy("conv_id").agg(F.coalesce(F.max(F.when(F.col("turn") == 1, F.col("text"))), F.lit("")).alias("t1"))
+    j = t.join(g, "conv_id")
+    gold = F.when(F.col("conv_id") % 3 == 0, F.array(F.lit("nothing"))).otherwise(F.array(F.col("t1")))
+    sol = F.concat(F.lit(_SEARCH_PROMPT), F.col("transcript"))
+    return j.select("conv_id", r6(TX.search_em_score(sol, gold)).alias("score"))
