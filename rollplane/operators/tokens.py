@@ -203,8 +203,108 @@ def mis_batch_normalize(df: DataFrame, weights: str, mask: str = "loss_mask", *,
              .withColumn("batch_norm_factor", factor).drop("_bm"))
 
 
+# token table ----------------------------------------------------------------
+def token_table(df: DataFrame, keys: Sequence[str], arrays: dict[str, str]) -> DataFrame:
+    """One row per token: ``keys`` + ``pos`` + one column per aligned array.
+    Per-token arithmetic on this table runs in whole-stage codegen, and a
+    per-sample aggregation collapses it again before any shuffle (all
+    tokens of a sample sit in the same partition, so the partial
+    aggregate emits one row per sample)."""
+    z = F.arrays_zip(*[F.col(c).alias(n) for n, c in arrays.items()])
+    ex = df.select(*keys, F.posexplode(z).alias("pos", "_e"))
+    return ex.select(*keys, "pos", *[F.col(f"_e.{n}").alias(n) for n in arrays])
+
+
+def _clamp(x: Column, lo: float | None, hi: float | None) -> Column:
+    if lo is not None:
+        x = F.greatest(x, F.lit(float(lo)))
+    if hi is not None:
+        x = F.least(x, F.lit(float(hi)))
+    return x
+
+
+def _token_kl(lp: Column, base: Column, kl_type: str) -> Column:
+    lr = lp - base
+    if kl_type == "k1":
+        return lr
+    if kl_type == "k2":
+        return lr * lr / 2.0
+    k3 = F.exp(-lr) - 1.0 + lr
+    if kl_type == "k3":
+        return k3
+    if kl_type == "low_var_kl":
+        return _clamp(k3, -10.0, 10.0)
+    raise ValueError(f"Unknown kl_loss_type: {kl_type}")
+
+
 # H17 ------------------------------------------------------------------------
 def policy_loss_report(df: DataFrame, *, log_probs: str, old_log_probs: str, advantages: str, mask: str,
+                       eps_clip: float, eps_clip_high: float, entropy: str | None = None,
+                       entropy_coef: float = 0.0, ref_log_probs: str | None = None, kl_loss_coef: float = 0.0,
+                       kl_type: str = "low_var_kl", rollout_log_probs: str | None = None,
+                       use_tis: bool = False, tis_low: float = 0.0, tis_high: float = 2.0,
+                       gspo: bool = False, abs_ppo_kl: bool = False, per_token: bool = False,
+                       keys: Sequence[str] | None = None) -> DataFrame:
+    """One row of loss metrics reduced with ``sum_of_sample_mean`` and divided
+    by the number of samples: pg_loss, pg_clipfrac, ppo_kl, entropy_loss,
+    kl_loss, loss = pg - c_e*entropy + c_kl*kl, train/rollout abs diff and
+    (with TIS) ois, tis, tis_abs, tis_clipfrac.  Computed on the token
+    table (codegen arithmetic + per-sample partial aggregation); GSPO, whose
+    ratio needs a sequence-level KL first, uses the array expressions."""
+    if gspo:
+        return _policy_loss_report_arrays(
+            df, log_probs=log_probs, old_log_probs=old_log_probs, advantages=advantages, mask=mask,
+            eps_clip=eps_clip, eps_clip_high=eps_clip_high, entropy=entropy, entropy_coef=entropy_coef,
+            ref_log_probs=ref_log_probs, kl_loss_coef=kl_loss_coef, kl_type=kl_type,
+            rollout_log_probs=rollout_log_probs, use_tis=use_tis, tis_low=tis_low, tis_high=tis_high, gspo=True,
+            abs_ppo_kl=abs_ppo_kl, per_token=per_token)
+    keys = list(keys) if keys else ["_sample"]
+    src = df if keys != ["_sample"] else df.withColumn("_sample", F.monotonically_increasing_id())
+    arrays = {"lp": log_probs, "olp": old_log_probs, "a": advantages, "m": mask}
+    if ref_log_probs:
+        arrays["rlp"] = ref_log_probs
+    if rollout_log_probs:
+        arrays["rol"] = rollout_log_probs
+    if entropy:
+        arrays["ent"] = entropy
+    tok = token_table(src, keys, arrays)
+    lp, olp, a, m = F.col("lp"), F.col("olp"), F.col("a"), F.col("m").cast("double")
+    kl = olp - lp
+    ratio = F.exp(-kl)
+    p1 = -ratio * a
+    p2 = -_clamp(ratio, 1 - eps_clip, 1 + eps_clip_high) * a
+    pg = F.greatest(p1, p2)
+    per: dict[str, Column] = {}
+    if use_tis and rollout_log_probs:
+        tis = F.exp(olp - F.col("rol"))
+        w = _clamp(tis, tis_low, tis_high)
+        pg = pg * w
+        per["ois"] = ratio
+        per["tis"] = tis
+        per["tis_abs"] = F.exp(F.abs(olp - F.col("rol")))
+        per["tis_clipfrac"] = (w != tis).cast("double")
+    per["pg_loss"] = pg
+    per["pg_clipfrac"] = (p2 > p1).cast("double")
+    per["ppo_kl"] = F.abs(kl) if abs_ppo_kl else kl
+    if entropy:
+        per["entropy_loss"] = F.col("ent")
+    if ref_log_probs:
+        per["kl_loss"] = _token_kl(lp, F.col("rlp"), kl_type)
+    if rollout_log_probs:
+        per["train_rollout_logprob_abs_diff"] = F.abs(olp - F.col("rol"))
+    sums = tok.groupBy(*keys).agg(F.sum(m).alias("_n"), *[F.sum(v * m).alias(k) for k, v in per.items()])
+    denom = F.lit(1.0) if per_token else F.greatest(F.col("_n"), F.lit(1.0))
+    n = F.count(F.lit(1))
+    agg = sums.agg(*[(F.sum(F.col(k) / denom) / n).alias(k) for k in per])
+    if "entropy_loss" not in per:
+        agg = agg.withColumn("entropy_loss", F.lit(0.0))
+    if "kl_loss" not in per:
+        agg = agg.withColumn("kl_loss", F.lit(0.0))
+    return agg.withColumn("loss", F.col("pg_loss") - A.lit(entropy_coef) * F.col("entropy_loss")
+                          + A.lit(kl_loss_coef) * F.col("kl_loss"))
+
+
+def _policy_loss_report_arrays(df: DataFrame, *, log_probs: str, old_log_probs: str, advantages: str, mask: str,
                        eps_clip: float, eps_clip_high: float, entropy: str | None = None,
                        entropy_coef: float = 0.0, ref_log_probs: str | None = None, kl_loss_coef: float = 0.0,
                        kl_type: str = "low_var_kl", rollout_log_probs: str | None = None,

@@ -313,7 +313,7 @@ def q_policy_loss_report(spark, sf):
     rep = TK.policy_loss_report(t, log_probs="log_probs", old_log_probs="rollout_log_probs", advantages="values",
                                 mask="loss_mask", eps_clip=_EPS, eps_clip_high=_EPSH, ref_log_probs="ref_log_probs",
                                 kl_loss_coef=0.01, kl_type="low_var_kl", rollout_log_probs="ref_log_probs",
-                                use_tis=True, tis_low=_TLO, tis_high=_THI)
+                                use_tis=True, tis_low=_TLO, tis_high=_THI, keys=list(KEY))
     return rep.select(*[r6(c).alias(c) for c in rep.columns])
 
 
