@@ -74,3 +74,107 @@ def custom_filter(df: DataFrame, keep_reason: Callable[[DataFrame], Column], *,
 def _length_penalty(reward: Column, length: Column) -> Column:
     """reward - 0.001 * length (a Column hook)."""
     return reward - F.lit(0.001) * length
+
+
+# X3 -------------------------------------------------------------------------
+def remote_reward(df: DataFrame, client: Callable[[list[dict]], list[float]], *, cols: Sequence[str],
+                  out_col: str = "reward", max_retries: int = 3, batch_size: int = 128) -> DataFrame:
+    """Rewards from an external scorer, called once per Arrow batch chunk
+    with the rows' ``cols`` as dicts; failed calls are retried.  The client
+    is injected (tests use a local fake); nothing here opens a connection."""
+    schema = T.StructType(list(df.schema.fields) + [T.StructField(out_col, T.DoubleType())])
+    cols = list(cols)
+
+    def call(rows):
+        err = None
+        for _ in range(max_retries):
+            try:
+                return client(rows)
+            except Exception as e:  # noqa: BLE001 - retried, then re-raised
+                err = e
+        raise err
+
+    def run(batches):
+        for pdf in batches:
+            out = []
+            recs = pdf[cols].to_dict("records")
+            for i in range(0, len(recs), batch_size):
+                out.extend(call(recs[i:i + batch_size]))
+            res = pdf.copy()
+            res[out_col] = pd.Series(out, dtype="float64").to_numpy()
+            yield res
+
+    return df.mapInPandas(run, schema)
+
+
+# X5 / X6 / X10 ------------------------------------------------------------------
+def register_buffer_select(name: str):
+    def deco(fn):
+        BUFFER_SELECTS[name] = fn
+        return fn
+    return deco
+
+
+def select_from_buffer(buffer: DataFrame, n: int, name: str = "pop_first", **kw) -> DataFrame:
+    """Groups taken from the buffer by a registered selector."""
+    return BUFFER_SELECTS[name](buffer, n, **kw)
+
+
+@register_buffer_select("pop_first")
+def _pop_first(buffer: DataFrame, n: int, *, group_col: str = "instance_id", arrival_col: str = "ts") -> DataFrame:
+    first = buffer.groupBy(group_col).agg(F.min(arrival_col).alias("_a")).orderBy("_a", group_col).limit(n)
+    return buffer.join(F.broadcast(first.select(group_col)), group_col, "left_semi")   # n groups
+
+
+def apply_frame_hook(df: DataFrame, hook: Callable[[DataFrame], DataFrame] | None) -> DataFrame:
+    """X6 reward post-processing / X10 rollout-data post-processing: a
+    ``DataFrame -> DataFrame`` function applied to the plan (None = identity)."""
+    return df if hook is None else hook(df)
+
+
+# X7 -------------------------------------------------------------------------
+def custom_generate(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema: T.StructType | str) -> DataFrame:
+    """One sample in, zero or more samples out, per Arrow batch."""
+    return df.mapInPandas(lambda batches: (fn(pdf) for pdf in batches), schema)
+
+
+# X8 -------------------------------------------------------------------------
+LOSSES: dict[str, Callable[..., Column]] = {}
+
+
+def register_loss(name: str):
+    def deco(fn):
+        LOSSES[name] = fn
+        return fn
+    return deco
+
+
+def loss_column(name: str, *args: Column, **kw) -> Column:
+    """A replaceable per-token loss or IS-weight builder (Column -> Column)."""
+    if name not in LOSSES:
+        raise KeyError(f"unknown loss hook {name}")
+    return LOSSES[name](*args, **kw)
+
+
+@register_loss("ppo_clip")
+def _ppo_clip(ppo_kl: Column, adv: Column, eps_clip: float = 0.2, eps_clip_high: float = 0.2) -> Column:
+    from ..functions.arrays import ppo_clip_loss
+    return ppo_clip_loss(ppo_kl, adv, eps_clip, eps_clip_high)["pg_loss"]
+
+
+# X9 -------------------------------------------------------------------------
+GENERATORS: dict[str, dict[str, Callable]] = {}
+
+
+def register_generator(task_type: str, *, is_valid_group=None, transform_group=None, meta_info=None) -> None:
+    """Per task type: group validity, group transform and poll statistics;
+    missing parts fall back to the defaults (C3 size rule, identity, E19)."""
+    GENERATORS[task_type] = {k: v for k, v in (("is_valid_group", is_valid_group), ("transform_group", transform_group),
+                                               ("meta_info", meta_info)) if v is not None}
+
+
+def generator_hook(task_type: str, part: str) -> Callable:
+    from . import groups as G, metrics as M
+    defaults = {"is_valid_group": G.valid_group, "transform_group": lambda df, **_: df,
+                "meta_info": M.buffer_group_stats}
+    return GENERATORS.get(task_type, {}).get(part, defaults[part])

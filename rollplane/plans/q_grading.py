@@ -192,7 +192,7 @@ def q_choice_grade(spark, sf):
 
 
 # T10 ------------------------------------------------------------------------
-@register("grade_dispatch", W(f"""
+_DISPATCH_CTES = f"""
 , f1 AS ({f1_sql_subquery("(SELECT *, CASE WHEN rm_type = 'boxed_f1' THEN coalesce(" + boxed_content_sql('response') + ", '') ELSE response END AS r2 FROM graded WHERE rm_type IN ('f1', 'boxed_f1')) s", 'r2', 'label', 'group_index, idx_in_group')}),
 ch AS ({CHOICE_SQL.replace('FROM graded)', "FROM graded WHERE rm_type = 'gpqa')")}),
 dp AS (SELECT group_index, idx_in_group, CASE WHEN pred = gt THEN 1.0 ELSE -1.0 END AS reward
@@ -202,9 +202,13 @@ dp AS (SELECT group_index, idx_in_group, CASE WHEN pred = gt THEN 1.0 ELSE -1.0
                           {dapo_norm_sql(f"coalesce(regexp_extract_all(right(response, 300), {ANSWER_SQL}, 1)[-1], '[INVALID]')")} AS pn,
                           {dapo_norm_sql('label')} AS gn
                    FROM graded WHERE rm_type = 'dapo') a) b)
-SELECT group_index, idx_in_group, round({F1_FROM_PARTS}, 6) AS reward FROM f1
+"""
+_DISPATCH_UNION = f"""SELECT group_index, idx_in_group, round({F1_FROM_PARTS}, 6) AS reward FROM f1
 UNION ALL SELECT group_index, idx_in_group, round(reward, 6) FROM ch
-UNION ALL SELECT group_index, idx_in_group, round(reward, 6) FROM dp""", "graded"))
+UNION ALL SELECT group_index, idx_in_group, round(reward, 6) FROM dp"""
+
+
+@register("grade_dispatch", W(_DISPATCH_CTES + _DISPATCH_UNION, "graded"))
 def q_grade_dispatch(spark, sf):
     g = FX.graded(spark, sf)
     return TX.grade_table(g).select(*KEY, r6("reward").alias("reward"))
@@ -374,3 +378,18 @@ def q_search_em_score(spark, sf):
     gold = F.when(F.col("conv_id") % 3 == 0, F.array(F.lit("nothing"))).otherwise(F.array(F.col("t1")))
     sol = F.concat(F.lit(_SEARCH_PROMPT), F.col("transcript"))
     return j.select("conv_id", r6(TX.search_em_score(sol, gold)).alias("score"))
+
+
+# D11 ------------------------------------------------------------------------
+@register("recompute_rewards", W(_DISPATCH_CTES + f"""
+, disp AS ({_DISPATCH_UNION}),
+fa AS ({f1_sql_subquery('graded', 'response', 'label', 'group_index, idx_in_group')})
+SELECT d.group_index, d.idx_in_group, d.reward AS old_reward, round({F1_FROM_PARTS}, 6) AS new_reward,
+       d.reward <> round({F1_FROM_PARTS}, 6) AS changed
+FROM disp d JOIN fa ON d.group_index = fa.group_index AND d.idx_in_group = fa.idx_in_group""", "graded"))
+def q_recompute_rewards(spark, sf):
+    g = FX.graded(spark, sf)
+    old = TX.grade_table(g, out_col="old_reward")
+    new = old.withColumn("new_reward", r6(TX.f1_grade("response", "label")["f1"]))
+    return new.select(*KEY, r6("old_reward").alias("old_reward"), "new_reward",
+                      (r6("old_reward") != F.col("new_reward")).alias("changed"))

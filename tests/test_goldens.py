@@ -204,3 +204,27 @@ def test_search_format_reasons(spark):
     assert got[2] == (False, "Mismatch in think tags: 1 opening vs 0 closing tags")
     assert got[3] == (False, "Missing assistant marker")
     assert got[4] == (False, "Incomplete sequence, ended in state after_search")
+
+
+def test_remote_reward_with_fake_client(spark):
+    from rollplane.operators import hooks as H
+    calls = {"n": 0}
+
+    def flaky(rows):
+        calls["n"] += 1
+        if calls["n"] == 1:
+            raise RuntimeError("transient")
+        return [float(len(r["response"])) for r in rows]
+
+    df = spark.createDataFrame([("ab",), ("abcd",)], "response string").coalesce(1)
+    got = sorted(r["reward"] for r in H.remote_reward(df, flaky, cols=["response"]).collect())
+    assert got == [2.0, 4.0]
+
+
+def test_generator_and_loss_hooks(spark):
+    from rollplane.operators import groups as G, hooks as H
+    assert H.generator_hook("unknown", "is_valid_group") is G.valid_group
+    H.register_generator("math", is_valid_group=lambda df, **kw: df)
+    assert H.generator_hook("math", "is_valid_group")(1) == 1
+    v = spark.range(1).select(H.loss_column("ppo_clip", F.array(F.lit(0.0)), F.array(F.lit(1.0))).alias("l")).first()
+    assert v["l"] == [-1.0]
