@@ -48,3 +48,21 @@ def q_stream_metrics(spark, sf):
     m = SB.stream_metrics(SB.event_stream(spark, sf), spark)
     return m.select(F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "n_samples",
                     r6("reward_mean").alias("reward_mean"), r6("truncated_ratio").alias("truncated_ratio"))
+
+
+@register("partial_recycle", W("""
+SELECT instance_id, uid, CAST(0 AS BIGINT) AS start_rollout_id FROM buffer_items
+WHERE instance_id IN (SELECT instance_id FROM buffer_items GROUP BY instance_id
+                      HAVING count(*) >= 8 AND bool_or(finish_reason = 'abort'))""", "buffer_items"))
+def q_partial_recycle(spark, sf):
+    _, buf = SB.recycle_partial(SB.assemble_groups(SB.event_stream(spark, sf), group_size=8), spark)
+    return buf.select("instance_id", "uid", "start_rollout_id")
+
+
+@register("collect_until_target", W("""
+, g AS (SELECT instance_id, max(ts) AS done_at FROM buffer_items GROUP BY instance_id HAVING count(*) >= 8),
+r AS (SELECT instance_id, row_number() OVER (ORDER BY done_at, instance_id) - 1 AS r FROM g)
+SELECT b.instance_id, b.uid FROM buffer_items b JOIN r ON b.instance_id = r.instance_id WHERE r.r < 50""", "buffer_items"))
+def q_collect_until_target(spark, sf):
+    taken, _ = SB.collect_until_target(SB.assemble_groups(SB.event_stream(spark, sf), group_size=8), spark, 50)
+    return taken.select("instance_id", "uid")

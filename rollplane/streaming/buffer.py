@@ -197,3 +197,59 @@ def filter_groups_stream(groups: DataFrame, spark: SparkSession, name: str = "fi
     q.awaitTermination()
     return (spark.read.schema(groups.schema).parquet(kept_path),
             spark.read.schema("reason string, n_groups long, batch_id long").parquet(drop_path))
+
+
+def recycle_partial(groups: DataFrame, spark: SparkSession, name: str = "recycle") -> tuple[DataFrame, DataFrame]:
+    """U4: per micro-batch, emitted groups holding an aborted item go back to
+    a buffer table with ``start_rollout_id`` = the batch that first saw
+    them (kept when a group is recycled again); the others are done.
+    Returns (done members, buffered members)."""
+    base = run_dir(spark, name)
+    done_path, buf_path = f"{base}/done", f"{base}/buffer"
+    keys = ["instance_id", "group_seq"]
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        flag = batch.groupBy(*keys).agg(F.bool_or(F.col("finish_reason") == "abort").alias("_partial"))
+        tagged = batch.join(flag, keys)
+        tagged.filter(~F.col("_partial")).drop("_partial").write.mode("append").parquet(done_path)
+        start = F.coalesce(F.col("start_rollout_id"), F.lit(batch_id).cast("bigint")) \
+            if "start_rollout_id" in batch.columns else F.lit(batch_id).cast("bigint")
+        (tagged.filter(F.col("_partial")).drop("_partial").withColumn("start_rollout_id", start)
+               .write.mode("append").parquet(buf_path))
+
+    q = (groups.writeStream.foreachBatch(write).option("checkpointLocation", f"{base}/_checkpoint")
+               .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return (spark.read.schema(groups.schema).parquet(done_path),
+            spark.read.schema(T.StructType(groups.schema.fields + [T.StructField("start_rollout_id", T.LongType())]))
+                 .parquet(buf_path))
+
+
+def collect_until_target(groups: DataFrame, spark: SparkSession, target: int, name: str = "collect"
+                         ) -> tuple[DataFrame, DataFrame]:
+    """Take complete groups in completion order (last item time, then
+    instance) until ``target`` groups are taken; later groups are kept for
+    the next rollout.  The count taken so far is carried between
+    micro-batches in a small state table.  Returns (taken, kept)."""
+    from ..plans.ordering import global_index
+    base = run_dir(spark, name)
+    taken_path, kept_path = f"{base}/taken", f"{base}/kept"
+    keys = ["instance_id", "group_seq"]
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        try:
+            so_far = spark.read.parquet(taken_path).select(*keys).distinct().count()   # bounded by target
+        except Exception:  # noqa: BLE001 - first batch: nothing taken yet
+            so_far = 0
+        g = batch.groupBy(*keys).agg(F.max("ts").alias("_done_at"))
+        ranked = global_index(g, ["_done_at", "instance_id", "group_seq"], "_r")
+        room = max(target - so_far, 0)
+        tagged = batch.join(ranked.select(*keys, "_r"), keys)
+        tagged.filter(F.col("_r") < room).drop("_r").write.mode("append").parquet(taken_path)
+        tagged.filter(F.col("_r") >= room).drop("_r").write.mode("append").parquet(kept_path)
+
+    q = (groups.writeStream.foreachBatch(write).option("checkpointLocation", f"{base}/_checkpoint")
+               .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return (spark.read.schema(groups.schema).parquet(taken_path),
+            spark.read.schema(groups.schema).parquet(kept_path))

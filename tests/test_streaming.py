@@ -75,3 +75,13 @@ def test_poll_stats_per_trigger(spark, day_files):
     stats = SB.poll_stats(SB.event_stream(spark, path, max_files_per_trigger=1), spark).collect()
     assert sum(r["total_samples"] for r in stats) == len(rows)
     assert len(stats) == len({r["ts"].day for r in rows})
+
+
+def test_collect_until_target_over_polls(spark, day_files):
+    path, rows = day_files
+    s = SB.event_stream(spark, path, max_files_per_trigger=1)
+    taken, kept = SB.collect_until_target(SB.assemble_groups(s, group_size=8), spark, 20)
+    t = {(r["instance_id"], r["group_seq"]) for r in taken.collect()}
+    k = {(r["instance_id"], r["group_seq"]) for r in kept.collect()}
+    emitted = {(i, q) for i, q, _ in simulate(rows, 8)}
+    assert len(t) == 20 and not (t & k) and (t | k) == emitted
