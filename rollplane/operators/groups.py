@@ -204,3 +204,22 @@ def team_reward_adjust(samples: DataFrame, selector: DataFrame, *, key: str, rew
     selector reward is 1, else by ``incorrect_weight``."""
     w = F.when(F.col("selector_reward") == 1, F.lit(correct_weight)).otherwise(F.lit(incorrect_weight))
     return samples.join(selector, key).withColumn(reward_col, F.col(reward_col) * w)
+
+
+# C9 -------------------------------------------------------------------------
+# Fields every buffer item must carry.
+REQUIRED_FIELDS = ["uid", "instance_id", "messages", "reward", "extra_info"]
+
+
+def required_fields(df: DataFrame, *, json_col: str, fields: Sequence[str] = tuple(REQUIRED_FIELDS),
+                    fail: bool = False) -> DataFrame:
+    """Per JSON item: the missing required fields (comma separated) and
+    ``valid``; with ``fail`` a missing field raises instead (strict mode).
+    Invalid rows are the quarantine."""
+    missing = F.filter(F.array(*[F.when(F.get_json_object(F.col(json_col), f"$.{f}").isNull(), F.lit(f))
+                                 for f in fields]), lambda x: x.isNotNull())
+    out = df.withColumn("missing", F.array_join(missing, ",")).withColumn("valid", F.size(missing) == 0)
+    if fail:
+        out = out.withColumn("valid", F.when(F.col("valid"), F.lit(True)).otherwise(
+            F.raise_error(F.concat(F.lit("missing fields: "), F.col("missing"))).cast("boolean")))
+    return out

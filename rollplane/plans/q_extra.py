@@ -391,3 +391,30 @@ def q_rollout_step_id(spark, sf):
     ids = n.select(per.alias("rollouts_per_epoch"), F.explode(F.sequence(F.lit(0).cast("bigint"), per - 1)).alias("rollout_id"))
     return ids.select("rollout_id", M.rollout_step(F.col("rollout_id"), rollout_batch_size=32, n_samples=4,
                                                    global_batch_size=64).alias("step"), "rollouts_per_epoch")
+
+
+# C9 -------------------------------------------------------------------------
+_ITEM_JSON_SQL = """
+'{"uid":' || CAST(event_id AS VARCHAR) || ',"instance_id":' || CAST(user_id AS VARCHAR) ||
+CASE WHEN event_type = 'view' THEN '' ELSE ',"messages":[{"role":"assistant","content":"' || event_type || '"}]' END ||
+CASE WHEN event_type = 'error' THEN '' ELSE ',"reward":' || CAST(value AS VARCHAR) END ||
+CASE WHEN event_type = 'signup' THEN '' ELSE ',"extra_info":{"k":1}' END || '}'"""
+
+
+@register("required_fields", """
+SELECT event_id AS uid,
+       array_to_string(list_filter([CASE WHEN event_type = 'view' THEN 'messages' END,
+                                    CASE WHEN event_type = 'error' THEN 'reward' END,
+                                    CASE WHEN event_type = 'signup' THEN 'extra_info' END], lambda x: x IS NOT NULL), ',') AS missing,
+       event_type NOT IN ('view', 'error', 'signup') AS valid
+FROM events""")
+def q_required_fields(spark, sf):
+    e = read_table(spark, sf, "events")
+    item = F.to_json(F.struct(
+        F.col("event_id").alias("uid"), F.col("user_id").alias("instance_id"),
+        F.when(F.col("event_type") != "view", F.array(F.struct(F.lit("assistant").alias("role"),
+                                                               F.col("event_type").alias("content")))).alias("messages"),
+        F.when(F.col("event_type") != "error", F.col("value")).alias("reward"),
+        F.when(F.col("event_type") != "signup", F.struct(F.lit(1).alias("k"))).alias("extra_info")))
+    items = e.select(F.col("event_id").alias("uid"), item.alias("item"))
+    return G.required_fields(items, json_col="item").select("uid", "missing", "valid")

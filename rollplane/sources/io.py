@@ -186,3 +186,28 @@ def scan_dumps(spark: SparkSession, path: str, *, categories: Sequence[str] = ("
     df = spark.read.parquet(path).filter(F.col("category").isin(*categories))
     return df.select(F.col("rollout_id").cast("int"), "group_index", "idx_in_group",
                      F.to_json(F.struct(*[F.col(c) for c in whitelist])).alias("sample_json"))
+
+
+# A11 ------------------------------------------------------------------------
+EVAL_KEYS = ("name", "path", "rm_type", "n_samples_per_eval_prompt", "max_response_len", "top_p", "temperature",
+             "prompt_key", "label_key", "metadata_overrides")
+
+
+def eval_config_table(spark: SparkSession, config, *, defaults: dict | None = None, run_level: dict | None = None
+                      ) -> DataFrame:
+    """Dataset configs (a list of dicts, or a map name -> dict) as one row
+    per dataset; a value comes from the dataset, else the eval defaults,
+    else the run-level setting.  Unknown keys are rejected.  Config rows are
+    few (one per dataset), so the table is small and broadcast on join."""
+    items = [dict(v, name=k) for k, v in config.items()] if isinstance(config, dict) else [dict(c) for c in config]
+    for c in items:
+        unknown = set(c) - set(EVAL_KEYS)
+        if unknown:
+            raise ValueError(f"unknown eval config keys: {sorted(unknown)}")
+        if "name" not in c:
+            raise ValueError("eval dataset needs a name")
+    defaults, run_level = defaults or {}, run_level or {}
+    rows = [tuple(c.get(k, defaults.get(k, run_level.get(k))) for k in EVAL_KEYS[:8]) for c in items]
+    schema = ("name string, path string, rm_type string, n_samples_per_eval_prompt int, max_response_len int, "
+              "top_p double, temperature double, prompt_key string")
+    return spark.createDataFrame(rows, schema)

@@ -228,3 +228,16 @@ def test_generator_and_loss_hooks(spark):
     assert H.generator_hook("math", "is_valid_group")(1) == 1
     v = spark.range(1).select(H.loss_column("ppo_clip", F.array(F.lit(0.0)), F.array(F.lit(1.0))).alias("l")).first()
     assert v["l"] == [-1.0]
+
+
+def test_eval_config_table(spark):
+    from rollplane.sources import io
+    cfg = io.eval_config_table(spark, {"aime": {"rm_type": "dapo", "n_samples_per_eval_prompt": 16},
+                                       "gpqa": {"rm_type": "gpqa"}},
+                               defaults={"n_samples_per_eval_prompt": 4, "top_p": 0.7}, run_level={"top_p": 1.0,
+                                                                                                   "max_response_len": 512})
+    got = {r["name"]: (r["rm_type"], r["n_samples_per_eval_prompt"], r["top_p"], r["max_response_len"])
+           for r in cfg.collect()}
+    assert got == {"aime": ("dapo", 16, 0.7, 512), "gpqa": ("gpqa", 4, 0.7, 512)}
+    with pytest.raises(ValueError):
+        io.eval_config_table(spark, [{"name": "x", "bogus": 1}])
