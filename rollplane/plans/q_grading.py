@@ -393,3 +393,15 @@ def q_recompute_rewards(spark, sf):
     new = old.withColumn("new_reward", r6(TX.f1_grade("response", "label")["f1"]))
     return new.select(*KEY, r6("old_reward").alias("old_reward"), "new_reward",
                       (r6("old_reward") != F.col("new_reward")).alias("changed"))
+
+
+# T6 -------------------------------------------------------------------------
+@register("mathd_grade")
+def q_mathd_grade(spark, sf):
+    """Boxed (or raw) answer vs label under mathd normalisation; no SQL twin
+    (the normalisation is a sequence of split/rebuild steps), pinned by
+    goldens in tests/test_goldens.py."""
+    g = FX.graded(spark, sf)
+    given = F.coalesce(TX.boxed_content("response"), F.col("response"))
+    return g.select(*KEY, TX.mathd_normalize(given).alias("normalized"),
+                    TX.mathd_grade(given, "label").alias("reward"))

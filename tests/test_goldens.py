@@ -241,3 +241,19 @@ def test_eval_config_table(spark):
     assert got == {"aime": ("dapo", 16, 0.7, 512), "gpqa": ("gpqa", 4, 0.7, 512)}
     with pytest.raises(ValueError):
         io.eval_config_table(spark, [{"name": "x", "bogus": 1}])
+
+
+MATHD_CASES = [("\\frac12", "\\frac{1}{2}"), ("\\frac1{72}", "\\frac{1}{72}"), ("\\dfrac{3}{4}", "\\frac{3}{4}"),
+               ("0.5", "\\frac{1}{2}"), ("1/2", "\\frac{1}{2}"), (" .5", "\\frac{1}{2}"), ("\\text{ 12 }", "12"),
+               ("x = 3", "3"), ("\\sqrt3", "\\sqrt{3}"), ("10\\%", "10"), ("5\\text{ cm}", "5"),
+               ("\\left( 1, 2 \\right)", "(1,2)"), ("\\frac", "\\frac"), ("\\frac1", "\\frac1"), ("3^\\circ", "3"),
+               ("k=\\frac{1}{2}", "\\frac{1}{2}"), ("01/2", "01/2")]
+
+
+def test_mathd_normalize(spark):
+    df = spark.createDataFrame(MATHD_CASES, "a string, want string")
+    got = [(r["want"], r["n"]) for r in df.select("want", TX.mathd_normalize("a").alias("n")).collect()]
+    assert all(w == n for w, n in got), got
+    r = spark.range(1).select(TX.mathd_grade(F.lit("0.5"), F.lit("\\frac{1}{2}")).alias("g"),
+                              TX.grade_dispatch(F.lit("boxed_math"), F.lit("so \\boxed{1/2}"), F.lit("0.5")).alias("d")).first()
+    assert r["g"] == 1.0 and r["d"] == 1.0
