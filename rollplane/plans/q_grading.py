@@ -405,3 +405,10 @@ def q_mathd_grade(spark, sf):
     given = F.coalesce(TX.boxed_content("response"), F.col("response"))
     return g.select(*KEY, TX.mathd_normalize(given).alias("normalized"),
                     TX.mathd_grade(given, "label").alias("reward"))
+
+
+# T8 -------------------------------------------------------------------------
+@register("deepscaler_grade")
+def q_deepscaler_grade(spark, sf):
+    g = FX.graded(spark, sf)
+    return g.select(*KEY, TX.deepscaler_grade("response", "label").alias("reward"))

@@ -257,3 +257,12 @@ def test_mathd_normalize(spark):
     r = spark.range(1).select(TX.mathd_grade(F.lit("0.5"), F.lit("\\frac{1}{2}")).alias("g"),
                               TX.grade_dispatch(F.lit("boxed_math"), F.lit("so \\boxed{1/2}"), F.lit("0.5")).alias("d")).first()
     assert r["g"] == 1.0 and r["d"] == 1.0
+
+
+def test_deepscaler_and_math_grade(spark):
+    r = spark.range(1).select(
+        TX.deepscaler_grade(F.lit("<think>x</think> so \\boxed{\\frac12}"), F.lit("0.5")).alias("a"),
+        TX.deepscaler_grade(F.lit("no think \\boxed{1}"), F.lit("1")).alias("b"),
+        TX.deepscaler_grade(F.lit("###Response the \\boxed{3}"), F.lit("\\boxed{3}")).alias("c"),
+        TX.math_grade(F.lit("\\boxed{2}"), F.lit("")).alias("d")).first()
+    assert (r["a"], r["b"], r["c"], r["d"]) == (1.0, 0.0, 1.0, 0.0)
