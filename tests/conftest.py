@@ -12,6 +12,6 @@ SF_SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     from rollplane.session import local_session
-    s = local_session("*", shuffle_partitions=8, driver_memory="4g")
+    s = local_session("*", shuffle_partitions=8, driver_memory="8g")
     yield s
     s.stop()
