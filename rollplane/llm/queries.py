@@ -5,10 +5,11 @@ from __future__ import annotations
 import functools
 
 from ..session import configure
-from . import exact_dedup, license_scan, mixing, quality_rules, sharding
+from . import bpe, chat, exact_dedup, katz, license_scan, mixing, near_dedup, quality_classifier, quality_rules, sharding
 
-_ALL = [sharding.op1_kd_shards, mixing.op2_mix, license_scan.op5_licenses, exact_dedup.op7_exact_dedup,
-        quality_rules.op9_weak_quality]
+_ALL = [sharding.op1_kd_shards, mixing.op2_mix, quality_classifier.op3_quality, chat.op4_chat,
+        license_scan.op5_licenses, katz.op6_katz, exact_dedup.op7_exact_dedup, near_dedup.op8_near_dedup,
+        quality_rules.op9_weak_quality, bpe.op10_byte_bpe]
 
 
 def _configured(fn):
@@ -20,4 +21,4 @@ def _configured(fn):
 
 
 QUERIES = {f.__name__: _configured(f) for f in _ALL}
-ORACLE = {"op2_mix": mixing.OP2_SQL, "op7_exact_dedup": exact_dedup.OP7_SQL}
+ORACLE = {"op2_mix": mixing.OP2_SQL, "op4_chat": chat.OP4_SQL, "op7_exact_dedup": exact_dedup.OP7_SQL}
