@@ -119,3 +119,32 @@ def weighted_cuts(rows: DataFrame, targets: DataFrame, keys: Sequence[str], weig
         if state.isEmpty():
             break
     return written(done, "cuts")
+
+
+BITMAP_BITS = 23
+
+
+def maybe_among(keys: DataFrame, key: str):
+    """A test for rows whose long key may be among ``keys`` (wide rows are
+    screened by it before a join, so that only those the join needs are
+    shuffled). It is a bitmap of fixed size: 2^23 bits, 1 MB, however many
+    keys there are; with very many it lets everything through and the join
+    does the work alone. Never says no to a key that is there."""
+    import numpy as np
+    import pandas as pd
+
+    spark = keys.sparkSession
+    words = (keys.select(F.expr(f"pmod({key}, {1 << BITMAP_BITS})").alias("p"))
+                 .groupBy(F.expr("cast(p div 32 as int)").alias("i"))
+                 .agg(F.expr("bit_or(shiftleft(1L, cast(p % 32 as int)))").alias("bits")).collect())
+    table = np.zeros(1 << (BITMAP_BITS - 5), np.uint32)
+    for r in words:  # at most 2^18 rows
+        table[r["i"]] = r["bits"]
+    bitmap = spark.sparkContext.broadcast(table)
+
+    @F.pandas_udf("boolean")
+    def test(k: pd.Series) -> pd.Series:
+        p = k.to_numpy().astype(np.int64) % (1 << BITMAP_BITS)
+        return pd.Series((bitmap.value[p >> 5] >> (p & 31).astype(np.uint32)) & np.uint32(1) == 1)
+
+    return test

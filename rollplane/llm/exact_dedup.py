@@ -21,7 +21,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import written
+from .common import maybe_among, written
 
 KEYS_PER_FILTER = 4096
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -149,9 +149,12 @@ def screen(groups: DataFrame, snap: Snapshot) -> DataFrame:
 def byte_checked(docs: DataFrame, matches: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Digests whose snapshot text and batch text are equal byte for byte."""
     want = matches.select("digest", F.explode(F.array("keep.doc_id", "snap_keep.doc_id")).alias("_id")).distinct()
+    want = written(want, "want")
     text = F.coalesce(F.col(text_col), F.lit(""))
     texts = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"),
                         F.unhex(F.sha2(text.cast("binary"), 256)).alias("_d"))
+    # only texts that may be wanted are shuffled
+    texts = texts.filter(maybe_among(want.select(F.xxhash64("digest").alias("k")), "k")(F.xxhash64("_d")))
     got = texts.join(want, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_d") == F.col("digest")))
     return (got.groupBy("digest").agg(F.min("text").alias("a"), F.max("text").alias("b"))
                .filter(F.col("a") == F.col("b")).select("digest"))
