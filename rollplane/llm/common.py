@@ -6,7 +6,9 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..session import ensure_checkpoint_dir
 
@@ -130,9 +132,6 @@ def maybe_among(keys: DataFrame, key: str):
     shuffled). It is a bitmap of fixed size: 2^23 bits, 1 MB, however many
     keys there are; with very many it lets everything through and the join
     does the work alone. Never says no to a key that is there."""
-    import numpy as np
-    import pandas as pd
-
     spark = keys.sparkSession
     words = (keys.select(F.expr(f"pmod({key}, {1 << BITMAP_BITS})").alias("p"))
                  .groupBy(F.expr("cast(p div 32 as int)").alias("i"))
@@ -148,3 +147,21 @@ def maybe_among(keys: DataFrame, key: str):
         return pd.Series((bitmap.value[p >> 5] >> (p & 31).astype(np.uint32)) & np.uint32(1) == 1)
 
     return test
+
+
+def drop_marked(docs: DataFrame, verdict: DataFrame, doc_id: Column, digest: Column) -> DataFrame:
+    """``docs`` without the rows that ``verdict`` (doc_id, digest, kept) drops.
+    ``doc_id`` and ``digest`` read a row given as the struct ``_doc``. An (id, digest)
+    that loses all its rows is anti-joined; one that keeps a single row of several is
+    reduced to its least row. Rows that the bitmap clears pass by without a shuffle."""
+    pairs = written(verdict.groupBy("doc_id", "digest").agg(F.sum(F.col("kept").cast("int")).alias("k"),
+                                                            F.count(F.lit(1)).alias("n"))
+                           .filter("k = 0 or n > 1").select(F.col("doc_id").alias("_id"), "digest", "k"), "dropped")
+    marked = maybe_among(pairs.select(F.xxhash64("digest").alias("h")), "h")
+    d = docs.select(F.struct("*").alias("_doc")).withColumn("_d", digest)
+    d = d.withColumn("_hit", marked(F.xxhash64("_d")))
+    on = doc_id.eqNullSafe(F.col("_id")) & (F.col("_d") == F.col("digest"))
+    hit = d.filter("_hit")
+    once = hit.join(pairs, on, "left_anti").select("_doc")
+    twice = hit.join(pairs.filter("k > 0"), on).groupBy("_id", "digest").agg(F.min("_doc").alias("_doc")).select("_doc")
+    return d.filter("not _hit").select("_doc").unionByName(once).unionByName(twice).select("_doc.*")

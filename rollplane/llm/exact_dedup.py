@@ -21,7 +21,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import maybe_among, written
+from .common import drop_marked, maybe_among, written
 
 KEYS_PER_FILTER = 4096
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -192,19 +192,10 @@ def arrived_later() -> Column:
 
 
 def distinct_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that stay, with all their columns. Only (id, digest) pairs
-    that lose all their rows are anti-joined; repeated rows of a kept pair are
-    reduced to one separately."""
+    """The documents that stay, with all their columns."""
     verdict = exact_dedup(docs, arrived_later(), id_col, text_col)
-    pairs = written(verdict.groupBy("doc_id", "digest").agg(F.sum(F.col("kept").cast("int")).alias("k"),
-                                                            F.count(F.lit(1)).alias("n"))
-                           .filter("k = 0 or n > 1").select(F.col("doc_id").alias("_id"), "digest", "k"), "dropped")
-    d = docs.select(F.struct("*").alias("_doc")).withColumn(
-        "_d", F.unhex(F.sha2(F.coalesce(F.col(f"_doc.{text_col}"), F.lit("")).cast("binary"), 256)))
-    on = F.col(f"_doc.{id_col}").eqNullSafe(F.col("_id")) & (F.col("_d") == F.col("digest"))
-    once = d.join(pairs, on, "left_anti").select("_doc")
-    twice = d.join(pairs.filter("k > 0"), on).groupBy("_id", "digest").agg(F.min("_doc").alias("_doc")).select("_doc")
-    return once.unionByName(twice).select("_doc.*")
+    digest = F.unhex(F.sha2(F.coalesce(F.col(f"_doc.{text_col}"), F.lit("")).cast("binary"), 256))
+    return drop_marked(docs, verdict, F.col(f"_doc.{id_col}"), digest)
 
 
 def op7_exact_dedup(spark, sf_dir: str) -> DataFrame:

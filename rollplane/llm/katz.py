@@ -62,14 +62,21 @@ def _rows(rows: list[dict]) -> pa.Table:
 # --- probabilities -----------------------------------------------------------
 def good_turing(n: list[int]) -> np.ndarray:
     """Discount ratios d[0..K] (d[0] unused) from counts of counts n[1..K+1]
-    (n[0] unused); absolute discounting by a half where Good-Turing is not between 0 and 1."""
-    d = np.array([1.0] + [(r - 0.5) / r for r in range(1, K + 1)])
-    if all(n[r] > 0 for r in range(1, K + 2)):
-        cut = (K + 1) * n[K + 1] / n[1]
-        gt = [((r + 1) * n[r + 1] / (n[r] * r) - cut) / (1 - cut) if cut < 1 else 0.0 for r in range(1, K + 1)]
-        if all(0 < x < 1 for x in gt):
-            d[1:] = gt
-    return d
+    (n[0] unused), smoothed where the raw ones give no ratio between 0 and 1 (copies
+    make them uneven); absolute discounting by a half where neither does."""
+    r = np.arange(1, K + 2)
+    raw = np.array(n[1:K + 2], float)
+    tries = [raw] if (raw > 0).all() else []
+    if (raw > 0).sum() >= 2:  # counts of counts smoothed by a line in log-log
+        slope, level = np.polyfit(np.log(r[raw > 0]), np.log(raw[raw > 0]), 1)
+        tries.append(np.exp(level + slope * np.log(r)))
+    for z in tries:
+        cut = (K + 1) * z[K] / z[0]
+        if cut < 1:
+            d = (r[1:] * z[1:] / (r[:-1] * z[:-1]) - cut) / (1 - cut)
+            if ((d > 0) & (d < 1)).all():
+                return np.concatenate(([1.0], d))
+    return np.concatenate(([1.0], (r[:-1] - 0.5) / r[:-1]))
 
 
 @dataclass

@@ -31,7 +31,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import written
+from .common import drop_marked, maybe_among, written
 from .hashing import mix64, word_hashes
 
 N_BANDS, BAND_ROWS, SHINGLE, SIMILARITY = 32, 4, 5, 0.8
@@ -251,10 +251,12 @@ def near_dedup(docs: DataFrame, threshold: float = SIMILARITY, id_col: str = "do
                                             F.count(F.lit(1)).alias("n")), "nodes")
 
     def texts(active: DataFrame) -> DataFrame:
-        want = nodes.join(active, "node").select("node", F.col("head.doc_id").alias("_id"))
+        want = written(nodes.join(active, "node").select("node", F.col("head.doc_id").alias("_id")), "want")
         text = F.coalesce(F.col(text_col), F.lit(""))
         t = docs.select(F.col(id_col).cast("long").alias("_doc"), text.alias("text"),
                         F.unhex(F.md5(text.cast("binary"))).alias("_n"))
+        # only texts that may be wanted are shuffled
+        t = t.filter(maybe_among(want.select(F.xxhash64("node").alias("k")), "k")(F.xxhash64("_n")))
         got = t.join(want, F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_n") == F.col("node")))
         return got.groupBy("node").agg(F.first("text").alias("text")).withColumn("n_chars", F.length("text"))
 
@@ -271,16 +273,9 @@ def near_dedup(docs: DataFrame, threshold: float = SIMILARITY, id_col: str = "do
 def distinct_documents(docs: DataFrame, threshold: float = SIMILARITY, id_col: str = "doc_id",
                        text_col: str = "text") -> DataFrame:
     """One document of each class, with all its columns."""
-    verdict = near_dedup(docs, threshold, id_col, text_col)
-    pairs = written(verdict.groupBy("doc_id", "node").agg(F.sum(F.col("kept").cast("int")).alias("k"),
-                                                          F.count(F.lit(1)).alias("n"))
-                           .filter("k = 0 or n > 1").select(F.col("doc_id").alias("_id"), "node", "k"), "dropped")
-    d = docs.select(F.struct("*").alias("_doc")).withColumn(
-        "_n", F.unhex(F.md5(F.coalesce(F.col(f"_doc.{text_col}"), F.lit("")).cast("binary"))))
-    on = F.col(f"_doc.{id_col}").eqNullSafe(F.col("_id")) & (F.col("_n") == F.col("node"))
-    once = d.join(pairs, on, "left_anti").select("_doc")
-    twice = d.join(pairs.filter("k > 0"), on).groupBy("_id", "node").agg(F.min("_doc").alias("_doc")).select("_doc")
-    return once.unionByName(twice).select("_doc.*")
+    verdict = near_dedup(docs, threshold, id_col, text_col).withColumnRenamed("node", "digest")
+    node = F.unhex(F.md5(F.coalesce(F.col(f"_doc.{text_col}"), F.lit("")).cast("binary")))
+    return drop_marked(docs, verdict, F.col(f"_doc.{id_col}"), node)
 
 
 def op8_near_dedup(spark, sf_dir: str) -> DataFrame:
