@@ -187,6 +187,8 @@ def parse(source: str) -> list:
             pieces.append(("tag", m[3].strip()))
         last = m.end()
     tail = source[last:].lstrip() if trim_next else source[last:]
+    if re.search(r"\{[{%#]", tail):
+        raise TemplateError(f"a tag is not closed: {tail!r}")
     if tail:
         pieces.append(("text", tail))
     body, at = _body(pieces, 0, ())

@@ -1,13 +1,10 @@
+"""Fixtures and helpers of the operator tests (no conftest: there is one above)."""
+
 import re
-import sys
 from collections import Counter
-from pathlib import Path
 
 import pytest
 
-sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
-sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
-
 SF = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -23,6 +20,7 @@ def shingle_counts(text):
 
 @pytest.fixture(scope="session")
 def documents(spark):
+    spark.conf.set("spark.sql.shuffle.partitions", "3")
     return spark.read.parquet(f"{SF}/documents.parquet")
 
 
@@ -46,6 +44,7 @@ def odd_rows():
 @pytest.fixture(scope="session")
 def odd(spark, odd_rows):
     """The odd rows with extra columns whose names the operators use inside."""
+    spark.conf.set("spark.sql.shuffle.partitions", "3")
     return spark.createDataFrame([(*r, None, *["x" if i else 1 for i in range(12)]) for r in odd_rows], DOCS).repartition(3)
 
 

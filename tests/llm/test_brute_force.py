@@ -6,7 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import pytest
-from conftest import SF, WORD, shingle_counts
+from llm_fixtures import SF, WORD, documents, labels, shingle_counts  # noqa: F401
 from rollplane.llm import bpe, chat, katz, license_scan, near_dedup, quality_rules
 from rollplane.llm.queries import QUERIES
 

@@ -5,7 +5,7 @@ from collections import Counter
 
 import public_tokenizers as P
 import pytest
-from conftest import WORD
+from llm_fixtures import WORD, nothing, odd, odd_rows  # noqa: F401
 from pyspark.sql import functions as F
 from rollplane.llm import bpe, chat, common, exact_dedup, katz, license_scan, mixing, near_dedup, quality_classifier, quality_rules, sharding
 from test_brute_force import tiktoken_rows
