@@ -126,13 +126,16 @@ def last_masked_index(mask: ColumnOrName) -> Column:
 
 def rpp_returns(reward: ColumnOrName, kl: ColumnOrName, mask: ColumnOrName, kl_coef: float,
                 gamma: float) -> Column:
-    """H3 REINFORCE++: token reward -kl_coef*kl, plus the sequence reward at
-    the last masked-in token; discounted suffix sum with gamma."""
+    """H3 REINFORCE++: discounted suffix sum with gamma of the token rewards."""
+    return suffix_scan(rpp_token_rewards(reward, kl, mask, kl_coef), gamma)
+
+
+def rpp_token_rewards(reward: ColumnOrName, kl: ColumnOrName, mask: ColumnOrName, kl_coef: float) -> Column:
+    """-kl_coef*kl per token, plus the sequence reward at the last masked-in token."""
     from .text import let
-    tok = let(lambda v: F.transform(v["kl"], lambda k, i: lit(-kl_coef) * k + F.when(i == v["last"], v["r"])
+    return let(lambda v: F.transform(v["kl"], lambda k, i: lit(-kl_coef) * k + F.when(i == v["last"], v["r"])
                                     .otherwise(0.0)),
-              kl=_c(kl), last=last_masked_index(mask), r=_c(reward).cast("double"))
-    return suffix_scan(tok, gamma)
+               kl=_c(kl), last=last_masked_index(mask), r=_c(reward).cast("double"))
 
 
 def rpp_baseline_adv(reward: ColumnOrName, kl: ColumnOrName, kl_coef: float) -> Column:
@@ -149,12 +152,17 @@ def kl_shaped_rewards(reward: ColumnOrName, kl: ColumnOrName, kl_coef: float) ->
                kl=_c(kl), r=_c(reward).cast("double"))
 
 
+def gae_deltas(rewards: ColumnOrName, values: ColumnOrName, gamma: float) -> Column:
+    """delta_t = r_t + gamma*V_{t+1} - V_t (V after the end = 0)."""
+    v = _c(values)
+    return F.transform(_c(rewards), lambda r, i: r + lit(gamma) * F.coalesce(F.get(v, i + 1), F.lit(0.0)) - F.get(v, i))
+
+
 def gae(rewards: ColumnOrName, values: ColumnOrName, gamma: float, lambd: float) -> Column:
     """H5: struct(advantages, returns).  delta_t = r_t + gamma*V_{t+1} - V_t
     (V after the end = 0); A_t = delta_t + gamma*lambda*A_{t+1}; R = A + V."""
     v = _c(values)
-    delta = F.transform(_c(rewards), lambda r, i: r + lit(gamma) * F.coalesce(F.get(v, i + 1), F.lit(0.0)) - F.get(v, i))
-    adv = suffix_scan(delta, gamma * lambd)
+    adv = suffix_scan(gae_deltas(rewards, v, gamma), gamma * lambd)
     return F.struct(adv.alias("advantages"), F.zip_with(adv, v, lambda a, b: a + b).alias("returns"))
 
 

@@ -2,12 +2,17 @@
 
 Cached entries are (text, tokens, log-probs, mask, weight_version) rows.
 A lookup finds, per text, the longest cached entry that is a prefix of it.
-Exact and skew-tolerant without trying every cached length per text:
-an entry of length L is keyed by (b, xxhash64(its first b*B chars)) with
-b = floor(L / B); a text emits one key per block boundary it covers (so
-its fan-out grows with its own length, not with the cache size); keys
-join, then ``startswith`` verifies the < B-character tail and removes hash
-collisions, and ``max_by(length)`` keeps the longest match.
+Texts and entries never meet in a join by a shared prefix alone:
+
+1. an entry of length L has a block key (b = floor(L / B), hash of its first
+   b * B characters); the distinct (key, L) pairs, at most B per key, join the
+   block keys of the texts and say which lengths a text may match;
+2. the text's prefix of each such length is hashed and joins the entries by
+   (length, hash), which only true matches pass (``startswith`` then
+   removes hash collisions).
+
+Only ids, lengths and hashes are exploded and shuffled in step 1, so a prompt
+that all texts share costs one row per text and block; texts are fetched once.
 """
 
 from __future__ import annotations
@@ -26,13 +31,20 @@ def longest_prefix_join(texts: DataFrame, cache: DataFrame, *, text_id: str, tex
     """Per text: the id and length of the longest cached entry that is a
     prefix (null when none)."""
     e = cache.select(F.col(entry_id).alias("_eid"), F.col(entry_col).alias("_etext"),
-                     F.floor(F.length(entry_col) / block).cast("int").alias("_b"))
-    e = e.withColumn("_k", _block_key(F.col("_etext"), F.col("_b"), block))
+                     F.length(entry_col).alias("_len"), F.xxhash64(F.col(entry_col)).alias("_h"))
+    lengths = e.select(F.floor(F.col("_len") / block).cast("int").alias("_b"), "_len", "_etext")
+    lengths = lengths.select("_b", _block_key(F.col("_etext"), F.col("_b"), block).alias("_k"), "_len").distinct()
     t = texts.select(F.col(text_id).alias("_tid"), F.col(text_col).alias("_ttext"))
-    t = t.withColumn("_b", F.explode(F.sequence(F.lit(0), F.floor(F.length("_ttext") / block).cast("int"))))
-    t = t.withColumn("_k", _block_key(F.col("_ttext"), F.col("_b"), block))
-    cand = (t.join(e, ["_b", "_k"])
-             .filter(F.col("_ttext").startswith(F.col("_etext"))))
+    keys = t.withColumn("_tlen", F.length("_ttext")).withColumn(
+        "_bk", F.explode(F.transform(F.sequence(F.lit(0), F.floor(F.length("_ttext") / block).cast("int")),
+                                     lambda b: F.struct(b.alias("b"), _block_key(F.col("_ttext"), b, block).alias("k")))))
+    may = (keys.select("_tid", "_tlen", F.col("_bk.b").alias("_b"), F.col("_bk.k").alias("_k"))
+               .join(lengths, ["_b", "_k"]).filter(F.col("_len") <= F.col("_tlen"))
+               .groupBy("_tid").agg(F.collect_set("_len").alias("_lens")))   # at most B per block of the text
+    probe = t.join(may, "_tid").select("_tid", "_ttext", F.explode(F.transform("_lens", lambda n: F.struct(
+        n.alias("len"), F.xxhash64(F.substring(F.col("_ttext"), F.lit(1), n)).alias("h")))).alias("_p"))
+    cand = (probe.select("_tid", "_ttext", F.col("_p.len").alias("_len"), F.col("_p.h").alias("_h"))
+                 .join(e, ["_len", "_h"]).filter(F.col("_ttext").startswith(F.col("_etext"))))
     best = cand.groupBy("_tid").agg(F.max_by(F.struct(F.length("_etext").alias("len"), F.col("_eid").alias("id")),
                                              F.length("_etext")).alias("_m"))
     return (texts.select(F.col(text_id)).join(best.withColumnRenamed("_tid", text_id), text_id, "left")

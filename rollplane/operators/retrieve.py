@@ -1,10 +1,8 @@
 """Retrieval for agentic rollouts.
 
-* Dense top-k: the query block is broadcast to every corpus partition
-  (its size is checked first; larger query sets are processed in bounded
-  chunks), each partition keeps its own top-k per query with one numpy
-  matmul per Arrow batch, and a final ``row_number`` per query picks the
-  global top-k from k x partitions candidates.
+* Dense top-k: queries and corpus are cut into blocks of bounded size, every
+  pair of blocks keeps its own top-k per query (numpy matmul), and a
+  final ``row_number`` per query picks the global top-k.
 * BM25: an inverted-index job — postings (term, doc, tf), document
   frequencies and lengths are aggregates; query terms join the postings
   on the term; contributions are summed per (query, doc) and the top-k
@@ -21,9 +19,8 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as
 
 from ..plans.ordering import attach_scalars
 
-# Largest query block broadcast to the corpus in one pass (rows x dims
-# doubles); bigger query sets are split into chunks of this size.
-MAX_BROADCAST_BYTES = 64 << 20
+# Rows per block of queries and of corpus, and corpus rows per matmul.
+QUERY_BLOCK, CORPUS_BLOCK, SLICE = 1024, 32768, 2048
 
 
 def l2_normalize(v: Column | str) -> Column:
@@ -44,53 +41,55 @@ def mean_vectors(df: DataFrame, *, key: str, vec: str, normalize: bool = True) -
 def dense_topk(queries: DataFrame, corpus: DataFrame, k: int, *, q_id: str, q_vec: str, d_id: str, d_vec: str,
                normalize: bool = True) -> DataFrame:
     """Top-k corpus rows per query by inner product (after L2
-    normalisation); ties by smaller doc id.  Returns (q_id, rank, d_id,
-    score)."""
-    spark = queries.sparkSession
-    q = queries.select(F.col(q_id).alias("qid"), (l2_normalize(q_vec) if normalize else F.col(q_vec)).alias("qv"))
-    n_q = q.count()
-    dims = len(q.select("qv").first()[0]) if n_q else 0
-    per_chunk = max(1, MAX_BROADCAST_BYTES // max(8 * dims, 1))
-    n_chunks = max(1, -(-n_q // per_chunk))
-    c = corpus.select(F.col(d_id).alias("did"), (l2_normalize(d_vec) if normalize else F.col(d_vec)).alias("dv"))
-    parts = []
-    for chunk in range(n_chunks):
-        qc = q if n_chunks == 1 else q.filter(F.pmod(F.xxhash64("qid"), F.lit(n_chunks)) == chunk)
-        rows = qc.collect()   # bounded: at most per_chunk vectors (size checked above)
-        qids = np.array([r["qid"] for r in rows])
-        qmat = np.array([r["qv"] for r in rows], dtype=np.float64) if rows else np.zeros((0, dims))
-        bq = spark.sparkContext.broadcast((qids, qmat))
-        parts.append(c.mapInPandas(_partition_topk(bq, k), "qid long, did long, score double"))
-    cand = parts[0]
-    for p in parts[1:]:
-        cand = cand.unionByName(p)
-    # rank on the score rounded to 6 digits so ties are broken by id alike everywhere
-    w = W.partitionBy("qid").orderBy(F.round("score", 6).desc(), F.col("did"))
+    normalisation).  Returns (q_id, rank, d_id, score).
+
+    Scores are compared in units of 1e-6, ties by smaller doc id: one total
+    order, used inside the blocks and for the final rank, so the answer does
+    not depend on the layout.  Queries and corpus are cut into hashed blocks of
+    bounded size; every pair of blocks is one group (one matmul per slice
+    with a running top-k), and k rows per query and corpus block remain."""
+    q = queries.select(F.col(q_id).alias("qid"), (l2_normalize(q_vec) if normalize else F.col(q_vec)).alias("v"))
+    c = corpus.select(F.col(d_id).alias("did"), (l2_normalize(d_vec) if normalize else F.col(d_vec)).alias("v"))
+    n_q = max(1, -(-queries.count() // QUERY_BLOCK))
+    n_c = max(1, -(-corpus.count() // CORPUS_BLOCK))
+
+    def blocks(n: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+
+    q = q.withColumn("qb", F.pmod(F.xxhash64("qid"), F.lit(n_q)).cast("int")).withColumn("cb", blocks(n_c))
+    c = c.withColumn("cb", F.pmod(F.xxhash64("did"), F.lit(n_c)).cast("int")).withColumn("qb", blocks(n_q))
+    cand = (q.groupBy("qb", "cb").cogroup(c.groupBy("qb", "cb"))
+             .applyInPandas(_block_topk(k), _cand_schema(q.schema["qid"].dataType, c.schema["did"].dataType)))
+    w = W.partitionBy("qid").orderBy(F.col("micro").desc(), F.col("did"))
     ranked = cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
     return ranked.select(F.col("qid").alias(q_id), "rank", F.col("did").alias(d_id), "score")
 
 
-def _partition_topk(bq, k: int):
-    def run(batches):
-        qids, qmat = bq.value
-        best: list[pd.DataFrame] = []
-        for pdf in batches:
-            if len(pdf) == 0 or len(qids) == 0:
-                continue
-            dmat = np.stack(pdf["dv"].to_numpy()).astype(np.float64)
-            scores = qmat @ dmat.T                       # (queries, docs in batch)
-            dids = pdf["did"].to_numpy()
-            kk = min(k, scores.shape[1])
-            idx = np.argpartition(-scores, kk - 1, axis=1)[:, :kk] if kk < scores.shape[1] else \
-                np.tile(np.arange(scores.shape[1]), (len(qids), 1))
-            rows = np.repeat(np.arange(len(qids)), idx.shape[1])
-            best.append(pd.DataFrame({"qid": qids[rows], "did": dids[idx.ravel()],
-                                      "score": scores[rows, idx.ravel()]}))
-        if best:
-            allc = pd.concat(best, ignore_index=True)
-            # keep k per query for this partition (k plus ties at the edge)
-            allc = allc.sort_values(["qid", "score", "did"], ascending=[True, False, True])
-            yield allc.groupby("qid", sort=False).head(k + 2)
+def _cand_schema(qid: T.DataType, did: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField("qid", qid), T.StructField("did", did), T.StructField("score", T.DoubleType()),
+                         T.StructField("micro", T.LongType())])
+
+
+def _block_topk(k: int):
+    def run(qs: pd.DataFrame, ds: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(qs) and len(ds):
+            ds = ds.sort_values("did", kind="stable")  # position order = id order
+            qmat, dids = np.stack(qs["v"].to_numpy()).astype(np.float64), ds["did"].to_numpy()
+            vecs = ds["v"].to_numpy()
+            at = np.zeros((len(qmat), 0), np.int64)
+            score, micro = np.zeros((len(qmat), 0)), np.zeros((len(qmat), 0), np.int64)
+            for lo in range(0, len(vecs), SLICE):
+                new = qmat @ np.stack(vecs[lo:lo + SLICE]).astype(np.float64).T
+                score = np.hstack([score, new])
+                micro = np.hstack([micro, np.floor(new * 1e6 + 0.5).astype(np.int64)])
+                at = np.hstack([at, np.tile(np.arange(lo, lo + new.shape[1]), (len(qmat), 1))])
+                best = np.lexsort((at, -micro), axis=1)[:, :k]
+                score, micro, at = (np.take_along_axis(x, best, 1) for x in (score, micro, at))
+            rows = np.repeat(np.arange(len(qmat)), at.shape[1])
+            out.append(pd.DataFrame({"qid": qs["qid"].to_numpy()[rows], "did": dids[at.ravel()],
+                                     "score": score.ravel(), "micro": micro.ravel()}))
+        return out[0] if out else pd.DataFrame({"qid": [], "did": [], "score": [], "micro": []})
     return run
 
 
@@ -107,15 +106,13 @@ def bm25_index(corpus: DataFrame, *, d_id: str, text: str,
     With ``vocabulary`` (a one-column ``term`` frame) postings and document
     frequencies are built only for those terms (a semi join before the
     aggregation); lengths and N still count every token."""
-    toks = corpus.select(F.col(d_id).alias("doc"), bm25_terms(text).alias("_t"))
-    dl = toks.select("doc", F.size("_t").alias("dl"))
-    exploded = toks.select("doc", F.explode("_t").alias("term"))
+    toks = corpus.select(F.col(d_id).alias("doc"), bm25_terms(text).alias("_t")).withColumn("dl", F.size("_t"))
+    exploded = toks.select("doc", "dl", F.explode("_t").alias("term"))
     if vocabulary is not None:
         exploded = exploded.join(vocabulary, "term", "left_semi")
-    post = (exploded.groupBy("term", "doc").agg(F.count(F.lit(1)).alias("tf"))
-                    .join(dl, "doc"))
+    post = exploded.groupBy("term", "doc", "dl").agg(F.count(F.lit(1)).alias("tf"))
     dfreq = post.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    stats = dl.agg(F.count(F.lit(1)).alias("n_docs"), F.avg("dl").alias("avgdl"))
+    stats = toks.agg(F.count(F.lit(1)).alias("n_docs"), F.avg("dl").alias("avgdl"))
     return post, dfreq, stats
 
 
@@ -145,7 +142,7 @@ def read_corpus(df: DataFrame, *, id_col: str, contents_col: str) -> DataFrame:
     """contents = 'title\\ntext' -> title (first line, quotes stripped), text."""
     c = F.col(contents_col)
     title = F.regexp_replace(F.substring_index(c, "\n", 1), r'^"+|"+$', "")
-    text = F.when(F.instr(c, "\n") > 0, F.substring(c, F.instr(c, "\n") + 1, F.lit(1 << 30))).otherwise(F.lit(""))
+    text = F.when(F.instr(c, "\n") > 0, F.substring(c, F.instr(c, "\n") + 1, F.length(c))).otherwise(F.lit(""))
     return df.select(F.col(id_col).alias("id"), title.alias("title"), text.alias("text"), c.alias("contents"))
 
 

@@ -63,7 +63,7 @@ def q_chunk_by_bytes(spark, sf):
 
 @register("group_balance_shard")
 def q_group_balance_shard(spark, sf):
-    s = FX.samples_n4(spark, sf).select("group_index", "idx_in_group", "response_length")
+    s = FX.samples(spark, sf).select("group_index", "idx_in_group", "response_length")
     # whole batches of 64 groups only (the step is trimmed as in C8)
     from ..operators.sampling import trim_to_batch
     groups = global_index(trim_to_batch(s.select("group_index").distinct(), 64, order_cols=["group_index"]),
@@ -76,6 +76,9 @@ def q_group_balance_shard(spark, sf):
 
 @register("microbatch_schedule")
 def q_microbatch_schedule(spark, sf):
-    g = _ordered(spark, sf)
+    from ..operators.sampling import trim_to_batch
+    # whole steps only, as training does
+    g = trim_to_batch(_ordered(spark, sf).drop("row_idx"), 512, order_cols=["group_index", "idx_in_group"])
+    g = global_index(g, ["group_index", "idx_in_group"], "row_idx")
     return B.microbatch_schedule(g, order_col="row_idx", length_col="response_length", global_batch=512,
                                  dp_size=4, max_tokens=300)

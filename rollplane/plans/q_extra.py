@@ -53,7 +53,7 @@ def q_eval_summary(spark, sf):
 
 # S3 -------------------------------------------------------------------------
 @register("merge_eval_sets", W(_EVAL_SQL + """
-, n4 AS (SELECT o.o_orderpriority AS dataset, s.* FROM samples_n4 s JOIN orders o ON s.group_index = o.o_orderkey),
+, n4 AS (SELECT o.o_orderpriority AS dataset, s.* FROM samples s JOIN orders o ON s.group_index = o.o_orderkey),
 pg AS (SELECT dataset, group_index, count(*) AS n, count(*) FILTER (WHERE reward = 1) AS c FROM n4 GROUP BY ALL),
 pk AS (SELECT dataset, 'eval/' || dataset || '/pass@' || CAST(k AS VARCHAR) AS key,
               avg(CASE WHEN n - c < k THEN 1.0 WHEN c = 0 THEN 0.0
@@ -61,11 +61,11 @@ pk AS (SELECT dataset, 'eval/' || dataset || '/pass@' || CAST(k AS VARCHAR) AS k
                                               lambda a, b: a * b, 1.0) END) AS value
        FROM pg, (SELECT unnest([1, 2, 4]) AS k) ks GROUP BY dataset, k)
 SELECT dataset, key, round(value, 6) AS value FROM lg UNION ALL SELECT dataset, key, round(value, 6) FROM pk""",
-    "samples", "samples_n4"))
+    "samples"))
 def q_merge_eval_sets(spark, sf):
     summary = _eval_long(spark, sf)
-    n4 = _with_priority(spark, sf, FX.samples_n4(spark, sf))
-    pk = M.pass_at_k(n4, group_cols=["group_index"], n=4, extra_keys=["dataset"])
+    n4 = _with_priority(spark, sf, FX.samples(spark, sf))
+    pk = M.pass_at_k(n4, group_cols=["group_index"], n=4, extra_keys=["dataset"], allow_uneven=True)
     pk = pk.select("dataset", F.concat(F.lit("eval/"), F.col("dataset"), F.lit("/pass@"), F.col("k").cast("string"))
                    .alias("key"), F.col("pass_at_k").alias("value"))
     return summary.unionByName(pk).select("dataset", "key", r6("value").alias("value"))

@@ -52,10 +52,10 @@ def q_split_aborted_groups(spark, sf):
 
 @register("group_norm_rewards", W("""
 SELECT group_index, idx_in_group,
-       round((reward - avg(reward) OVER w) / (stddev_samp(reward) OVER w + 1e-6), 6) AS norm_reward
-FROM samples_n4 WINDOW w AS (PARTITION BY group_index)""", "samples_n4"))
+       round((reward - avg(reward) OVER w) / coalesce(stddev_samp(reward) OVER w + 1e-6, 1), 6) AS norm_reward
+FROM samples WINDOW w AS (PARTITION BY group_index)""", "samples"))
 def q_group_norm_rewards(spark, sf):
-    out = G.group_norm_rewards(FX.samples_n4(spark, sf), group_cols=GI, estimator="grpo", n_samples_per_prompt=4)
+    out = G.group_norm_rewards(FX.samples(spark, sf), group_cols=GI, estimator="grpo")
     return out.select("group_index", "idx_in_group", r6("norm_reward").alias("norm_reward"))
 
 
@@ -88,11 +88,11 @@ def q_zero_std_counts(spark, sf):
 SELECT k, round(avg(CASE WHEN n - c < k THEN 1.0 WHEN c = 0 THEN 0.0
                          ELSE 1.0 - list_reduce(list_transform(range(n - c + 1, n + 1), lambda i: 1.0 - k / i),
                                                 lambda a, b: a * b, 1.0) END), 6) AS pass_at_k
-FROM (SELECT group_index, count(*) AS n, count(*) FILTER (WHERE reward = 1) AS c FROM samples_n4 GROUP BY group_index) g,
+FROM (SELECT group_index, count(*) AS n, count(*) FILTER (WHERE reward = 1) AS c FROM samples GROUP BY group_index) g,
      (SELECT CAST(unnest([1, 2, 4]) AS BIGINT) AS k) ks
-GROUP BY k""", "samples_n4"))
+GROUP BY k""", "samples"))
 def q_pass_at_k(spark, sf):
-    out = M.pass_at_k(FX.samples_n4(spark, sf), group_cols=GI, n=4)
+    out = M.pass_at_k(FX.samples(spark, sf), group_cols=GI, n=4, allow_uneven=True)
     return out.select("k", r6("pass_at_k").alias("pass_at_k"))
 
 

@@ -72,12 +72,12 @@ def q_newest_groups(spark, sf):
 # G5 -------------------------------------------------------------------------
 _GROUPS_SQL = """
 , gk AS (SELECT group_index, max(finished_at) AS done_at, count(*) >= 2 AND max(reward) > min(reward) AS keep
-         FROM samples_n4 GROUP BY group_index)
+         FROM samples GROUP BY group_index)
 """
 
 
 def _groups(spark, sf):
-    s = FX.samples_n4(spark, sf)
+    s = FX.samples(spark, sf)
     st = G.group_stats(s, ("group_index",))
     return (s.groupBy("group_index").agg(F.max("finished_at").alias("done_at"))
              .join(st.select("group_index", ((F.col("_gs_n") >= 2) & (F.col("_gs_max") > F.col("_gs_min"))).alias("keep")),
@@ -87,7 +87,7 @@ def _groups(spark, sf):
 @register("accept_first_n", W(_GROUPS_SQL + """
 , f AS (SELECT group_index FROM (SELECT group_index, row_number() OVER (ORDER BY done_at, group_index) AS k
                                  FROM gk WHERE keep) WHERE k <= 500)
-SELECT group_index, row_number() OVER (ORDER BY group_index) - 1 AS pos FROM f""", "samples_n4"))
+SELECT group_index, row_number() OVER (ORDER BY group_index) - 1 AS pos FROM f""", "samples"))
 def q_accept_first_n(spark, sf):
     out = S.accept_first_n(_groups(spark, sf), 500, keep_col="keep", completion_cols=["done_at", "group_index"],
                            index_col="group_index")
@@ -102,7 +102,7 @@ c AS (SELECT *, sum(kept) OVER (ORDER BY block) - kept AS before FROM p)
 SELECT CAST(block AS BIGINT) AS block, CAST(kept AS BIGINT) AS kept, CAST(dropped AS BIGINT) AS dropped,
        CAST(greatest(least(kept, 500 - before), 0) AS BIGINT) AS accepted,
        CAST(greatest(kept - greatest(500 - before, 0), 0) AS BIGINT) AS surplus, before < 500 AS used
-FROM c""", "samples_n4"))
+FROM c""", "samples"))
 def q_oversampling_report(spark, sf):
     out = S.oversampling_report(_groups(spark, sf), n=500, block_size=64, keep_col="keep", submit_cols=["group_index"])
     return out.select(F.col("block").cast("bigint"), F.col("kept").cast("bigint"), F.col("dropped").cast("bigint"),
@@ -194,9 +194,9 @@ def q_skip_anti_join(spark, sf):
 
 # S2 -------------------------------------------------------------------------
 @register("flatten_groups", W("""
-SELECT group_index, idx_in_group, reward FROM samples_n4""", "samples_n4"))
+SELECT group_index, idx_in_group, reward FROM samples""", "samples"))
 def q_flatten_groups(spark, sf):
-    s = FX.samples_n4(spark, sf)
+    s = FX.samples(spark, sf)
     # groups of n samples as nested rows (bounded by n), then flattened back
     nested = s.groupBy("group_index").agg(F.collect_list(F.struct("idx_in_group", "reward")).alias("samples"))
     return nested.select("group_index", F.explode("samples").alias("s")).select("group_index", "s.idx_in_group", "s.reward")

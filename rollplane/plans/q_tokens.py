@@ -84,7 +84,9 @@ SELECT group_index, idx_in_group, {sig_sql('ret', 'g')} FROM y GROUP BY group_in
 def q_rpp_returns(spark, sf):
     t = _tok(spark, sf)
     kl = A.approx_kl("log_probs", "ref_log_probs", "k1")
-    return t.select(*KEY, *sigs("ret", A.rpp_returns("reward", kl, "loss_mask", KL_COEF, GAMMA)))
+    t = t.select(*KEY, "reward", "loss_mask", kl.alias("kl"))
+    out = TK.rpp_returns(t, reward="reward", kl=F.col("kl"), mask="loss_mask", kl_coef=KL_COEF, gamma=GAMMA)
+    return out.select(*KEY, *sigs("ret", F.col("returns")))
 
 
 # H4 -------------------------------------------------------------------------
@@ -128,9 +130,9 @@ FROM y GROUP BY group_index, idx_in_group"""
 def q_gae(spark, sf):
     t = _tok(spark, sf)
     kl = A.approx_kl("log_probs", "ref_log_probs", "k1")
-    g = A.gae(A.kl_shaped_rewards("reward", kl, KL_COEF), "values", GAMMA, LAMBD)
-    return t.select(*KEY, g.alias("g")).select(*KEY, *sigs("adv", F.col("g.advantages")),
-                                               r6(A.asum(F.col("g.returns"))).alias("ret_sum"))
+    t = t.select(*KEY, A.kl_shaped_rewards("reward", kl, KL_COEF).alias("r"), "values")
+    g = TK.gae_rows(t.select(*KEY, "values", "r"), rewards=F.col("r"), values="values", gamma=GAMMA, lambd=LAMBD)
+    return g.select(*KEY, *sigs("adv", F.col("advantages")), r6(A.asum("returns")).alias("ret_sum"))
 
 
 # H8 -------------------------------------------------------------------------

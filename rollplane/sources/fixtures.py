@@ -33,14 +33,6 @@ def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def samples_n4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F1n: groups of exactly 4 (first 4 samples of groups with >= 4)."""
-    s = samples(spark, sf_dir)
-    sizes = s.groupBy("group_index").agg(F.count(F.lit(1)).alias("_n"))
-    return (s.join(sizes.filter("_n >= 4").select("group_index"), "group_index", "left_semi")
-             .filter(F.col("idx_in_group") < 4))
-
-
 # ------------------------------------------------------------- F2 token rows
 def token_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = samples(spark, sf_dir)
@@ -117,12 +109,17 @@ def graded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------- search transcripts
 def transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One search-agent transcript per conversation, built from its first
-    three turns in four shapes by conv_id mod 4 (valid direct answer, valid
-    search round, stray text between tags, unbalanced think)."""
+    """One search-agent transcript per conversation, built from all its
+    turns in four shapes by conv_id mod 4 (valid direct answer, valid
+    search round, stray text between tags, unbalanced think). The first turn
+    is thought, the second searched or answered, the rest is what was found
+    (or thought as well)."""
     c = read_table(spark, sf_dir, "conversations")
-    t = c.groupBy("conv_id").agg(*[F.max(F.when(F.col("turn") == i, F.col("text"))).alias(f"t{i}") for i in range(3)])
-    t0, t1, t2 = F.col("t0"), F.coalesce(F.col("t1"), F.lit("")), F.coalesce(F.col("t2"), F.lit(""))
+    first = [F.max(F.when(F.col("turn") == i, F.col("text"))).alias(f"t{i}") for i in range(2)]
+    rest = F.array_sort(F.collect_list(F.when(F.col("turn") >= 2, F.struct("turn", "text"))))
+    t = c.groupBy("conv_id").agg(*first, F.array_join(F.transform(rest, lambda x: x["text"]), "\n").alias("t2"))
+    t1, t2 = F.coalesce(F.col("t1"), F.lit("")), F.coalesce(F.col("t2"), F.lit(""))
+    t0 = F.when(F.col("conv_id") % 4 == 1, F.col("t0")).otherwise(F.concat(F.col("t0"), F.lit("\n"), t2))
     k = F.col("conv_id") % 4
     body = (F.when(k == 0, F.concat(F.lit("<think>"), t0, F.lit("</think>\n<answer>"), t1, F.lit("</answer>")))
              .when(k == 1, F.concat(F.lit("<think>"), t0, F.lit("</think><search>"), t1, F.lit("</search>\n<information>"),
@@ -153,10 +150,6 @@ SELECT l_orderkey AS group_index,
        l_shipdate AS finished_at,
        l_partkey, l_linenumber
 FROM lineitem""",
-    "samples_n4": """
-SELECT * FROM samples
-WHERE idx_in_group < 4
-  AND group_index IN (SELECT group_index FROM samples GROUP BY group_index HAVING count(*) >= 4)""",
     "token_rows": """
 SELECT group_index, idx_in_group, reward, status, response_length, dense_reward,
   list_transform(range(response_length), lambda t: CASE WHEN t = 0 OR (group_index + idx_in_group + t) % 5 <> 0 THEN 1 ELSE 0 END) AS loss_mask,
@@ -214,16 +207,16 @@ SELECT conv_id, '<|im_start|>assistant' || chr(10) ||
                 '</information><think>ok</think><answer>' || t1 || '</answer>'
     WHEN 2 THEN '<think>' || t0 || '</think> stray <answer>' || t1 || '</answer>'
     ELSE '<think>' || t0 || '<answer>' || t1 || '</answer>' END AS transcript
-FROM (SELECT conv_id, max(CASE WHEN turn = 0 THEN text END) AS t0, coalesce(max(CASE WHEN turn = 1 THEN text END), '') AS t1,
-             coalesce(max(CASE WHEN turn = 2 THEN text END), '') AS t2
-      FROM conversations GROUP BY conv_id) x""",
+FROM (SELECT conv_id, CASE WHEN conv_id % 4 = 1 THEN f ELSE f || chr(10) || t2 END AS t0, t1, t2 FROM (
+  SELECT conv_id, max(CASE WHEN turn = 0 THEN text END) AS f, coalesce(max(CASE WHEN turn = 1 THEN text END), '') AS t1,
+         coalesce(string_agg(text, chr(10) ORDER BY turn, text) FILTER (turn >= 2), '') AS t2
+  FROM conversations GROUP BY conv_id) y) x""",
     "vectors": """
 SELECT vec_id, CAST(embedding AS DOUBLE[]) AS embedding, label FROM embeddings""",
 }
 
 # Fixture dependencies (a fixture's CTE must precede its users).
 FIXTURE_DEPS: dict[str, tuple[str, ...]] = {
-    "samples_n4": ("samples",),
     "token_rows": ("samples",),
     "tok": ("token_rows",),
     "chat_msgs": ("chat",),

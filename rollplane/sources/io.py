@@ -8,23 +8,21 @@ single-partition window.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..plans.ordering import global_index
 
-_SLICE = re.compile(r"^(?P<path>.*)@\[(?P<start>-?\d*):(?P<end>-?\d*)\]$")
-
-
-def parse_generalized_path(s: str) -> tuple[str, tuple[int | None, int | None] | None]:
-    m = _SLICE.match(s)
-    if m is None:
-        return s, None
-    start = int(m.group("start")) if m.group("start") != "" else None
-    end = int(m.group("end")) if m.group("end") != "" else None
-    return m.group("path"), (start, end)
+def split_row_range(path: str) -> tuple[str, tuple[int | None, int | None] | None]:
+    """``path@[a:b]`` -> (path, (a, b)), either bound None when left out; a path
+    without such a suffix -> (path, None)."""
+    head, mark, tail = path.rpartition("@[")
+    bounds = tail[:-1].split(":") if mark and tail.endswith("]") else []
+    if len(bounds) != 2 or not all(b == "" or b.removeprefix("-").isdigit() for b in bounds):
+        return path, None
+    start, end = (int(b) if b else None for b in bounds)
+    return head, (start, end)
 
 
 # A1 -------------------------------------------------------------------------
@@ -32,7 +30,7 @@ def read_prompts(spark: SparkSession, path: str, *, schema: T.StructType | str |
                  order_cols: Sequence[str] = ()) -> DataFrame:
     """JSONL (``label`` forced to string) or Parquet by suffix, else an error;
     an ``@[a:b]`` suffix selects a row range in ``order_cols`` order."""
-    real, sl = parse_generalized_path(path)
+    real, sl = split_row_range(path)
     if real.endswith(".jsonl"):
         r = spark.read.schema(schema) if schema is not None else spark.read
         df = r.json(real)
@@ -154,27 +152,19 @@ def cursor_load(spark: SparkSession, path: str, rollout_id: int | None = None) -
     return df.filter(F.col("rollout_id") == rollout_id)
 
 
-# A12 ------------------------------------------------------------------------
-def read_corpus(df: DataFrame, *, id_col: str = "id", contents_col: str = "contents") -> DataFrame:
-    """``contents = "title\\ntext"`` -> title (first line) and text (rest)."""
-    c = F.col(contents_col)
-    return df.select(F.col(id_col).alias("id"), F.substring_index(c, "\n", 1).alias("title"),
-                     F.when(F.instr(c, "\n") > 0, F.expr(f"substr({contents_col}, instr({contents_col}, '\n') + 1)"))
-                      .otherwise(F.lit("")).alias("text"), c.alias("contents"))
-
-
 def subsample_ends_by(df: DataFrame, ratio: float, *, key_cols: Sequence[str], order_cols: Sequence[str]) -> DataFrame:
     """``subsample_ends`` per key (e.g. per rollout id): first k//2 and last
-    k - k//2 rows of each key, k = int(n_key * ratio); keys with k = 0 keep
-    nothing.  Positions come from the distributed index, counts from one
+    k - k//2 rows of each key, k = int(n_key * ratio); a key with k = 0
+    raises, as in ``subsample_ends``.  Positions come from the distributed index, counts from one
     aggregate per key."""
     from ..plans.ordering import index_within_group
     g = index_within_group(df, list(key_cols), list(order_cols), "_ss")
     n = df.groupBy(*key_cols).agg(F.count(F.lit(1)).alias("_n"))
     k = F.floor(F.col("_n") * ratio).cast("bigint")
+    k = F.when(k > 0, k).otherwise(F.raise_error(F.lit("subsample ratio keeps no rows of a key")).cast("bigint"))
     head = F.floor(k / 2).cast("bigint")
     return (g.join(n, list(key_cols))
-             .filter((k > 0) & ((F.col("_ss") < head) | (F.col("_ss") >= F.col("_n") - (k - head))))
+             .filter((F.col("_ss") < head) | (F.col("_ss") >= F.col("_n") - (k - head)))
              .drop("_ss", "_n"))
 
 
@@ -207,7 +197,8 @@ def eval_config_table(spark: SparkSession, config, *, defaults: dict | None = No
         if "name" not in c:
             raise ValueError("eval dataset needs a name")
     defaults, run_level = defaults or {}, run_level or {}
-    rows = [tuple(c.get(k, defaults.get(k, run_level.get(k))) for k in EVAL_KEYS[:8]) for c in items]
+    rows = [tuple(c.get(k, defaults.get(k, run_level.get(k))) for k in EVAL_KEYS) for c in items]
     schema = ("name string, path string, rm_type string, n_samples_per_eval_prompt int, max_response_len int, "
-              "top_p double, temperature double, prompt_key string")
+              "top_p double, temperature double, prompt_key string, label_key string, "
+              "metadata_overrides map<string, string>")
     return spark.createDataFrame(rows, schema)

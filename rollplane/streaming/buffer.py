@@ -131,6 +131,20 @@ def run_to_table(stream: DataFrame, spark: SparkSession, name: str, *, mode: str
     return spark.read.schema(stream.schema).parquet(f"{base}/out")
 
 
+_BATCH = "micro_batch"
+
+
+def _put(df: DataFrame, path: str, batch_id: int) -> None:
+    """A micro-batch's output has a folder of its own, so that a replayed batch
+    replaces what it wrote before."""
+    df.write.mode("overwrite").parquet(f"{path}/{_BATCH}={batch_id}")
+
+
+def _written(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """All micro-batches so far, with their id in ``_BATCH``."""
+    return spark.read.schema(T.StructType([*schema.fields, T.StructField(_BATCH, T.LongType())])).parquet(path)
+
+
 def poll_stats(items: DataFrame, spark: SparkSession, name: str = "poll_stats") -> DataFrame:
     """E19 statistics of each micro-batch (what one poll would have
     returned since the previous one), keyed by batch id."""
@@ -145,12 +159,12 @@ def poll_stats(items: DataFrame, spark: SparkSession, name: str = "poll_stats")
                              F.coalesce(F.col("total_samples") / F.nullif(F.col("num_groups"), F.lit(0)),
                                         F.lit(0.0)).alias("avg_group_size"),
                              F.coalesce("avg_reward", F.lit(0.0)).alias("avg_reward"))
-        stats.write.mode("append").parquet(out)
+        _put(stats, out, batch_id)
 
     q = (items.writeStream.foreachBatch(write).option("checkpointLocation", f"{base}/_checkpoint")
               .trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(out)
+    return spark.read.parquet(out).drop(_BATCH)
 
 
 def stream_metrics(items: DataFrame, spark: SparkSession, *, window: str = "1 day", watermark: str = "1 day",
@@ -166,13 +180,13 @@ def stream_metrics(items: DataFrame, spark: SparkSession, *, window: str = "1 da
     out = f"{base}/metrics"
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.select(F.lit(batch_id).cast("bigint").alias("batch_id"), F.col("w.start").alias("window_start"),
-                     "n_samples", "reward_mean", "truncated_ratio").write.mode("append").parquet(out)
+        _put(batch.select(F.lit(batch_id).cast("bigint").alias("batch_id"), F.col("w.start").alias("window_start"),
+                          "n_samples", "reward_mean", "truncated_ratio"), out, batch_id)
 
     q = (agg.writeStream.outputMode("update").foreachBatch(write)
             .option("checkpointLocation", f"{base}/_checkpoint").trigger(availableNow=True).start())
     q.awaitTermination()
-    hist = spark.read.parquet(out)
+    hist = spark.read.parquet(out).drop(_BATCH)
     last = hist.groupBy("window_start").agg(F.max("batch_id").alias("batch_id"))
     return hist.join(last, ["window_start", "batch_id"]).drop("batch_id")
 
@@ -188,21 +202,21 @@ def filter_groups_stream(groups: DataFrame, spark: SparkSession, name: str = "fi
     keys = ("instance_id", "group_seq")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        G.nonzero_std_filter(batch, group_cols=keys).write.mode("append").parquet(kept_path)
-        (G.filter_drop_reasons(batch, group_cols=keys).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-          .write.mode("append").parquet(drop_path))
+        _put(G.nonzero_std_filter(batch, group_cols=keys), kept_path, batch_id)
+        _put(G.filter_drop_reasons(batch, group_cols=keys).withColumn("batch_id", F.lit(batch_id).cast("bigint")),
+             drop_path, batch_id)
 
     q = (groups.writeStream.foreachBatch(write).option("checkpointLocation", f"{base}/_checkpoint")
                .trigger(availableNow=True).start())
     q.awaitTermination()
-    return (spark.read.schema(groups.schema).parquet(kept_path),
-            spark.read.schema("reason string, n_groups long, batch_id long").parquet(drop_path))
+    return (_written(spark, kept_path, groups.schema).drop(_BATCH),
+            _written(spark, drop_path, T._parse_datatype_string("reason string, n_groups long, batch_id long")).drop(_BATCH))
 
 
 def recycle_partial(groups: DataFrame, spark: SparkSession, name: str = "recycle") -> tuple[DataFrame, DataFrame]:
     """U4: per micro-batch, emitted groups holding an aborted item go back to
-    a buffer table with ``start_rollout_id`` = the batch that first saw
-    them (kept when a group is recycled again); the others are done.
+    a buffer table with ``start_rollout_id`` = the batch that saw them;
+    the others are done.
     Returns (done members, buffered members)."""
     base = run_dir(spark, name)
     done_path, buf_path = f"{base}/done", f"{base}/buffer"
@@ -211,18 +225,16 @@ def recycle_partial(groups: DataFrame, spark: SparkSession, name: str = "recycle
     def write(batch: DataFrame, batch_id: int) -> None:
         flag = batch.groupBy(*keys).agg(F.bool_or(F.col("finish_reason") == "abort").alias("_partial"))
         tagged = batch.join(flag, keys)
-        tagged.filter(~F.col("_partial")).drop("_partial").write.mode("append").parquet(done_path)
-        start = F.coalesce(F.col("start_rollout_id"), F.lit(batch_id).cast("bigint")) \
-            if "start_rollout_id" in batch.columns else F.lit(batch_id).cast("bigint")
-        (tagged.filter(F.col("_partial")).drop("_partial").withColumn("start_rollout_id", start)
-               .write.mode("append").parquet(buf_path))
+        _put(tagged.filter(~F.col("_partial")).drop("_partial"), done_path, batch_id)
+        _put(tagged.filter(F.col("_partial")).drop("_partial")
+                   .withColumn("start_rollout_id", F.lit(batch_id).cast("bigint")), buf_path, batch_id)
 
     q = (groups.writeStream.foreachBatch(write).option("checkpointLocation", f"{base}/_checkpoint")
                .trigger(availableNow=True).start())
     q.awaitTermination()
-    return (spark.read.schema(groups.schema).parquet(done_path),
-            spark.read.schema(T.StructType(groups.schema.fields + [T.StructField("start_rollout_id", T.LongType())]))
-                 .parquet(buf_path))
+    return (_written(spark, done_path, groups.schema).drop(_BATCH),
+            _written(spark, buf_path, T.StructType(groups.schema.fields + [T.StructField("start_rollout_id", T.LongType())]))
+            .drop(_BATCH))
 
 
 def collect_until_target(groups: DataFrame, spark: SparkSession, target: int, name: str = "collect"
@@ -235,21 +247,21 @@ def collect_until_target(groups: DataFrame, spark: SparkSession, target: int, na
     base = run_dir(spark, name)
     taken_path, kept_path = f"{base}/taken", f"{base}/kept"
     keys = ["instance_id", "group_seq"]
+    _put(spark.createDataFrame([], groups.schema), taken_path, -1)  # so that the first batch finds a table
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        try:
-            so_far = spark.read.parquet(taken_path).select(*keys).distinct().count()   # bounded by target
-        except Exception:  # noqa: BLE001 - first batch: nothing taken yet
-            so_far = 0
+        # groups taken by earlier batches (a replayed batch does not count itself); bounded by target
+        so_far = (_written(spark, taken_path, groups.schema).filter(F.col(_BATCH) < batch_id)
+                  .select(*keys).distinct().count())
         g = batch.groupBy(*keys).agg(F.max("ts").alias("_done_at"))
         ranked = global_index(g, ["_done_at", "instance_id", "group_seq"], "_r")
         room = max(target - so_far, 0)
         tagged = batch.join(ranked.select(*keys, "_r"), keys)
-        tagged.filter(F.col("_r") < room).drop("_r").write.mode("append").parquet(taken_path)
-        tagged.filter(F.col("_r") >= room).drop("_r").write.mode("append").parquet(kept_path)
+        _put(tagged.filter(F.col("_r") < room).drop("_r"), taken_path, batch_id)
+        _put(tagged.filter(F.col("_r") >= room).drop("_r"), kept_path, batch_id)
 
     q = (groups.writeStream.foreachBatch(write).option("checkpointLocation", f"{base}/_checkpoint")
                .trigger(availableNow=True).start())
     q.awaitTermination()
-    return (spark.read.schema(groups.schema).parquet(taken_path),
-            spark.read.schema(groups.schema).parquet(kept_path))
+    return (_written(spark, taken_path, groups.schema).drop(_BATCH),
+            _written(spark, kept_path, groups.schema).drop(_BATCH))

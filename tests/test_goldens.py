@@ -255,7 +255,7 @@ def test_mathd_normalize(spark):
     got = [(r["want"], r["n"]) for r in df.select("want", TX.mathd_normalize("a").alias("n")).collect()]
     assert all(w == n for w, n in got), got
     r = spark.range(1).select(TX.mathd_grade(F.lit("0.5"), F.lit("\\frac{1}{2}")).alias("g"),
-                              TX.grade_dispatch(F.lit("boxed_math"), F.lit("so \\boxed{1/2}"), F.lit("0.5")).alias("d")).first()
+                              TX.grade_dispatch(F.lit("math"), F.lit("so \\boxed{1/2}"), F.lit("0.5")).alias("d")).first()
     assert r["g"] == 1.0 and r["d"] == 1.0
 
 
@@ -266,3 +266,13 @@ def test_deepscaler_and_math_grade(spark):
         TX.deepscaler_grade(F.lit("###Response the \\boxed{3}"), F.lit("\\boxed{3}")).alias("c"),
         TX.math_grade(F.lit("\\boxed{2}"), F.lit("")).alias("d")).first()
     assert (r["a"], r["b"], r["c"], r["d"]) == (1.0, 0.0, 1.0, 0.0)
+
+
+def test_math_grade_by_value(spark):
+    from rollplane.functions import text as TX
+    rows = [("\\boxed{1,000}", "1000", 1.0), ("\\boxed{(1,2)}", "(1, 2.0)", 1.0), ("\\boxed{2.50}", "5/2", 1.0),
+            ("\\boxed{12 cm}", "12", 1.0), ("\\boxed{1\\frac{1}{2}}", "1.5", 1.0), ("\\boxed{3}", "3.0", 1.0),
+            ("\\boxed{2/4}", "1/2", 0.0), ("\\boxed{(1,2)}", "[1,2]", 0.0), ("\\boxed{(1,2)}", "(1,2,3)", 0.0),
+            ("\\boxed{5}", "2+3", 0.0), ("\\boxed{50\\%}", "50", 1.0), ("no box", "1", 0.0)]
+    df = spark.createDataFrame(rows, "r string, l string, want double")
+    assert [(r.r, r.g) for r in df.select("r", TX.math_grade("r", "l").alias("g")).collect()] == [(r, w) for r, _, w in rows]
