@@ -196,3 +196,32 @@ def forward_flops(seqlen: Column, *, hidden: int, heads: int, kv_groups: int, ff
     if moe_layers:
         total = total + layer(moe_ffn) * F.lit(moe_layers)
     return total
+
+
+# E9 -------------------------------------------------------------------------
+def spec_metrics(rollup: DataFrame) -> DataFrame:
+    """Mean accept rate and accept length over samples (see ``spec_info_rollup``)."""
+    return rollup.agg(F.avg("spec_accept_rate").alias("spec_accept_rate"), F.avg("spec_accept_length").alias("spec_accept_length"))
+
+
+# E17 ------------------------------------------------------------------------
+def timer_perf(timers: DataFrame, work: DataFrame, *, keys: Sequence[str], name: str = "name", seconds: str = "seconds",
+               flops: str = "fwd_flops", tokens: str = "tokens") -> DataFrame:
+    """Per ``keys`` (a rollout): seconds by timer name, and the derived rates;
+    a rate is null when its timer is absent or zero. ``work`` has the forward
+    FLOPs and token count of each key."""
+    names = ("actor_train", "log_probs", "ref_log_probs", "train_wait", "train")
+    wide = timers.groupBy(*keys).agg(*[F.sum(F.when(F.col(name) == n, F.col(seconds))).alias(f"{n}_time") for n in names])
+    j = wide.join(work, list(keys), "left")
+
+    def per_second(x, timer):
+        return F.when(F.col(f"{timer}_time") > 0, x / F.col(f"{timer}_time"))
+    trained = F.col("actor_train_time").isNotNull()
+    total = F.col("train_wait_time") + F.col("train_time")
+    return j.select(*keys, *[f"{n}_time" for n in names],
+                    F.when(trained, per_second(F.col(flops), "log_probs")).alias("log_probs_tflops"),
+                    F.when(trained, per_second(F.col(flops), "ref_log_probs")).alias("ref_log_probs_tflops"),
+                    per_second(3 * F.col(flops), "actor_train").alias("actor_train_tflops"),
+                    per_second(F.col(tokens), "actor_train").alias("actor_train_tok_per_s"),
+                    F.when(total > 0, total).alias("step_time"),
+                    F.when(total > 0, F.col("train_wait_time") / total).alias("wait_time_ratio"))

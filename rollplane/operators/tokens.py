@@ -393,3 +393,21 @@ def _policy_loss_report_arrays(df: DataFrame, *, log_probs: str, old_log_probs:
     agg = df.agg(*[(F.sum(v) / n).alias(k) for k, v in cols.items()])
     return agg.withColumn("loss", F.col("pg_loss") - A.lit(entropy_coef) * F.col("entropy_loss")
                           + A.lit(kl_loss_coef) * F.col("kl_loss"))
+
+
+# H16 ------------------------------------------------------------------------
+def mis_metrics_report(df: DataFrame, *, train_lp: str = "log_probs", rollout_lp: str = "rollout_log_probs",
+                       mask: str = "loss_mask", level: str = "token", mode: str = "truncate", upper: float = 2.0,
+                       lower: float | None = None, veto_threshold: float | None = None) -> DataFrame:
+    """One row of ``mis_`` metrics: sample means (masked token means first) of the
+    weights before and after, of the fractions below and above the bounds and,
+    with ``veto_threshold``, of the catastrophic tokens and sequences."""
+    d = df.select(mask, train_lp, rollout_lp, A.mis_weights(train_lp, rollout_lp, mask, level=level, mode=mode,
+                                                            upper=upper, lower=lower).alias("_w"))
+    cols = {"mis_mean_is_weight_before_clip": "_w.weights_before", "mis_mean_is_weight_after_clip": "_w.weights",
+            f"mis_{mode}_fraction_low": "_w.frac_low", f"mis_{mode}_fraction_high": "_w.frac_high"}
+    if veto_threshold is not None:
+        d = d.withColumn("_v", A.mis_rejection_veto(train_lp, rollout_lp, mask, F.col("_w.modified_mask"), level=level,
+                                                    rs_lower=0.0, rs_upper=float("inf"), veto_threshold=veto_threshold))
+        cols |= {"mis_catastrophic_token_fraction": "_v.catastrophic_token", "mis_catastrophic_seq_fraction": "_v.catastrophic_seq"}
+    return d.agg(*[F.avg(A.mmean(c, mask)).alias(k) for k, c in cols.items()])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import (  # noqa: F401  (registration side effects)
-    q_agents, q_balance, q_cache, q_extra, q_grading, q_groups, q_prompts, q_retrieve, q_sampling, q_streaming, q_tokens,
+    q_agents, q_balance, q_cache, q_extra, q_grading, q_groups, q_more, q_prompts, q_retrieve, q_sampling, q_streaming, q_tokens,
 )
 from .registry import ORACLE, QUERIES, r6
 
@@ -14,7 +14,7 @@ __all__ = ["QUERIES", "ORACLE", "flagship"]
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """samples -> C1 dynamic filter -> E1 group normalisation -> per-group
-    summary (one scan, one shuffle for the group statistics)."""
+    summary."""
     from ..operators import groups as G
     from ..sources import fixtures as FX
     kept = G.nonzero_std_filter(FX.samples(spark, sf_dir), group_cols=("group_index",))

@@ -1,8 +1,8 @@
 """Queries: balancing and scheduling.
 
-The partitioners are sequential per batch (heap order, first fit), so they
-carry no SQL twin; the driver records a rows-only check and
-``tests/test_balance.py`` pins hand-computed goldens and invariants.
+First fit, lightest part and byte buckets have twins that fold each batch by
+recursion; the differencing partitions are checked by reports (``q_more``) of
+what every right assignment has in common and by ``tests/test_balance.py``.
 Batches are the training steps of the samples table: 256 samples in the
 global (group_index, idx_in_group) order.
 """
@@ -13,11 +13,42 @@ from pyspark.sql import functions as F
 
 from ..operators import balance as B
 from ..sources import fixtures as FX
+from ..sources.fixtures import with_fixtures as W
 from .ordering import global_index
 from .registry import register
 
 STEP = 256
 
+_LISTS = """
+, o AS (SELECT response_length AS l, row_number() OVER (ORDER BY group_index, idx_in_group) - 1 AS row_idx FROM samples),
+b AS (SELECT row_idx // 256 AS batch, list(l ORDER BY row_idx) AS ls, list(row_idx ORDER BY row_idx) AS ids FROM o GROUP BY 1)
+"""
+
+
+def _fold(sql: str) -> str:
+    """A twin that walks each batch's list by recursion."""
+    return W(_LISTS + sql, "samples").replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+_GREEDY = _fold("""
+, f AS (SELECT batch, ls, ids, 0 AS i, list_transform(range(8), lambda x: 0::BIGINT) AS s, []::INTEGER[] AS part FROM b
+  UNION ALL SELECT batch, ls, ids, i + 1, list_concat(list_concat(s[:p - 1], [s[p] + ls[i + 1]]), s[p + 1:]),
+                   list_append(part, CAST(p - 1 AS INTEGER))
+  FROM (SELECT *, list_position(s, list_min(s)) AS p FROM f WHERE i < len(ls)) z)
+SELECT batch, unnest(ids) AS row_idx, unnest(part) AS part FROM f WHERE i = len(ls)""")
+_FIRST_FIT = _fold("""
+, f AS (SELECT batch, ls, 0 AS i, []::BIGINT[] AS s FROM b
+  UNION ALL SELECT batch, ls, i + 1, CASE WHEN coalesce(p, 0) = 0 THEN list_append(s, x)
+                                          ELSE list_concat(list_concat(s[:p - 1], [s[p] + x]), s[p + 1:]) END
+  FROM (SELECT *, ls[i + 1] AS x, list_position(list_transform(s, lambda v: v + ls[i + 1] <= 600), true) AS p FROM f WHERE i < len(ls)) z)
+SELECT batch, CAST(len(s) AS INTEGER) AS num_microbatches FROM f WHERE i = len(ls)""")
+_BYTES = _fold("""
+, f AS (SELECT batch, ls, ids, 0 AS i, 0 AS k, 0::BIGINT AS load, []::INTEGER[] AS bucket FROM b
+  UNION ALL SELECT batch, ls, ids, i + 1, k2, CASE WHEN k2 > k THEN x ELSE load + x END, list_append(bucket, k2)
+  FROM (SELECT *, ls[i + 1] AS x, CASE WHEN load > 0 AND load + ls[i + 1] >= 400 THEN k + 1 ELSE k END AS k2 FROM f WHERE i < len(ls)) z)
+SELECT batch, unnest(ids) AS row_idx, unnest(bucket) AS bucket FROM f WHERE i = len(ls)""")
+
+
 
 def _ordered(spark, sf):
     s = FX.samples(spark, sf).select("group_index", "idx_in_group", "response_length")
@@ -36,7 +67,7 @@ def q_balanced_partitions(spark, sf):
     return B.balanced_partitions(g, batch_cols=["batch"], item_col="row_idx", length_col="response_length", k=8)
 
 
-@register("greedy_partitions")
+@register("greedy_partitions", _GREEDY)
 def q_greedy_partitions(spark, sf):
     b = _batch_lists(spark, sf)
     lens = F.transform("_l", lambda e: e["response_length"])
@@ -45,14 +76,14 @@ def q_greedy_partitions(spark, sf):
     return z.select("batch", F.explode("z").alias("e")).select("batch", "e.row_idx", "e.part")
 
 
-@register("first_fit_count")
+@register("first_fit_count", _FIRST_FIT)
 def q_first_fit_count(spark, sf):
     b = _batch_lists(spark, sf)
     lens = F.transform("_l", lambda e: e["response_length"])
     return b.select("batch", B.first_fit_count(lens, 600).alias("num_microbatches"))
 
 
-@register("chunk_by_bytes")
+@register("chunk_by_bytes", _BYTES)
 def q_chunk_by_bytes(spark, sf):
     b = _batch_lists(spark, sf)
     lens = F.transform("_l", lambda e: e["response_length"])

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ..plans.ordering import global_index
+from ..plans.ordering import global_index, index_within_group
 
 def split_row_range(path: str) -> tuple[str, tuple[int | None, int | None] | None]:
     """``path@[a:b]`` -> (path, (a, b)), either bound None when left out; a path
@@ -157,7 +157,6 @@ def subsample_ends_by(df: DataFrame, ratio: float, *, key_cols: Sequence[str], o
     k - k//2 rows of each key, k = int(n_key * ratio); a key with k = 0
     raises, as in ``subsample_ends``.  Positions come from the distributed index, counts from one
     aggregate per key."""
-    from ..plans.ordering import index_within_group
     g = index_within_group(df, list(key_cols), list(order_cols), "_ss")
     n = df.groupBy(*key_cols).agg(F.count(F.lit(1)).alias("_n"))
     k = F.floor(F.col("_n") * ratio).cast("bigint")
@@ -202,3 +201,17 @@ def eval_config_table(spark: SparkSession, config, *, defaults: dict | None = No
               "top_p double, temperature double, prompt_key string, label_key string, "
               "metadata_overrides map<string, string>")
     return spark.createDataFrame(rows, schema)
+
+
+# A13 ------------------------------------------------------------------------
+def task_rows(tasks: DataFrame, *, env: str, split: str, order_cols: Sequence[str], fields: Sequence[str]) -> DataFrame:
+    """(env, split, index, metadata): tasks numbered from 0 within environment and
+    split in ``order_cols`` order, their fields as one JSON object."""
+    g = index_within_group(tasks, [env, split], list(order_cols), "index")
+    return g.select(F.col(env).alias("env"), F.col(split).alias("split"), "index",
+                    F.to_json(F.struct(*fields)).alias("metadata"))
+
+
+def export_tasks(rows: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """One JSONL folder per environment and split."""
+    rows.write.mode(mode).partitionBy("env", "split").json(path)
