@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, functions as F
 from .hashing import pack, runs, string_hashes, unpack
 
 BLOCK_WORDS = 4_000_000
+SLICE_WORDS = 250_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -168,18 +169,34 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str =
         if seq.num_rows != 1:
             raise RuntimeError("a block came back without its documents: the input changed between reads")
         lens = seq["lens"].combine_chunks().flatten().to_numpy().astype(np.int64)
-        at = unpack(seq["at"][0].as_py(), int(lens.sum())).astype(np.int64)
-        back = enc["at"].combine_chunks().flatten().to_numpy().astype(np.int64)
-        check = int(np.bitwise_xor.reduce(enc["check"].to_numpy())) if enc.num_rows else 0
-        if len(back) != seq["n_distinct"][0].as_py() or check != seq["check"][0].as_py():
+        at = unpack(seq["at"][0].as_py(), int(lens.sum()))
+        check, n_words = 0, 0
+        n = np.full(seq["n_distinct"][0].as_py(), -1, np.int32)
+        start = np.zeros(len(n), np.int64)
+        for r in range(enc.num_rows):
+            back = enc["at"][r].values.to_numpy()
+            n[back] = enc["n"][r].values.to_numpy()
+            check ^= enc["check"][r].as_py()
+            n_words += len(back)
+        if n_words != len(n) or (n < 0).any() or check != seq["check"][0].as_py():
             raise RuntimeError("a block's words differ from its documents: the input changed between reads")
-        n_back = enc["n"].combine_chunks().flatten().to_numpy().astype(np.int64) if enc.num_rows else back
-        ids = enc["ids"].combine_chunks().flatten().to_numpy() if enc.num_rows else np.empty(0, np.int32)
-        n, start = np.empty(len(back), np.int64), np.empty(len(back), np.int64)
-        n[back], start[back] = n_back, np.cumsum(n_back) - n_back
-        each = n[at]
-        out = ids[runs(start[at], each)]
-        ends = np.concatenate(([0], np.cumsum(each)))[np.concatenate(([0], np.cumsum(lens)))]
+        ids = np.empty(int(n.sum(dtype=np.int64)), np.int32)
+        filled = 0
+        for r in range(enc.num_rows):
+            back, part = enc["at"][r].values.to_numpy(), enc["ids"][r].values.to_numpy()
+            start[back] = filled + np.cumsum(n[back], dtype=np.int64) - n[back]
+            ids[filled:filled + len(part)] = part
+            filled += len(part)
+        # in slices, so that the index arrays stay small beside the block itself
+        pieces, ends = [], [np.zeros(1, np.int64)]
+        for lo in range(0, len(at), SLICE_WORDS):
+            x = at[lo:lo + SLICE_WORDS]
+            each = n[x].astype(np.int64)
+            pieces.append(ids[runs(start[x], each)])
+            ends.append(ends[-1][-1] + np.cumsum(each))
+        doc_ends = np.concatenate(([0], np.cumsum(lens)))
+        ends = np.concatenate(ends)[doc_ends]
+        out = np.concatenate(pieces) if pieces else np.empty(0, np.int32)
         return pa.table({"doc_id": seq["ids"].combine_chunks().flatten(),
                          "ids": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(out, pa.int32()))})
 
@@ -198,11 +215,13 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     schema = encoded.schema
 
     def join_bytes(batches):
-        for b in batches:
-            lists = b.column(b.schema.get_field_index("ids"))
-            token = table.value
-            texts = [b"".join(map(token.__getitem__, x.values.to_pylist())) if x.is_valid else None for x in lists]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.binary())], [*b.schema.names, "decoded"])
+        token = table.value
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 1000):
+                b = batch.slice(lo, 1000)
+                lists = b.column(b.schema.get_field_index("ids"))
+                texts = [b"".join(map(token.__getitem__, x.values.to_pylist())) if x.is_valid else None for x in lists]
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.binary())], [*b.schema.names, "decoded"])
 
     return encoded.mapInArrow(join_bytes, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema) + ", decoded binary")
 
