@@ -163,13 +163,18 @@ def zero_std_counts(df: DataFrame, *, group_cols: Sequence[str] = GROUP_COLS, re
 
 # C11 ------------------------------------------------------------------------
 def staleness_filter(df: DataFrame, *, current: DataFrame, max_lag: int, max_versions: int | None = None,
-                     group_cols: Sequence[str] = GROUP_COLS, rollout_col: str = "rollout_id") -> DataFrame:
+                     group_cols: Sequence[str] = GROUP_COLS, rollout_col: str = "rollout_id",
+                     versions_col: str = "weight_versions") -> DataFrame:
     """Keep buffered groups first generated at most ``max_lag`` rollouts
     before the current one (``current``: one-row frame with ``current``)
-    and, optionally, spanning at most ``max_versions`` weight versions."""
+    and, optionally, spanning at most ``max_versions`` weight versions
+    (``versions_col``: the versions that generated each sample's tokens)."""
     from ..plans.ordering import attach_scalars
-    g = df.groupBy(*_g(group_cols)).agg(F.min(rollout_col).alias("_start"),
-                                        F.count_distinct(rollout_col).alias("_nv"))
+    g = df.groupBy(*_g(group_cols)).agg(F.min(rollout_col).alias("_start"))
+    if max_versions is not None:
+        seen = (df.select(*_g(group_cols), F.explode(versions_col).alias("_v")).groupBy(*_g(group_cols))
+                  .agg(F.count_distinct("_v").alias("_nv")))
+        g = g.join(seen, _g(group_cols), "left").fillna(0, ["_nv"])
     g = attach_scalars(g, current)
     keep = (F.col("current") - F.col("_start")) <= max_lag
     if max_versions is not None:

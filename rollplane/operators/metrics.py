@@ -117,6 +117,25 @@ def metric_gate(metrics: DataFrame, *, key: str, threshold: float, key_col: str
                         F.max(value_col).alias("best")))
 
 
+def log_prob_gate(df: DataFrame, *, log_probs: str = "log_probs", ref_log_probs: str | None = None,
+                  entropy: str | None = None, entropy_range: tuple[float, float] = (0.0, 0.5),
+                  log_prob_range: tuple[float, float] = (-0.5, 0.0)) -> DataFrame:
+    """One row of checks over a rollout's samples: whether the mean log-prob (and
+    entropy) lies inside its open range and, for a first rollout, whether
+    log-probs and reference log-probs agree to 1e-8 on average."""
+    def mean_of(c):
+        return F.sum(F.aggregate(c, F.lit(0.0), lambda a, x: a + x)) / F.sum(F.size(c))
+
+    def inside(m, r):
+        return F.coalesce((m > r[0]) & (m < r[1]), F.lit(False))
+    out = [inside(mean_of(F.col(log_probs)), log_prob_range).alias("log_probs_ok")]
+    if entropy is not None:
+        out.append(inside(mean_of(F.col(entropy)), entropy_range).alias("entropy_ok"))
+    if ref_log_probs is not None:
+        out.append((F.abs(mean_of(F.col(log_probs)) - mean_of(F.col(ref_log_probs))) < 1e-8).alias("same_as_ref"))
+    return df.agg(*out)
+
+
 # E14 ------------------------------------------------------------------------
 def rank_mean_reduce(df: DataFrame, *, rank_col: str, value: Column, weighted: bool = False) -> DataFrame:
     """Mean over ranks of the per-rank means (or the sample-weighted mean)."""

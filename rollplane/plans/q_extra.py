@@ -228,12 +228,16 @@ def q_token_delta(spark, sf):
 
 # C11 ------------------------------------------------------------------------
 @register("staleness_filter", W(f"""
-, g AS (SELECT group_index, min({MONTH_SQL}) AS start_rollout_id, count(DISTINCT {MONTH_SQL}) AS n_versions
-        FROM samples GROUP BY group_index),
+, v AS (SELECT group_index, count(DISTINCT v) AS n_versions
+        FROM (SELECT group_index, unnest([{MONTH_SQL} // 2, {MONTH_SQL} // 2 + l_linenumber % 2]) AS v FROM samples) GROUP BY 1),
+g AS (SELECT group_index, min({MONTH_SQL}) AS start_rollout_id, any_value(n_versions) AS n_versions
+      FROM samples JOIN v USING (group_index) GROUP BY group_index),
 cur AS (SELECT max({MONTH_SQL}) AS current FROM samples)
 SELECT group_index FROM g, cur WHERE current - start_rollout_id <= 60 AND n_versions <= 3""", "samples"))
 def q_staleness_filter(spark, sf):
     s = FX.samples(spark, sf).withColumn("rollout_id", _month())
+    half = F.floor(F.col("rollout_id") / 2)
+    s = s.withColumn("weight_versions", F.array(half, half + F.col("l_linenumber") % 2))
     return G.staleness_filter(s, current=s.agg(F.max("rollout_id").alias("current")), max_lag=60, max_versions=3,
                               group_cols=["group_index"]).select("group_index").distinct()
 

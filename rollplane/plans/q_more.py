@@ -230,6 +230,15 @@ def q_mis_metrics_report(spark, sf):
                     r6("mis_catastrophic_seq_fraction").alias("catastrophic_seq"))
 
 
+# C10 ------------------------------------------------------------------------
+@register("log_prob_gate", W("""
+SELECT avg(lp) > -1.5 AND avg(lp) < 0 AS log_probs_ok, avg(-v) > -1 AND avg(-v) < 1 AS entropy_ok, abs(avg(lp) - avg(rlp)) < 1e-8 AS same_as_ref
+FROM tok""", "tok"))
+def q_log_prob_gate(spark, sf):
+    t = FX.token_rows(spark, sf).withColumn("entropy", F.transform("values", lambda v: -v))
+    return M.log_prob_gate(t, ref_log_probs="ref_log_probs", entropy="entropy", entropy_range=(-1.0, 1.0), log_prob_range=(-1.5, 0.0))
+
+
 # A13 / A3 / A10 / B4 ---------------------------------------------------------------
 @register("export_tasks", """
 SELECT lang AS env, source AS split, row_number() OVER (PARTITION BY lang, source ORDER BY doc_id) - 1 AS "index", doc_id FROM documents""")

@@ -220,13 +220,18 @@ def q_round_number(spark, sf):
 # B22 ------------------------------------------------------------------------
 @register("append_turns", W(f"""
 SELECT conv_id, CAST(sum(len({words_sql('text')})) AS INTEGER) AS n_tokens,
-       CAST(sum(CASE WHEN role = 'assistant' THEN len({words_sql('text')}) ELSE 0 END) AS INTEGER) AS mask_sum
+       CAST(sum(CASE WHEN role = 'assistant' THEN len({words_sql('text')}) ELSE 0 END) AS INTEGER) AS mask_sum,
+       round(sum(CASE WHEN role = 'assistant' THEN list_sum(list_transform({words_sql('text')}, lambda w: -length(w) / 8)) ELSE 0 END), 6) AS log_prob_sum
 FROM chat GROUP BY conv_id""", "chat"))
 def q_append_turns(spark, sf):
-    m = P.collect_messages(FX.chat(spark, sf).withColumnRenamed("text", "content"), fields=("role", "content"))
-    r = P.append_turns("messages")
-    return m.select("conv_id", F.size(r["tokens"]).alias("n_tokens"),
-                    F.aggregate(r["loss_mask"], F.lit(0), lambda a, x: a + x).alias("mask_sum"))
+    """Model tokens carry a log-prob of minus an eighth of their length."""
+    c = FX.chat(spark, sf).withColumnRenamed("text", "content")
+    c = c.withColumn("log_probs", F.transform(P.word_tokens("content"), lambda w: -F.length(w) / 8))
+    m = P.collect_messages(c, fields=("role", "content", "log_probs"))
+    r = m.select("conv_id", P.append_turns("messages", log_probs=True).alias("r"))
+    return r.select("conv_id", F.size("r.tokens").alias("n_tokens"),
+                    F.aggregate("r.loss_mask", F.lit(0), lambda a, x: a + x).alias("mask_sum"),
+                    r6(F.aggregate("r.log_probs", F.lit(0.0), lambda a, x: a + x)).alias("log_prob_sum"))
 
 
 # B23 ------------------------------------------------------------------------
