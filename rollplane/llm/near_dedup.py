@@ -11,12 +11,13 @@ horizon are never generated.
 
 Signatures are banded; equal texts are one node; bands that several nodes share
 propose pairs in rounds (never all pairs of a group): first each node with the
-band's first node, then each node still apart with the band's last, and last all
-pairs of nodes of the band that are still in different classes. Each
-pair is verified on the exact multisets, links make classes (min label with
-pointer jumping over written tables).
+least first node of its bands, then each node still apart with its bands' first and
+last, and last all pairs of nodes that share at least 3 bands and are still in
+different classes. Each pair is verified on the exact multisets, links make
+classes (min label with pointer jumping over written tables).
 
-With 32 bands of 4 a pair at 0.8 is missed by all bands with probability 5e-8.
+With 32 bands of 4 a pair at 0.8 shares no band with probability 5e-8 and fewer
+than 3 with probability 1.2e-5; above 0.8 less.
 
 Defined cases: null text counts as empty; a text with fewer than five words is
 one shingle of all its words; texts without words match only equal texts; the
@@ -35,6 +36,7 @@ from .common import drop_marked, maybe_among, written
 from .hashing import mix64, word_hashes
 
 N_BANDS, BAND_ROWS, SHINGLE, SIMILARITY = 32, 4, 5, 0.8
+MIN_SHARED = 3
 _G = np.uint64(0x9E3779B97F4A7C15)
 CHUNK_BYTES = 4 << 20
 
@@ -228,7 +230,8 @@ def link_classes(nodes: DataFrame, texts, threshold: float = SIMILARITY) -> Data
             rest = written(split.join(mixed, "band", "left_semi"), "rest")
             r = rest.select("band", F.col("node").alias("b"), F.col("label").alias("lb"))
             pairs = (rest.select("band", F.col("node").alias("a"), F.col("label").alias("la")).join(r, "band")
-                         .filter((F.col("la") != F.col("lb")) & (F.col("a") < F.col("b"))).select("a", "b").distinct())
+                         .filter((F.col("la") != F.col("lb")) & (F.col("a") < F.col("b")))
+                         .groupBy("a", "b").agg(F.count(F.lit(1)).alias("k")).filter(F.col("k") >= MIN_SHARED).select("a", "b"))
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti").join(
                 tried.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti")
