@@ -38,7 +38,7 @@ from .hashing import mix64, word_hashes
 N_BANDS, BAND_ROWS, SHINGLE, SIMILARITY = 32, 4, 5, 0.8
 MIN_SHARED = 3
 _G = np.uint64(0x9E3779B97F4A7C15)
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 19
 
 
 def shingles(words: np.ndarray, size: int = SHINGLE) -> np.ndarray:
@@ -191,7 +191,6 @@ def components(edges: DataFrame, nodes: DataFrame) -> DataFrame:
         near = (both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("label").alias("near")))
         step = labels.join(near, labels["node"] == near["a"], "left").select(
             "node", F.col("label").alias("old"), F.least("label", F.coalesce("near", "label")).alias("label"))
-        step = written(step, "labels")
         jump = step.select(F.col("node").alias("label"), F.col("label").alias("label2"))
         moved = written(step.join(jump, "label", "left").select(
             "node", "old", F.least("label", F.coalesce("label2", "label")).alias("label")), "labels")
@@ -206,6 +205,8 @@ def link_classes(nodes: DataFrame, texts, threshold: float = SIMILARITY) -> Data
     keys = nodes.select("node", F.explode("bands").alias("band"))
     shared = written(keys.groupBy("band").agg(F.min("node").alias("first"), F.max("node").alias("last"))
                          .filter(F.col("first") != F.col("last")), "bands")
+    # most bands are held by one node: only the others' rows are shuffled again
+    keys = keys.filter(maybe_among(shared, "band")(F.col("band")))
     held = written(keys.join(shared, "band"), "held")
     active = written(held.select("node").distinct(), "active")
     body = written(texts(active), "texts")
@@ -218,11 +219,12 @@ def link_classes(nodes: DataFrame, texts, threshold: float = SIMILARITY) -> Data
         return pairs.join(la, "a").join(lb, "b").filter(F.col("la") != F.col("lb"))
 
     tried = None
-    for turn in ("least", "first", "last", "all"):
+    for turn in ("least", "ends", "all"):
         if turn == "least":  # one proposal for each node: the least first node among its bands
             pairs = held.filter("node != first").groupBy(F.col("node").alias("b")).agg(F.min("first").alias("a")).select("a", "b")
-        elif turn in ("first", "last"):
-            pairs = labelled(held.filter(F.col("node") != F.col(turn)).select(F.col(turn).alias("a"), F.col("node").alias("b")).distinct()).select("a", "b")
+        elif turn == "ends":
+            ends = held.select(F.explode(F.array("first", "last")).alias("a"), F.col("node").alias("b")).filter("a != b").distinct()
+            pairs = labelled(ends).select("a", "b")
         else:
             # bands with nodes of several classes: the rest of their pairs, class against class
             split = held.join(labels, "node").select("band", "node", "label")
@@ -236,6 +238,8 @@ def link_classes(nodes: DataFrame, texts, threshold: float = SIMILARITY) -> Data
             pairs = pairs.join(tried, ["a", "b"], "left_anti").join(
                 tried.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti")
         pairs = written(pairs, "pairs")
+        if edges is not None and pairs.isEmpty():
+            continue
         tried = pairs if tried is None else tried.unionByName(pairs)
         found = verified(pairs, body, threshold)
         edges = written(found if edges is None else edges.unionByName(found), "links")
