@@ -35,20 +35,24 @@ def _share(text: Column, kept: Column, whole: Column) -> Column:
     return F.coalesce(F.try_divide((F.length(text) - F.length(kept)).cast("double"), whole), F.lit(0.0))
 
 
-def text_features(text: Column) -> list[Column]:
-    """Statistics of the whole text (all 0 for an empty one), by name FEATURES."""
-    text = F.coalesce(text, F.lit(""))
-    chars = F.length(F.translate(text, SPACES, "")).cast("double")
-    words = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    lines = F.filter(F.split(text, "\n"), lambda s: F.trim(s) != "")
-    n = F.size(words).cast("double")
-    return [F.log1p(n), F.coalesce(F.try_divide(chars, n), F.lit(0.0)) / 10,
-            _share(text, F.translate(text, "#*$%&|<>{}[]=_~^\\/@", ""), chars),
-            _share(text, F.regexp_replace(text, r"\p{Lu}", ""), chars),
-            _share(text, F.translate(text, "!", ""), chars),
-            _share(text, F.translate(text, "0123456789", ""), chars),
-            1 - F.coalesce(F.try_divide(F.size(F.array_distinct(lines)).cast("double"), F.size(lines)), F.lit(1.0)),
-            F.coalesce(F.try_divide(F.size(F.array_distinct(words)).cast("double"), n), F.lit(0.0))]
+def with_features(df: DataFrame, text: Column, out: str) -> DataFrame:
+    """Add ``out``, the statistics FEATURES of the whole text (all 0 for an empty
+    one). Words and lines are columns of their own, split once."""
+    d = df.withColumn("_t", F.coalesce(text, F.lit("")))
+    d = d.withColumn("_w", F.split(F.trim(F.translate("_t", SPACES, " " * len(SPACES))), " +"))
+    d = d.withColumn("_l", F.filter(F.split("_t", "\n"), lambda s: F.trim(s) != ""))
+    t, words, lines = F.col("_t"), F.col("_w"), F.col("_l")
+    d = d.withColumn("_c", F.length(F.translate(t, SPACES, "")).cast("double"))
+    d = d.withColumn("_n", F.when(F.col("_c") > 0, F.size(words)).otherwise(0).cast("double"))
+    n, chars = F.col("_n"), F.col("_c")
+    x = [F.log1p(n), F.coalesce(F.try_divide(chars, n), F.lit(0.0)) / 10,
+         _share(t, F.translate(t, "#*$%&|<>{}[]=_~^\\/@", ""), chars),
+         _share(t, F.regexp_replace(t, r"\p{Lu}", ""), chars),
+         _share(t, F.translate(t, "!", ""), chars),
+         _share(t, F.translate(t, "0123456789", ""), chars),
+         1 - F.coalesce(F.try_divide(F.size(F.array_distinct(lines)).cast("double"), F.size(lines)), F.lit(1.0)),
+         F.coalesce(F.try_divide(F.when(n > 0, F.size(F.array_distinct(words))).cast("double"), n), F.lit(0.0))]
+    return d.withColumn(out, F.array(*x)).drop("_t", "_w", "_l", "_c", "_n")
 
 
 def _expand(x: np.ndarray) -> np.ndarray:
@@ -136,8 +140,9 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, max_fit
              id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", path_col: str = "lang",
              label_col: str = "quality"):
     """(model, sites, rate): what a document is judged by; see ``posterior``."""
-    rows = written(docs.select(F.col(id_col).alias("doc_id"), F.col(host_col).alias("host"), F.col(path_col).alias("path"),
-                               F.array(*text_features(F.col(text_col))).alias("x")), "features")
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(host_col).alias("host"), F.col(path_col).alias("path"),
+                       F.col(text_col).alias("text"))
+    rows = written(with_features(rows, F.col("text"), "x").drop("text"), "features")
     y = clean_labels(labels, "doc_id", label_col)
     model = fit_document_model(rows, y, max_fit_rows)
     if model is None:
@@ -188,7 +193,7 @@ def good_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, i
     if model is None:
         return docs
     d = docs.select(F.struct("*").alias("_doc"))
-    d = d.withColumn("_x", F.array(*text_features(F.col(f"_doc.{text_col}"))))
+    d = with_features(d, F.col(f"_doc.{text_col}"), "_x")
     d = d.withColumn("_logit", document_logit(model, [F.get("_x", F.lit(i)) for i in range(len(FEATURES))]))
     d = _site_join(d, sites, F.col(f"_doc.{host_col}"), F.col(f"_doc.{path_col}"))
     own = 1 / (1 + F.exp(-F.col("_logit")))
