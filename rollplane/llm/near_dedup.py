@@ -12,9 +12,12 @@ horizon are never generated.
 Signatures are banded; equal texts are one node; bands that several nodes share
 propose pairs in rounds (never all pairs of a group): first each node with the
 least first node of its bands, then each node still apart with its bands' first and
-last, and last all pairs of nodes that share at least 3 bands and are still in
-different classes. Each pair is verified on the exact multisets, links make
-classes (min label with pointer jumping over written tables).
+last, and last the pairs still in different classes. Of those, bands of a first
+node with few others give the pairs that share at least 3 of them; the large
+families keep only pairs that a bound on their difference allows
+(``possible_pairs``), which drops none that is similar. Each pair is verified on the
+exact multisets, links make classes (min label with pointer jumping over
+written tables).
 
 With 32 bands of 4 a pair at 0.8 shares no band with probability 5e-8 and fewer
 than 3 with probability 1.2e-5; above 0.8 less.
@@ -30,13 +33,14 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from .common import drop_marked, maybe_among, written
 from .hashing import mix64, word_hashes
 
 N_BANDS, BAND_ROWS, SHINGLE, SIMILARITY = 32, 4, 5, 0.8
-MIN_SHARED = 3
+# Last round: shared bands a pair needs, and nodes beside a first node that make its family large.
+MIN_SHARED, FAMILY = 3, 16
 _G = np.uint64(0x9E3779B97F4A7C15)
 CHUNK_BYTES = 1 << 19
 
@@ -157,9 +161,9 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
     return float(low) / float(a[1].sum() + b[1].sum() - low)
 
 
-def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """pairs (a, b) of nodes -> those at least ``threshold`` similar. The
-    members b travel to their a, in chunks of bounded text, so a's text is sent once a chunk."""
+def _beside_heads(pairs: DataFrame, texts: DataFrame):
+    """pairs (a, b) of nodes as groups (a, chunk): a's text (b null) and those of its
+    members b. Chunks hold a bounded amount of text; a's text is sent once a chunk."""
     members = pairs.join(texts.select(F.col("node").alias("b"), "text", "n_chars"), "b")
     load = members.groupBy("a").agg(F.expr(f"cast(ceil(sum(n_chars) / {CHUNK_BYTES}) as int)").alias("chunks"))
     load = written(load, "load")
@@ -168,17 +172,88 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     heads = load.select("a", F.explode(F.sequence(F.lit(0), F.greatest(F.col("chunks"), F.lit(1)) - 1)).alias("chunk"))
     a_rows = heads.join(texts.select(F.col("node").alias("a"), "text"), "a").select(
         "a", "chunk", F.lit(None).cast("binary").alias("b"), "text")
+    return b_rows.unionByName(a_rows).groupBy("a", "chunk")
 
-    def check(t: pa.Table) -> pa.Table:
-        texts_ = t["text"].combine_chunks()
-        words, first = word_hashes(texts_)
-        sets = [np.unique(shingles(words[first[i]:first[i + 1]]), return_counts=True) for i in range(len(texts_))]
-        names = t["b"].to_pylist()
-        head = names.index(None) if None in names else None
-        out = [] if head is None else [n for i, n in enumerate(names) if i != head and similarity(sets[head], sets[i]) >= threshold]
-        return pa.table({"a": pa.array([t["a"][0].as_py()] * len(out), pa.binary()), "b": pa.array(out, pa.binary())})
 
-    return b_rows.unionByName(a_rows).groupBy("a", "chunk").applyInArrow(check, "a binary, b binary")
+def _members(t: pa.Table):
+    """(a, its set, [(b, its set)]) of one group; sets are (sorted shingles, counts)."""
+    texts_ = t["text"].combine_chunks()
+    words, first = word_hashes(texts_)
+    sets = [np.unique(shingles(words[first[i]:first[i + 1]]), return_counts=True) for i in range(len(texts_))]
+    names = t["b"].to_pylist()
+    head = sets[names.index(None)] if None in names else None
+    return t["a"][0].as_py(), head, [] if head is None else [(n, x) for n, x in zip(names, sets) if n is not None]
+
+
+def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """pairs (a, b) of nodes -> those at least ``threshold`` similar."""
+    def check(t: pa.Table) -> pa.Table:
+        a, head, rest = _members(t)
+        out = [b for b, x in rest if similarity(head, x) >= threshold]
+        return pa.table({"a": pa.array([a] * len(out), pa.binary()), "b": pa.array(out, pa.binary())})
+
+    return _beside_heads(pairs, texts).applyInArrow(check, "a binary, b binary")
+
+
+def deltas(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """For pairs (a, b): the sizes of both, what b lost of a (number of
+    shingles) and what it has beyond a (shingles and how many of each)."""
+    def differ(t: pa.Table) -> pa.Table:
+        a, head, rest = _members(t)
+        rows = []
+        for b, (keys, counts) in rest:
+            at = np.searchsorted(head[0], keys)
+            at[at == len(head[0])] = 0
+            shared = np.where(head[0][at] == keys, head[1][at], 0)
+            more = counts > shared
+            rows.append({"a": a, "b": b, "a_size": int(head[1].sum()), "size": int(counts.sum()),
+                         "lost": int(head[1].sum() - np.minimum(counts, shared).sum()),
+                         "extra": [{"s": int(k), "w": int(w)} for k, w in
+                                   zip(keys[more].view(np.int64), (counts - shared)[more])]})
+        return pa.Table.from_pylist(rows, schema=_DELTA)
+
+    return _beside_heads(pairs, texts).applyInArrow(
+        differ, "a binary, b binary, a_size long, size long, lost long, extra array<struct<s: bigint, w: bigint>>")
+
+
+_DELTA = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("a_size", pa.int64()), ("size", pa.int64()),
+                    ("lost", pa.int64()), ("extra", pa.list_(pa.struct([("s", pa.int64()), ("w", pa.int64())])))])
+
+
+def possible_pairs(family: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """Pairs of a family's nodes in different classes that may still be similar.
+
+    family: (first, node, label, first_label). Two sets of sizes m and n reach the
+    threshold t only if they differ in at most (m + n)(1 - t)/(1 + t) shingles.
+    Relative to the family's first text they differ at least in what each has
+    beyond it and no other member has (u), and in how many of its shingles they
+    lost (lost): u_x + u_y + |lost_x - lost_y|. Nodes that fail this against the best of
+    their family (by bins of lost) are set aside before any pair is made."""
+    most = (1 - threshold) / (1 + threshold)
+    d = written(deltas(family.select(F.col("first").alias("a"), F.col("node").alias("b")), texts), "deltas")
+    extra = d.select(F.xxhash64("a").alias("f"), F.xxhash64("b").alias("x"), F.explode("extra").alias("e"))
+    own = (extra.groupBy("f", "e.s").agg(F.count(F.lit(1)).alias("k"), F.min("x").alias("x"), F.min("e.w").alias("w"))
+                .filter("k = 1").groupBy("f", "x").agg(F.sum("w").alias("u")))
+    s = d.drop("extra").join(own, (F.xxhash64("a") == F.col("f")) & (F.xxhash64("b") == F.col("x")), "left")
+    s = s.join(family.select(F.col("first").alias("a"), F.col("node").alias("b"), "label", "first_label"), ["a", "b"])
+    s = written(s.select("a", "b", "label", "first_label", "size", "lost", F.coalesce("u", F.lit(0)).alias("u"),
+                         F.expr("cast(lost * 100 div greatest(a_size, 1) as int)").alias("bin")), "members")
+    bins = s.groupBy("a", "bin").agg(F.min(F.expr("u - lost")).alias("low"), F.min(F.expr("u + lost")).alias("high"),
+                                     F.max("size").alias("largest"))
+    w = W.partitionBy("a").orderBy("bin")  # at most 101 bins a family
+    bins = bins.select("a", "bin", F.min("low").over(w).alias("low"),
+                       F.min("high").over(w.rowsBetween(0, W.unboundedFollowing)).alias("high"),
+                       F.max("largest").over(W.partitionBy("a")).alias("largest"))
+    room = f"(size + least(size / {threshold}, largest)) * {most} + 1e-9"
+    x = (s.filter("label != first_label").join(bins, ["a", "bin"])
+          .filter(f"u + lost + low <= {room} or u - lost + high <= {room}"))
+    x = x.select("a", F.col("b").alias("xb"), F.col("label").alias("xl"), F.col("size").alias("xs"),
+                 F.col("lost").alias("xlost"), F.col("u").alias("xu"))
+    near = F.expr(f"label != xl and size >= {threshold} * xs - 1e-9 and xs >= {threshold} * size - 1e-9 and "
+                  f"u + xu + abs(lost - xlost) <= (size + xs) * {most} + 1e-9")
+    s = s.withColumnRenamed("a", "a2")
+    return x.join(s, (F.col("a") == F.col("a2")) & near).select(
+        F.least("xb", "b").alias("a"), F.greatest("xb", "b").alias("b")).distinct()
 
 
 def components(edges: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -226,14 +301,20 @@ def link_classes(nodes: DataFrame, texts, threshold: float = SIMILARITY) -> Data
             ends = held.select(F.explode(F.array("first", "last")).alias("a"), F.col("node").alias("b")).filter("a != b").distinct()
             pairs = labelled(ends).select("a", "b")
         else:
-            # bands with nodes of several classes: the rest of their pairs, class against class
-            split = held.join(labels, "node").select("band", "node", "label")
+            # what is left: pairs of different classes that share bands
+            split = held.join(labels, "node").select("band", "first", "node", "label")
             mixed = split.groupBy("band").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x != y").select("band")
             rest = written(split.join(mixed, "band", "left_semi"), "rest")
-            r = rest.select("band", F.col("node").alias("b"), F.col("label").alias("lb"))
-            pairs = (rest.select("band", F.col("node").alias("a"), F.col("label").alias("la")).join(r, "band")
-                         .filter((F.col("la") != F.col("lb")) & (F.col("a") < F.col("b")))
-                         .groupBy("a", "b").agg(F.count(F.lit(1)).alias("k")).filter(F.col("k") >= MIN_SHARED).select("a", "b"))
+            family = rest.filter("node != first").select("first", "node", "label").distinct()
+            big = written(family.groupBy("first").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > FAMILY).select("first"), "big")
+            few = rest.join(big, "first", "left_anti")
+            r = few.select("band", F.col("node").alias("b"), F.col("label").alias("lb"))
+            pairs = (few.select("band", F.col("node").alias("a"), F.col("label").alias("la")).join(r, "band")
+                        .filter((F.col("la") != F.col("lb")) & (F.col("a") < F.col("b")))
+                        .groupBy("a", "b").agg(F.count(F.lit(1)).alias("k")).filter(F.col("k") >= MIN_SHARED).select("a", "b"))
+            family = family.join(big, "first", "left_semi").join(
+                labels.select(F.col("node").alias("first"), F.col("label").alias("first_label")), "first")
+            pairs = pairs.unionByName(possible_pairs(written(family, "family"), body, threshold)).distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti").join(
                 tried.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti")

@@ -164,6 +164,29 @@ def test_near_dedup_chain_and_hot_family(spark):
     assert got == classes_brute(texts)
 
 
+def test_near_dedup_large_family_of_uneven_copies(spark):
+    """Copies with few to many edits: those beyond the threshold stay apart, unless
+    another copy of theirs links them; no pair is lost to the last round's bound."""
+    import random
+    rnd = random.Random(11)
+    base = [f"b{i}" for i in range(150)]
+    texts, k = {}, 0
+    for edits in [1, 2, 3, 4, 5, 6, 8, 10, 14] * 14:
+        t = list(base)
+        for at in rnd.sample(range(150), edits):
+            t[at] = f"n{k}_{at}"
+        texts[k] = " ".join(t)
+        k += 1
+        if k % 9 == 0:  # a near copy of a distant copy
+            t[rnd.randrange(150)] = f"m{k}"
+            texts[k] = " ".join(t)
+            k += 1
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
+    want = classes_brute(texts)
+    assert len(set(want.values())) > 10
+    assert {r.doc_id: r.class_id for r in near_dedup.near_dedup(df).collect()} == want
+
+
 def test_op9_base_and_verdict(spark, texts, labels):
     rows = by_id(QUERIES["op9_weak_quality"](spark, SF))
     for i, t in texts.items():
