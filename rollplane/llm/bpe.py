@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .hashing import pack, runs, string_hashes, unpack
 
-BLOCK_WORDS = 4_000_000
+BLOCK_WORDS = 2_500_000
 SLICE_WORDS = 250_000
 
 
@@ -136,7 +136,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str =
             yield pa.RecordBatch.from_arrays([
                 pa.array(full, pa.int32()), pa.array([block] * len(full), pa.int64()),
                 pa.ListArray.from_arrays(off, distinct.take(pa.array(order))),
-                pa.ListArray.from_arrays(off, pa.array(order.astype(np.int32))),
+                pa.array([pack(np.diff(order[cuts[b]:cuts[b + 1]], prepend=0)) for b in full], pa.binary()),
                 pa.array([int(np.bitwise_xor.reduce(sums[order[cuts[b]:cuts[b + 1]]])) for b in full], pa.int64()),
             ], ["bucket", "block", "words", "at", "check"])
 
@@ -174,8 +174,9 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str =
         n = np.full(seq["n_distinct"][0].as_py(), -1, np.int32)
         start = np.zeros(len(n), np.int64)
         for r in range(enc.num_rows):
-            back = enc["at"][r].values.to_numpy()
-            n[back] = enc["n"][r].values.to_numpy()
+            given = enc["n"][r].values.to_numpy()
+            back = np.cumsum(unpack(enc["at"][r].as_py(), len(given)), dtype=np.int64)
+            n[back] = given
             check ^= enc["check"][r].as_py()
             n_words += len(back)
         if n_words != len(n) or (n < 0).any() or check != seq["check"][0].as_py():
@@ -183,26 +184,30 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str =
         ids = np.empty(int(n.sum(dtype=np.int64)), np.int32)
         filled = 0
         for r in range(enc.num_rows):
-            back, part = enc["at"][r].values.to_numpy(), enc["ids"][r].values.to_numpy()
+            part = enc["ids"][r].values.to_numpy()
+            back = np.cumsum(unpack(enc["at"][r].as_py(), len(enc["n"][r].values)), dtype=np.int64)
             start[back] = filled + np.cumsum(n[back], dtype=np.int64) - n[back]
             ids[filled:filled + len(part)] = part
             filled += len(part)
         # in slices, so that the index arrays stay small beside the block itself
-        pieces, ends = [], [np.zeros(1, np.int64)]
+        doc_ends = np.concatenate(([0], np.cumsum(lens)))
+        ends = np.zeros(len(doc_ends), np.int64)
+        out = np.empty(int(n[at].sum(dtype=np.int64)), np.int32)
+        filled = 0
         for lo in range(0, len(at), SLICE_WORDS):
             x = at[lo:lo + SLICE_WORDS]
             each = n[x].astype(np.int64)
-            pieces.append(ids[runs(start[x], each)])
-            ends.append(ends[-1][-1] + np.cumsum(each))
-        doc_ends = np.concatenate(([0], np.cumsum(lens)))
-        ends = np.concatenate(ends)[doc_ends]
-        out = np.concatenate(pieces) if pieces else np.empty(0, np.int32)
+            upto = filled + np.cumsum(each)
+            out[filled:upto[-1]] = ids[runs(start[x], each)]
+            a, b = np.searchsorted(doc_ends, [lo, lo + len(x)], "right")
+            ends[a:b] = upto[doc_ends[a:b] - lo - 1]
+            filled = int(upto[-1])
         return pa.table({"doc_id": seq["ids"].combine_chunks().flatten(),
                          "ids": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(out, pa.int32()))})
 
-    listed = pre.mapInArrow(words, "bucket int, block long, words array<string>, at array<int>, check long")
+    listed = pre.mapInArrow(words, "bucket int, block long, words array<string>, at binary, check long")
     merged = listed.groupBy("bucket").applyInArrow(
-        merge, "block long, at array<int>, check long, n array<int>, ids array<int>")
+        merge, "block long, at binary, check long, n array<int>, ids array<int>")
     seqs = pre.mapInArrow(positions, "block long, ids array<long>, lens array<int>, at binary, n_distinct int, check long")
     return seqs.groupBy("block").cogroup(merged.groupBy("block")).applyInArrow(assemble, "doc_id long, ids array<int>")
 
