@@ -34,7 +34,7 @@ RULES = {
 }
 # A rule is written to vote bad on at most this share of good documents. Without
 # the bound EM may call the commonest kind of junk "bad" and the other kinds "good".
-MAX_FALSE_ALARM = 0.01
+MAX_FALSE_ALARM = 0.005
 
 
 def _count_of(text: Column, chars: str) -> Column:
@@ -108,7 +108,7 @@ def posterior(model: dict, names: list[str]) -> Column:
 
 def fit(voted: DataFrame, names: list[str], max_steps: int = 30, tolerance: float = 1e-5) -> dict:
     """EM: P(good), and per rule P(vote good | good), P(vote bad | bad), each
-    smoothed by a prior of 10 votes so that no accuracy reaches 0 or 1; the
+    smoothed by one vote either way so that no accuracy reaches 0 or 1; the
     first is at least 1 - MAX_FALSE_ALARM."""
     cols = [f"v_{n}" for n in names]
     patterns = written(voted.groupBy(*cols).agg(F.count(F.lit(1)).alias("n")), "patterns").coalesce(1)
@@ -125,8 +125,8 @@ def fit(voted: DataFrame, names: list[str], max_steps: int = 30, tolerance: floa
         if not r["n"]:
             return model
         new = {"prior": min(0.99, max(0.01, r["w"] / r["n"])),
-               "good": {n: max(floor, ((r[f"g1_{n}"] or 0) + 8) / ((r[f"g_{n}"] or 0) + 10)) for n in names},
-               "bad": {n: ((r[f"b0_{n}"] or 0) + 5) / ((r[f"b_{n}"] or 0) + 10) for n in names}}
+               "good": {n: max(floor, ((r[f"g1_{n}"] or 0) + 1) / ((r[f"g_{n}"] or 0) + 2)) for n in names},
+               "bad": {n: ((r[f"b0_{n}"] or 0) + 1) / ((r[f"b_{n}"] or 0) + 2) for n in names}}
         change = max([abs(new["prior"] - model["prior"])] + [abs(new[k][n] - model[k][n]) for k in ("good", "bad") for n in names])
         model = new
         if change < tolerance:

@@ -219,8 +219,8 @@ def test_op9_em_matches_plain_em(documents):
         pi = min(0.99, max(0.01, sum(post) / len(rows)))
         for j in range(len(names)):
             seen = [(p, v[j]) for p, v in zip(post, rows) if v[j] is not None]
-            a[j] = max(floor, (sum(p for p, x in seen if x == 1) + 8) / (sum(p for p, _ in seen) + 10))
-            b[j] = (sum(1 - p for p, x in seen if x == 0) + 5) / (sum(1 - p for p, _ in seen) + 10)
+            a[j] = max(floor, (sum(p for p, x in seen if x == 1) + 1) / (sum(p for p, _ in seen) + 2))
+            b[j] = (sum(1 - p for p, x in seen if x == 0) + 1) / (sum(1 - p for p, _ in seen) + 2)
     assert math.isclose(model["prior"], pi, rel_tol=1e-9)
     assert all(math.isclose(model["good"][n], a[j]) and math.isclose(model["bad"][n], b[j]) for j, n in enumerate(names))
 
