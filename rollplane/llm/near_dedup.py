@@ -223,7 +223,7 @@ _DELTA = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("a_size", pa.int64(
 def possible_pairs(family: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     """Pairs of a family's nodes in different classes that may still be similar.
 
-    family: (first, node, label, first_label). Two sets of sizes m and n reach the
+    family: (first, node, label). Two sets of sizes m and n reach the
     threshold t only if they differ in at most (m + n)(1 - t)/(1 + t) shingles.
     Relative to the family's first text they differ at least in what each has
     beyond it and no other member has (u), and in how many of its shingles they
@@ -235,8 +235,8 @@ def possible_pairs(family: DataFrame, texts: DataFrame, threshold: float) -> Dat
     own = (extra.groupBy("f", "e.s").agg(F.count(F.lit(1)).alias("k"), F.min("x").alias("x"), F.min("e.w").alias("w"))
                 .filter("k = 1").groupBy("f", "x").agg(F.sum("w").alias("u")))
     s = d.drop("extra").join(own, (F.xxhash64("a") == F.col("f")) & (F.xxhash64("b") == F.col("x")), "left")
-    s = s.join(family.select(F.col("first").alias("a"), F.col("node").alias("b"), "label", "first_label"), ["a", "b"])
-    s = written(s.select("a", "b", "label", "first_label", "size", "lost", F.coalesce("u", F.lit(0)).alias("u"),
+    s = s.join(family.select(F.col("first").alias("a"), F.col("node").alias("b"), "label"), ["a", "b"])
+    s = written(s.select("a", "b", "label", "size", "lost", F.coalesce("u", F.lit(0)).alias("u"),
                          F.expr("cast(lost * 100 div greatest(a_size, 1) as int)").alias("bin")), "members")
     bins = s.groupBy("a", "bin").agg(F.min(F.expr("u - lost")).alias("low"), F.min(F.expr("u + lost")).alias("high"),
                                      F.max("size").alias("largest"))
@@ -245,7 +245,10 @@ def possible_pairs(family: DataFrame, texts: DataFrame, threshold: float) -> Dat
                        F.min("high").over(w.rowsBetween(0, W.unboundedFollowing)).alias("high"),
                        F.max("largest").over(W.partitionBy("a")).alias("largest"))
     room = f"(size + least(size / {threshold}, largest)) * {most} + 1e-9"
-    x = (s.filter("label != first_label").join(bins, ["a", "bin"])
+    # of two classes one is not the family's largest: its nodes look for partners
+    main = (s.groupBy("a", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("a")
+             .agg(F.max_by("label", F.struct("n", "label")).alias("main")))
+    x = (s.join(main, "a").filter("label != main").join(bins, ["a", "bin"])
           .filter(f"u + lost + low <= {room} or u - lost + high <= {room}"))
     x = x.select("a", F.col("b").alias("xb"), F.col("label").alias("xl"), F.col("size").alias("xs"),
                  F.col("lost").alias("xlost"), F.col("u").alias("xu"))
@@ -312,8 +315,7 @@ def link_classes(nodes: DataFrame, texts, threshold: float = SIMILARITY) -> Data
             pairs = (few.select("band", F.col("node").alias("a"), F.col("label").alias("la")).join(r, "band")
                         .filter((F.col("la") != F.col("lb")) & (F.col("a") < F.col("b")))
                         .groupBy("a", "b").agg(F.count(F.lit(1)).alias("k")).filter(F.col("k") >= MIN_SHARED).select("a", "b"))
-            family = family.join(big, "first", "left_semi").join(
-                labels.select(F.col("node").alias("first"), F.col("label").alias("first_label")), "first")
+            family = family.join(big, "first", "left_semi")
             pairs = pairs.unionByName(possible_pairs(written(family, "family"), body, threshold)).distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti").join(
