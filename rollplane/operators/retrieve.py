@@ -3,10 +3,7 @@
 * Dense top-k: queries and corpus are cut into blocks of bounded size, every
   pair of blocks keeps its own top-k per query (numpy matmul), and a
   final ``row_number`` per query picks the global top-k.
-* BM25: an inverted-index job — postings (term, doc, tf), document
-  frequencies and lengths are aggregates; query terms join the postings
-  on the term; contributions are summed per (query, doc) and the top-k
-  per query is a ranked window with a pushed-down group limit.
+* BM25: a block index searched with exact pruning (``operators.bm25``).
 """
 
 from __future__ import annotations
@@ -17,7 +14,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
-from ..plans.ordering import attach_scalars
+from .bm25 import bm25_index, bm25_search, write_index
 
 # Rows per block of queries and of corpus, and corpus rows per matmul.
 QUERY_BLOCK, CORPUS_BLOCK, SLICE = 1024, 32768, 2048
@@ -94,47 +91,12 @@ def _block_topk(k: int):
 
 
 # BM25 -----------------------------------------------------------------------
-def bm25_terms(text: Column | str) -> Column:
-    """Lower-cased letter/digit runs."""
-    c = F.col(text) if isinstance(text, str) else text
-    return F.filter(F.split(F.lower(c), r"[^\p{L}\p{N}]+"), lambda w: w != "")
-
-
-def bm25_index(corpus: DataFrame, *, d_id: str, text: str,
-               vocabulary: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(postings(term, doc, tf, dl), df(term, df), stats(n_docs, avgdl)).
-    With ``vocabulary`` (a one-column ``term`` frame) postings and document
-    frequencies are built only for those terms (a semi join before the
-    aggregation); lengths and N still count every token."""
-    toks = corpus.select(F.col(d_id).alias("doc"), bm25_terms(text).alias("_t")).withColumn("dl", F.size("_t"))
-    exploded = toks.select("doc", "dl", F.explode("_t").alias("term"))
-    if vocabulary is not None:
-        exploded = exploded.join(vocabulary, "term", "left_semi")
-    post = exploded.groupBy("term", "doc", "dl").agg(F.count(F.lit(1)).alias("tf"))
-    dfreq = post.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    stats = toks.agg(F.count(F.lit(1)).alias("n_docs"), F.avg("dl").alias("avgdl"))
-    return post, dfreq, stats
-
-
 def bm25_topk(queries: DataFrame, corpus: DataFrame, k: int, *, q_id: str, q_text: str, d_id: str, d_text: str,
               k1: float = 0.9, b: float = 0.4) -> DataFrame:
-    """Top-k documents per query by BM25 over distinct query terms;
-    idf = ln(1 + (N - df + 0.5) / (df + 0.5)); fewer than k rows when fewer
-    documents match; ties by smaller doc id.  Returns (q_id, rank, d_id,
-    score)."""
-    qt = queries.select(F.col(q_id).alias("qid"), F.explode(F.array_distinct(bm25_terms(q_text))).alias("term"))
-    post, dfreq, stats = bm25_index(corpus, d_id=d_id, text=d_text, vocabulary=qt.select("term").distinct())
-    weighted = attach_scalars(dfreq, stats).select(
-        "term", F.log(1 + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"), "avgdl")
-    contrib = (qt.join(weighted, "term").join(post, "term")
-                 .select("qid", "doc", (F.col("idf") * F.col("tf") * (k1 + 1) /
-                                        (F.col("tf") + k1 * (1 - b + b * F.col("dl") / F.col("avgdl")))).alias("s")))
-    scores = contrib.groupBy("qid", "doc").agg(F.sum("s").alias("score"))
-    # row_number <= k over a query partition: Spark pushes a partial
-    # per-partition group limit below the shuffle (WindowGroupLimit)
-    w = W.partitionBy("qid").orderBy(F.round("score", 6).desc(), F.col("doc"))
-    top = scores.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-    return top.select(F.col("qid").alias(q_id), "rank", F.col("doc").alias(d_id), "score")
+    """Top-k documents per query by BM25: the corpus is tokenised once into a written block index, which
+    is searched with pruning. Returns (q_id, rank, d_id, score)."""
+    index = write_index(bm25_index(corpus, d_id=d_id, text=d_text))
+    return bm25_search(queries, index, k, q_id=q_id, q_text=q_text, d_id=d_id, k1=k1, b=b)
 
 
 # D5 / A12 / B20 ----------------------------------------------------------------
@@ -161,12 +123,19 @@ def passages_to_text(hits_with_docs: DataFrame, *, q_id: str, rank: str = "rank"
 
 
 # D7 -------------------------------------------------------------------------
-def answer_in_passages(passages: Column, answers: Column) -> Column:
-    """True when any normalised golden answer is a substring of any
-    normalised passage."""
+def answer_in_passage(passage: Column, answers: Column) -> Column:
+    """True when any normalised golden answer is a substring of the normalised passage."""
     from ..functions.text import let, normalize_answer
-    return let(lambda v: F.exists(v["p"], lambda p: F.exists(v["a"], lambda a: F.instr(p, a) > 0)),
-               p=F.transform(passages, normalize_answer), a=F.transform(answers, normalize_answer))
+    return let(lambda v: F.exists(v["a"], lambda a: F.instr(v["p"], a) > 0),
+               p=normalize_answer(passage), a=F.transform(answers, normalize_answer))
+
+
+def answer_in_passages(hits: DataFrame, questions: DataFrame, *, q_id: str, passage: str, answers: str) -> DataFrame:
+    """(q_id, hit) of every question: whether one of its hits holds one of its answers. Each hit is judged on
+    its own row; no question's passages are gathered."""
+    per = (hits.join(questions.select(q_id, answers), q_id)
+               .groupBy(q_id).agg(F.bool_or(answer_in_passage(F.col(passage), F.col(answers))).alias("_hit")))
+    return questions.select(q_id).join(per, q_id, "left").select(q_id, F.coalesce("_hit", F.lit(False)).alias("hit"))
 
 
 # C7 -------------------------------------------------------------------------

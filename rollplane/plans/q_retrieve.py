@@ -117,12 +117,10 @@ FROM benchmark b JOIN ans USING (item_id) LEFT JOIN pas USING (item_id)""")
 def q_answer_in_passages(spark, sf):
     b = read_table(spark, sf, "benchmark")
     d = read_table(spark, sf, "documents").select("doc_id", F.col("text").alias("dtext"))
-    hits = _bm25(spark, sf, 5).join(d, "doc_id")
-    pas = hits.groupBy("item_id").agg(F.collect_list("dtext").alias("passages"))   # k rows per query
     answers = F.filter(F.split("text", "[.!?]"), lambda s: TX.normalize_answer(s) != "")
-    j = b.select("item_id", answers.alias("answers")).join(pas, "item_id", "left")
-    return j.select("item_id", F.coalesce(R.answer_in_passages(F.col("passages"), F.col("answers")), F.lit(False))
-                    .alias("hit"))
+    hits = R.doc_lookup(_bm25(spark, sf, 5), d, d_id="doc_id", corpus_id="doc_id")
+    return R.answer_in_passages(hits, b.select("item_id", answers.alias("answers")), q_id="item_id", passage="dtext",
+                                answers="answers")
 
 
 # A12 ------------------------------------------------------------------------
