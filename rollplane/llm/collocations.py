@@ -5,14 +5,15 @@
 2. Level by level, candidates are screened by hash: a phrase of k words counts only where its
    words, and for k > 2 both its parts of k - 1 words, passed. Blocks send each phrase hash once
    with its count; the hashes' sums are never below the phrases' counts, so a phrase of
-   ``min_count`` occurrences always passes. Passed keys become a bitmap (16 bits a key,
+   ``min_count`` occurrences always passes. Passed keys become a Bloom filter (16 bits a key,
    2^29 bits at most: beyond, it lets more through, and the result stays the same).
 3. The blocks list the phrases that passed (strings, distinct).
 4. The list is divided by hash into shards of at most ``shard_phrases`` phrases and
    ``shard_bytes`` bytes, on average. Each becomes a double-array trie over words, is broadcast, and
    numpy moves the states of all positions of a block through it, one word at a time; bincounts of the
    accepting states are summed over the tasks. These counts are exact and are the ones used.
-   One pass over the packed positions is needed for each shard.
+   One pass over the packed positions serves ``TRIES_AT_ONCE`` shards, so what is broadcast stays
+   bounded and the number of passes grows with the candidates.
 
 Defined cases: null and empty text have no words; a null language counts as ``und``; long texts are
 taken whole; repeated rows count each time; ties have a total order (see ``collocations``); an empty
@@ -34,6 +35,7 @@ from ..session import ensure_checkpoint_dir
 from .hashing import mix64, pack, string_hashes, unpack
 
 BLOCK_BYTES = 8_000_000
+TRIES_AT_ONCE = 4
 BLOCKS = "lang string, words array<string>, n array<int>, at binary, n_at int"
 GROWTH = np.uint64(0x9E3779B97F4A7C15)
 
@@ -136,21 +138,26 @@ def _lang_hash(lang: str) -> np.uint64:
 
 
 class Bitmap:
-    """Bits of a set of keys: never says no to a member."""
+    """A Bloom filter: never says no to a member, seldom yes to others."""
 
-    CHUNK, MOST = 16, 29
+    CHUNK, MOST, HASHES = 16, 29, 4
 
     def __init__(self, n_keys: int):
         self.bits = min(self.MOST, max(self.CHUNK, (16 * n_keys).bit_length()))
 
-    def place(self, keys: np.ndarray) -> np.ndarray:
-        return mix64(keys.astype(np.uint64) + GROWTH) & np.uint64((1 << self.bits) - 1)
+    def places(self, keys: np.ndarray) -> Iterator[np.ndarray]:
+        h = mix64(keys.astype(np.uint64) + GROWTH)
+        step = mix64(h) | np.uint64(1)
+        for _ in range(self.HASHES):
+            yield h & np.uint64((1 << self.bits) - 1)
+            h = h + step
 
     def of(self, keys: DataFrame) -> "Bitmap":
         """``keys``: one long column ``key``. At most 2^(29-16) rows of 8 KB come to the driver."""
-        def places(batches):
+        def spread(batches):
             for b in batches:
-                yield pa.RecordBatch.from_arrays([pa.array(self.place(b.column(0).to_numpy().view(np.uint64)).astype(np.int64))], ["p"])
+                for p in self.places(b.column(0).to_numpy().view(np.uint64)):
+                    yield pa.RecordBatch.from_arrays([pa.array(p.astype(np.int64))], ["p"])
 
         def chunk(t: pa.Table) -> pa.Table:
             p = t["p"].to_numpy()
@@ -160,15 +167,17 @@ class Bitmap:
 
         step = 1 << (self.CHUNK - 3)
         body = np.zeros(1 << (self.bits - 3), np.uint8)
-        placed = keys.select("key").mapInArrow(places, "p long").distinct()
+        placed = keys.select("key").mapInArrow(spread, "p long").distinct()
         for r in placed.groupBy(F.shiftright("p", self.CHUNK).alias("g")).applyInArrow(chunk, "c long, bits binary").collect():
             body[r["c"] * step:(r["c"] + 1) * step] = np.frombuffer(r["bits"], np.uint8)
         self.shared = keys.sparkSession.sparkContext.broadcast(body)  # 64 MB at most
         return self
 
     def test(self, keys: np.ndarray) -> np.ndarray:
-        p = self.place(keys)
-        return (self.shared.value[p >> np.uint64(3)] >> (p & np.uint64(7)).astype(np.uint8)) & 1 == 1
+        body, out = self.shared.value, np.ones(len(keys), bool)
+        for p in self.places(keys):
+            out &= (body[p >> np.uint64(3)] >> (p & np.uint64(7)).astype(np.uint8)) & 1 == 1
+        return out
 
 
 class Screen:
@@ -259,7 +268,7 @@ class DoubleArray:
         self.check = np.full(self.size, -1, np.int32)
         self.taken = np.zeros(self.size, bool)
         self.taken[0] = True
-        self.lowest = n_codes + 1  # places below it are left to only children
+        self.width, self.near = 1 << 62, n_codes + 1  # children of the last nodes, and where they found room
         self.level = np.zeros(1, np.int64)
 
     def _grow(self, by: int) -> None:
@@ -269,19 +278,24 @@ class DoubleArray:
         self.size += by
 
     def _fit(self, codes: np.ndarray) -> int:
-        """The first base, from ``lowest`` on, whose places for ``codes`` are free."""
-        at, step, reach = self.lowest, 256, self.n_codes
+        """A base whose places for ``codes`` are free. Nodes come with most children first; the search goes on
+        where the last node found room, and starts again from below for nodes of half as many children."""
+        if 2 * len(codes) <= self.width:
+            self.width, self.near = len(codes), self.n_codes + 1
+        at, step = self.near, 1024
         while True:
-            if at + step + reach >= self.size:
-                self._grow(self.size // 2 + step + reach)
+            if at + step + self.n_codes >= self.size:
+                self._grow(self.size // 2 + step + self.n_codes)
             bases = np.flatnonzero(~self.taken[at:at + step]) + at - codes[0]
-            if step == 256 and len(bases) < 8 and at == self.lowest:
-                self.lowest += step
-            bases = bases[~self.taken[bases[:, None] + codes[1:6]].any(1)]
-            for x in bases.tolist():
-                if not self.taken[codes + x].any():
-                    return x
-            at, step = at + step, min(2 * step, 1 << 16)
+            lo, some = 1, 4
+            while lo < len(codes) and len(bases):
+                bases = bases[~self.taken[bases[:, None] + codes[None, lo:lo + some]].any(1)]
+                lo, some = lo + some, min(4 * some, max(4, 1_000_000 // max(len(bases), 1)))
+            if len(bases):
+                self.near = at + int(bases[0] + codes[0] - at)
+                return int(bases[0])
+            at += step
+            step = min(2 * step, 1 << 16)
 
     def add_level(self, parent: np.ndarray, code: np.ndarray) -> np.ndarray:
         """Children of the states of the level before (``parent``: indexes into it), ordered by parent and
@@ -293,6 +307,7 @@ class DoubleArray:
             first = np.flatnonzero(np.concatenate(([True], parent[1:] != parent[:-1])))
             n = np.diff(np.concatenate((first, [len(parent)])))
             above = self.level[parent[first]]
+            self.width = 1 << 62
             order = np.argsort(-n, kind="stable")
             for o in order[n[order] > 1].tolist():
                 mine = code[first[o]:first[o] + n[o]].astype(np.int64)
@@ -355,40 +370,48 @@ def build_tries(candidates: DataFrame, n_shards: int) -> DataFrame:
     return sharded.groupBy("shard").applyInArrow(build, TRIES)
 
 
-def count_states(blocks: DataFrame, trie) -> DataFrame:
-    """state, a: how often the trie's states are reached, over all positions of all blocks. ``trie``: a row of build_tries."""
-    code_langs = np.array(trie["code_langs"], object)
-    cut = np.concatenate(([0], np.flatnonzero(code_langs[1:] != code_langs[:-1]) + 1, [len(code_langs)])).tolist()
+def _by_lang(trie) -> tuple[dict[str, tuple[int, pa.Array]], np.ndarray, np.ndarray]:
+    """Of a row of build_tries: each language's (code before its first word, words), base, check."""
+    langs = np.array(trie["code_langs"], object)
+    cut = np.concatenate(([0], np.flatnonzero(langs[1:] != langs[:-1]) + 1, [len(langs)])).tolist()
     words = pa.array(trie["code_words"], pa.string())
-    of_lang = {code_langs[a]: (a, words.slice(a, b - a)) for a, b in zip(cut, cut[1:])}
-    shared = blocks.sparkSession.sparkContext.broadcast(
-        (of_lang, np.frombuffer(trie["base"], np.int32), np.frombuffer(trie["check"], np.int32)))
+    return ({langs[a]: (a, words.slice(a, b - a)) for a, b in zip(cut, cut[1:])},
+            np.frombuffer(trie["base"], np.int32), np.frombuffer(trie["check"], np.int32))
+
+
+def count_states(blocks: DataFrame, tries: list) -> DataFrame:
+    """shard, state, a: how often the tries' states are reached, over all positions of all blocks. ``tries``: rows of build_tries."""
+    shards = [t["shard"] for t in tries]
+    shared = blocks.sparkSession.sparkContext.broadcast([_by_lang(t) for t in tries])
 
     def walk(batches):
-        of_lang, base, check = shared.value
-        seen = np.zeros(len(base), np.int64)
+        held = shared.value
+        seen = [np.zeros(len(base), np.int64) for _, base, _ in held]
         for lang, words, at in _each_block(batches):
-            if lang not in of_lang:
-                continue
-            before, known = of_lang[lang]
-            code = pc.fill_null(pc.index_in(words, value_set=known), -1).to_numpy().astype(np.int64)
-            code = np.concatenate(([0], np.where(code < 0, 0, code + before + 1)))[at]
-            # level 1: the root's children; then one word more at each level
-            live = np.flatnonzero((code > 0) & (check[code] == 0))
-            state = code[live]
-            while len(live):
-                seen += np.bincount(state, minlength=len(seen))
-                inside = live + 1 < len(code)
-                live, state = live[inside] + 1, state[inside]
-                step = base[state] + code[live]
-                good = (code[live] > 0) & (check[step] == state)
-                live, state = live[good], step[good]
-        hit = np.flatnonzero(seen)
-        for lo in range(0, len(hit), 100_000):
-            part = hit[lo:lo + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(seen[part])], ["state", "a"])
-
-    return blocks.mapInArrow(walk, "state int, a long").groupBy("state").agg(F.sum("a").alias("a"))
+            for (of_lang, base, check), total in zip(held, seen):
+                if lang not in of_lang:
+                    continue
+                before, known = of_lang[lang]
+                code = pc.fill_null(pc.index_in(words, value_set=known), -1).to_numpy().astype(np.int64)
+                code = np.concatenate(([0], np.where(code < 0, 0, code + before + 1)))[at]
+                # level 1: the root's children; then one word more at each level
+                live = np.flatnonzero((code > 0) & (check[code] == 0))
+                state = code[live]
+                while len(live):
+                    total += np.bincount(state, minlength=len(total))
+                    inside = live + 1 < len(code)
+                    live, state = live[inside] + 1, state[inside]
+                    step = base[state] + code[live]
+                    good = (code[live] > 0) & (check[step] == state)
+                    live, state = live[good], step[good]
+        for shard, total in zip(shards, seen):
+            hit = np.flatnonzero(total)
+            for lo in range(0, len(hit), 100_000):
+                part = hit[lo:lo + 100_000]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), shard, np.int32)), pa.array(part.astype(np.int32)),
+                                                  pa.array(total[part])], ["shard", "state", "a"])
+
+    return blocks.mapInArrow(walk, "shard int, state int, a long").groupBy("shard", "state").agg(F.sum("a").alias("a"))
 
 
 # --- operator ----------------------------------------------------------------------------------
@@ -415,15 +438,17 @@ def count_phrases(blocks: DataFrame, words: DataFrame, scratch: Scratch, *, max_
     n, size = candidates.agg(F.count(F.lit(1)), F.sum(F.octet_length("phrase"))).first()
     n_shards = max(1, -(-n // shard_phrases), -(-(size or 0) // shard_bytes))
     tries = scratch.written(build_tries(candidates, n_shards))
-    found = None
-    for shard in range(n_shards if n else 0):
-        mine = tries.filter(F.col("shard") == shard)
-        for trie in mine.select("code_langs", "code_words", "base", "check").collect():  # at most one row
-            names = mine.select(F.explode(F.arrays_zip("langs", "phrases", "states")).alias("x")).select("x.*")
-            got = scratch.written(count_states(blocks, trie)).join(names, F.col("state") == F.col("states"))
-            got = got.filter(F.col("a") >= min_count).select(F.col("langs").alias("lang"), F.col("phrases").alias("phrase"), "a")
-            found = got if found is None else found.unionByName(got)
-    return scratch.written(found) if found is not None else spark.createDataFrame([], "lang string, phrase string, a long")
+    names = tries.select("shard", F.explode(F.arrays_zip("langs", "phrases", "states")).alias("x")).select(
+        "shard", F.col("x.langs").alias("lang"), F.col("x.phrases").alias("phrase"), F.col("x.states").alias("state"))
+    counts = None
+    for lo in range(0, n_shards if n else 0, TRIES_AT_ONCE):
+        some = tries.filter(F.col("shard").between(lo, lo + TRIES_AT_ONCE - 1)).drop("langs", "phrases", "states").collect()
+        if some:
+            got = scratch.written(count_states(blocks, some))
+            counts = got if counts is None else counts.unionByName(got)
+    if counts is None:
+        return spark.createDataFrame([], "lang string, phrase string, a long")
+    return scratch.written(counts.filter(F.col("a") >= min_count).join(names, ["shard", "state"]).select("lang", "phrase", "a"))
 
 
 def scored(phrases: DataFrame, words: DataFrame, max_words: int) -> DataFrame:
@@ -456,7 +481,7 @@ def contained(phrases: DataFrame) -> DataFrame:
 
 def collocations(docs: DataFrame, *, max_words: int = 3, min_count: int = 10, share: int = 50, per_lang: int | None = 2000,
                  lang_col: str = "lang", text_col: str = "text", block_bytes: int = BLOCK_BYTES,
-                 shard_phrases: int = 1_000_000, shard_bytes: int = 64_000_000) -> DataFrame:
+                 shard_phrases: int = 250_000, shard_bytes: int = 16_000_000) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score: the phrases of 2 to ``max_words`` words with at least ``min_count`` occurrences,
     best first (score, then a descending, then phrase by its bytes). A phrase inside a longer one that has ``share``
     percent of its occurrences or more is left out. ``per_lang``: how many are reported (None: all)."""
