@@ -34,9 +34,9 @@ from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 from ..session import ensure_checkpoint_dir
 from .hashing import mix64, pack, string_hashes, unpack
 
-BLOCK_BYTES = 8_000_000
+BLOCK_BYTES = 6_000_000
 TRIES_AT_ONCE = 4
-BLOCKS = "lang string, words array<string>, n array<int>, at binary, n_at int"
+BLOCKS = "lang string, words binary, sizes binary, n binary, n_words int, at binary, n_at int"
 GROWTH = np.uint64(0x9E3779B97F4A7C15)
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -86,15 +86,18 @@ def _block(lang: str, texts: list[pa.Array]) -> pa.RecordBatch:
     rank = np.empty(len(order), np.int64)
     rank[order] = np.arange(1, len(order) + 1)
     at = np.insert(rank[code], np.flatnonzero(np.diff(piece)) + 1, 0)
-    one = pa.array([0, len(order)], pa.int32())
+    words = coded.dictionary.take(pa.array(order))
+    size = np.diff(np.frombuffer(words.buffers()[1], np.int32)[:len(words) + 1]) if len(words) else np.empty(0, np.int64)
+    text = pa.Codec("zstd").compress(words.buffers()[2] if len(words) else b"", asbytes=True)
+    cell = lambda x, t=pa.binary(): pa.array([x], t)
     return pa.RecordBatch.from_arrays([
-        pa.array([lang]), pa.ListArray.from_arrays(one, coded.dictionary.take(pa.array(order))),
-        pa.ListArray.from_arrays(one, pa.array(n[order].astype(np.int32))), pa.array([pack(at)], pa.binary()),
-        pa.array([len(at)], pa.int32())], ["lang", "words", "n", "at", "n_at"])
+        cell(lang, pa.string()), cell(text), cell(pack(size)), cell(pack(n[order])), cell(len(order), pa.int32()), cell(pack(at)),
+        cell(len(at), pa.int32())], ["lang", "words", "sizes", "n", "n_words", "at", "n_at"])
 
 
 def blocks_of(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """One row per block of texts of one language: distinct words, their counts, packed positions."""
+    """One row per block of texts of one language: its distinct words (end to end, with their sizes), their counts
+    and the positions, all packed, so that a batch of blocks stays small."""
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list[pa.Array]] = {}
         size: dict[str, int] = {}
@@ -122,7 +125,11 @@ def blocks_of(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", b
 
 def _open(row: pa.RecordBatch, i: int) -> tuple[str, pa.Array, np.ndarray]:
     """Language, words and positions of a block."""
-    return row["lang"][i].as_py(), row["words"][i].values, unpack(row["at"][i].as_py(), row["n_at"][i].as_py()).astype(np.int64)
+    n = row["n_words"][i].as_py()
+    upto = np.concatenate(([0], np.cumsum(unpack(row["sizes"][i].as_py(), n)))).astype(np.int32)
+    text = pa.Codec("zstd").decompress(row["words"][i].as_buffer(), decompressed_size=int(upto[-1])) if n else pa.py_buffer(b"")
+    words = pa.Array.from_buffers(pa.string(), n, [None, pa.py_buffer(upto), text])
+    return row["lang"][i].as_py(), words, unpack(row["at"][i].as_py(), row["n_at"][i].as_py()).astype(np.int32)
 
 
 def _each_block(batches: Iterator[pa.RecordBatch]):
@@ -131,6 +138,21 @@ def _each_block(batches: Iterator[pa.RecordBatch]):
             yield _open(b, i)
 
 
+def word_counts(blocks: DataFrame) -> DataFrame:
+    """lang, phrase, a of all words."""
+    def counts(batches):
+        for b in batches:
+            for i in range(b.num_rows):
+                lang, words, _ = _open(b, i)
+                n = unpack(b["n"][i].as_py(), len(words)).astype(np.int64)
+                for lo in range(0, len(words), 100_000):
+                    part = words.slice(lo, 100_000)
+                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(part), pa.string()), part, pa.array(n[lo:lo + 100_000])],
+                                                     ["lang", "phrase", "n"])
+
+    return blocks.mapInArrow(counts, "lang string, phrase string, n long").groupBy("lang", "phrase").agg(F.sum("n").alias("a"))
+
+
 # --- screens -----------------------------------------------------------------------------------
 
 def _lang_hash(lang: str) -> np.uint64:
@@ -245,7 +267,7 @@ def listed(blocks: DataFrame, screen: Screen, max_words: int) -> DataFrame:
                 live = live[screen.levels[k - 1].test(key)]
                 same = at[live]
                 for j in range(1, k):  # by the words themselves: hashes may be shared
-                    _, where, same = np.unique((same << 32) | at[live + j], return_index=True, return_inverse=True)
+                    _, where, same = np.unique((same.astype(np.int64) << 32) | at[live + j], return_index=True, return_inverse=True)
                 live = live[where] if len(live) else live
                 parts = [words.take(pa.array(at[live + j] - 1)) for j in range(k)]
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(live), pa.string()),
@@ -487,9 +509,9 @@ def collocations(docs: DataFrame, *, max_words: int = 3, min_count: int = 10, sh
     percent of its occurrences or more is left out. ``per_lang``: how many are reported (None: all)."""
     scratch = Scratch(docs.sparkSession, "collocations")
     blocks = scratch.written(blocks_of(docs, lang_col, text_col, block_bytes))
-    all_words = blocks.select("lang", F.explode(F.arrays_zip("words", "n")).alias("x")).groupBy("lang", F.col("x.words").alias("phrase"))
-    words = scratch.written(all_words.agg(F.sum(F.col("x.n").cast("long")).alias("a")).filter(F.col("a") >= min_count))
-    totals = blocks.groupBy("lang").agg(F.sum(F.aggregate("n", F.lit(0).cast("long"), lambda s, x: s + x)).alias("n"))
+    all_words = scratch.written(word_counts(blocks))
+    words = all_words.filter(F.col("a") >= min_count)
+    totals = all_words.groupBy("lang").agg(F.sum("a").alias("n"))
     phrases = count_phrases(blocks, words, scratch, max_words=max_words, min_count=min_count, shard_phrases=shard_phrases,
                             shard_bytes=shard_bytes)
     best = (scored(phrases, words, max_words).join(contained(phrases), ["lang", "phrase"], "left")
