@@ -97,5 +97,5 @@ SELECT instance_id, uid FROM buffer_items
 WHERE instance_id IN (SELECT instance_id FROM buffer_items GROUP BY instance_id
                       HAVING count(*) >= 8 AND max(reward) > min(reward))""", "buffer_items"))
 def q_stream_filter_refill(spark, sf):
-    kept, _ = SB.filter_groups_stream(SB.assemble_groups(SB.event_stream(spark, sf), group_size=8), spark)
+    kept, _ = SB.filter_groups_stream(SB.assemble_groups(SB.event_stream(spark, sf), group_size=8).filter("reason = 'complete'"), spark)
     return kept.select("instance_id", "uid")

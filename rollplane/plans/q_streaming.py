@@ -12,17 +12,23 @@ from ..streaming import buffer as SB
 from .registry import r6, register
 
 
-@register("group_assembler", W("""
-SELECT instance_id, CAST(0 AS INTEGER) AS group_seq, uid, CAST(count(*) OVER (PARTITION BY instance_id) AS INTEGER) AS group_size,
-       'complete' AS reason
-FROM buffer_items
-QUALIFY count(*) OVER (PARTITION BY instance_id) >= 8""", "buffer_items"))
+# One trigger sees the whole table: a key's items make one group, numbered by its first item's time.
+_GROUPS = """
+, g AS (SELECT instance_id, count(*) AS n, epoch_us(min(ts)) // 1000 AS group_seq, epoch_us(max(ts)) // 1000 AS last FROM buffer_items GROUP BY instance_id),
+m AS (SELECT epoch_us(max(ts)) // 1000 AS top FROM buffer_items)
+SELECT b.instance_id, g.group_seq, b.uid, CAST(g.n AS INTEGER) AS group_size, CASE WHEN g.n >= 8 THEN 'complete' ELSE 'timeout' END AS reason
+FROM buffer_items b JOIN g ON g.instance_id = b.instance_id, m
+"""
+
+
+@register("group_assembler", W(_GROUPS + "WHERE g.n >= 8", "buffer_items"))
 def q_group_assembler(spark, sf):
     out = SB.run_to_table(SB.assemble_groups(SB.event_stream(spark, sf), group_size=8), spark, "group_assembler")
-    return out.select("instance_id", "group_seq", "uid", "group_size", "reason")
+    return out.filter("reason = 'complete'").select("instance_id", "group_seq", "uid", "group_size", "reason")
 
 
-@register("group_timeout")
+# the last trigger's watermark is a day behind the newest item; a group is late when its own day had passed by then
+@register("group_timeout", W(_GROUPS + "WHERE g.n >= 8 OR g.last + 86400000 < m.top - 86400000", "buffer_items"))
 def q_group_timeout(spark, sf):
     out = SB.run_to_table(SB.assemble_groups(SB.event_stream(spark, sf), group_size=8, timeout="1 day"),
                           spark, "group_timeout")
@@ -55,8 +61,9 @@ SELECT instance_id, uid, CAST(0 AS BIGINT) AS start_rollout_id FROM buffer_items
 WHERE instance_id IN (SELECT instance_id FROM buffer_items GROUP BY instance_id
                       HAVING count(*) >= 8 AND bool_or(finish_reason = 'abort'))""", "buffer_items"))
 def q_partial_recycle(spark, sf):
-    _, buf = SB.recycle_partial(SB.assemble_groups(SB.event_stream(spark, sf), group_size=8), spark)
-    return buf.select("instance_id", "uid", "start_rollout_id")
+    groups = SB.assemble_groups(SB.event_stream(spark, sf), group_size=8).filter("reason = 'complete'")
+    buffer = SB.PartialRollouts(spark, groups.schema).run(groups).buffer()
+    return buffer.select("instance_id", "uid", "start_rollout_id")
 
 
 @register("collect_until_target", W("""
@@ -64,5 +71,6 @@ def q_partial_recycle(spark, sf):
 r AS (SELECT instance_id, row_number() OVER (ORDER BY done_at, instance_id) - 1 AS r FROM g)
 SELECT b.instance_id, b.uid FROM buffer_items b JOIN r ON b.instance_id = r.instance_id WHERE r.r < 50""", "buffer_items"))
 def q_collect_until_target(spark, sf):
-    taken, _ = SB.collect_until_target(SB.assemble_groups(SB.event_stream(spark, sf), group_size=8), spark, 50)
+    groups = SB.assemble_groups(SB.event_stream(spark, sf), group_size=8).filter("reason = 'complete'")
+    taken, _ = SB.collect_until_target(groups, spark, 50)
     return taken.select("instance_id", "uid")
