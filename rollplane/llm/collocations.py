@@ -136,6 +136,7 @@ def _each_block(batches: Iterator[pa.RecordBatch]):
     for b in batches:
         for i in range(b.num_rows):
             yield _open(b, i)
+            pa.default_memory_pool().release_unused()
 
 
 def word_counts(blocks: DataFrame) -> DataFrame:
@@ -270,8 +271,10 @@ def listed(blocks: DataFrame, screen: Screen, max_words: int) -> DataFrame:
                     _, where, same = np.unique((same.astype(np.int64) << 32) | at[live + j], return_index=True, return_inverse=True)
                 live = live[where] if len(live) else live
                 parts = [words.take(pa.array(at[live + j] - 1)) for j in range(k)]
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(live), pa.string()),
-                                                  pc.binary_join_element_wise(*parts, " ")], ["lang", "phrase"])
+                names = pc.binary_join_element_wise(*parts, " ")
+                for lo in range(0, len(names), 50_000):
+                    some = names.slice(lo, 50_000)
+                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(some), pa.string()), some], ["lang", "phrase"])
 
     return blocks.mapInArrow(phrases, "lang string, phrase string").distinct()
 
@@ -354,63 +357,73 @@ class DoubleArray:
         return self.base[:used], self.check[:used]
 
 
-def trie_of(phrases: list[tuple[str, str]]) -> tuple[list[str], list[str], np.ndarray, np.ndarray, np.ndarray]:
-    """Of distinct (lang, phrase): the languages and the words of the codes 1, 2, .., base, check, and each phrase's state."""
-    split = [[(lang, w) for w in phrase.split(" ")] for lang, phrase in phrases]
-    known = sorted({w for p in split for w in p})
-    code = {w: i for i, w in enumerate(known, 1)}
-    depth = np.array([len(p) for p in split])
-    width = int(depth.max())
-    table = np.zeros((len(split), width), np.int64)
-    for i, p in enumerate(split):
-        table[i, :len(p)] = [code[w] for w in p]
-    trie = DoubleArray(len(known), int(depth.sum()))
-    node, state, base_of = np.zeros(len(split), np.int64), np.zeros(len(split), np.int64), len(known) + 1
-    for k in range(width):
-        deep = np.flatnonzero(depth > k)
-        nodes, mine = np.unique(node[deep] * base_of + table[deep, k], return_inverse=True)
-        node[deep] = mine
-        states = trie.add_level(nodes // base_of, nodes % base_of)
-        end = deep[depth[deep] == k + 1]
-        state[end] = states[node[end]]
-    return [w[0] for w in known], [w[1] for w in known], *trie.arrays(), state
-
-
-TRIES = ("shard int, langs array<string>, phrases array<string>, states array<int>, code_langs array<string>, "
+class Trie:
+    """The trie of distinct (lang, phrase) pairs. Codes are given to the words of each language in turn: ``langs`` and
+    ``n_words`` say how many, ``words`` which (codes 1, 2, ..). ``state``: of each phrase. Arrays only, as Python objects
+    would stay in the worker's memory."""
+
+    def __init__(self, langs: pa.Array, phrases: pa.Array):
+        lists = pc.split_pattern(phrases, " ")
+        depth = np.diff(lists.offsets.to_numpy())
+        of_phrase = np.repeat(np.arange(len(depth)), depth)
+        lang, word = langs.dictionary_encode(), lists.flatten().dictionary_encode()
+        lang_of = lang.indices.to_numpy(zero_copy_only=False).astype(np.int64)[of_phrase]
+        both = lang_of * len(word.dictionary) + word.indices.to_numpy(zero_copy_only=False)
+        known, code = np.unique(both, return_inverse=True)
+        self.langs = lang.dictionary
+        self.n_words = np.bincount(known // len(word.dictionary), minlength=len(self.langs))
+        self.words = word.dictionary.take(pa.array(known % len(word.dictionary)))
+        table = np.zeros((len(depth), int(depth.max())), np.int64)
+        table[of_phrase, np.arange(len(code)) - np.repeat(np.cumsum(depth) - depth, depth)] = code + 1
+        trie = DoubleArray(len(known), int(depth.sum()))
+        node, self.state, base_of = np.zeros(len(depth), np.int64), np.zeros(len(depth), np.int32), len(known) + 1
+        for k in range(table.shape[1]):
+            deep = np.flatnonzero(depth > k)
+            nodes, node[deep] = np.unique(node[deep] * base_of + table[deep, k], return_inverse=True)
+            states = trie.add_level(nodes // base_of, nodes % base_of)
+            end = deep[depth[deep] == k + 1]
+            self.state[end] = states[node[end]]
+        self.base, self.check = trie.arrays()
+
+
+TRIES = ("shard int, langs array<string>, phrases array<string>, states array<int>, code_langs array<string>, code_n array<long>, "
          "code_words array<string>, base binary, `check` binary")
 
 
 def build_tries(candidates: DataFrame, n_shards: int) -> DataFrame:
     def build(t: pa.Table) -> pa.Table:
-        langs, phrases = t["lang"].to_pylist(), t["phrase"].to_pylist()
-        code_langs, code_words, base, check, states = trie_of(list(zip(langs, phrases)))
-        return pa.table({"shard": pa.array([t["shard"][0].as_py()], pa.int32()), "langs": [langs], "phrases": [phrases],
-                         "states": pa.array([states], pa.list_(pa.int32())), "code_langs": [code_langs], "code_words": [code_words],
-                         "base": pa.array([base.tobytes()], pa.binary()), "check": pa.array([check.tobytes()], pa.binary())})
+        langs, phrases = t["lang"].combine_chunks().cast(pa.string()), t["phrase"].combine_chunks().cast(pa.string())
+        trie = Trie(langs, phrases)
+        one = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x if isinstance(x, pa.Array) else pa.array(x))
+        return pa.table({"shard": pa.array([t["shard"][0].as_py()], pa.int32()), "langs": one(langs), "phrases": one(phrases),
+                         "states": one(trie.state), "code_langs": one(trie.langs), "code_n": one(trie.n_words), "code_words": one(trie.words),
+                         "base": pa.array([trie.base.tobytes()], pa.binary()), "check": pa.array([trie.check.tobytes()], pa.binary())})
 
     sharded = candidates.withColumn("shard", F.pmod(F.xxhash64("lang", "phrase"), F.lit(n_shards)).cast("int"))
     return sharded.groupBy("shard").applyInArrow(build, TRIES)
 
 
-def _by_lang(trie) -> tuple[dict[str, tuple[int, pa.Array]], np.ndarray, np.ndarray]:
-    """Of a row of build_tries: each language's (code before its first word, words), base, check."""
-    langs = np.array(trie["code_langs"], object)
-    cut = np.concatenate(([0], np.flatnonzero(langs[1:] != langs[:-1]) + 1, [len(langs)])).tolist()
-    words = pa.array(trie["code_words"], pa.string())
-    return ({langs[a]: (a, words.slice(a, b - a)) for a, b in zip(cut, cut[1:])},
-            np.frombuffer(trie["base"], np.int32), np.frombuffer(trie["check"], np.int32))
+def _tries(rows: pa.Table) -> list[tuple[int, dict[str, tuple[int, pa.Array]], np.ndarray, np.ndarray]]:
+    """(shard, each language's (code before its first word, words), base, check) of rows of build_tries."""
+    out = []
+    for i in range(rows.num_rows):
+        cell = lambda c, i=i: rows[c][i]
+        upto = np.concatenate(([0], np.cumsum(cell("code_n").values.to_numpy()))).tolist()
+        words = cell("code_words").values
+        of_lang = {lang: (a, words.slice(a, b - a)) for lang, a, b in zip(cell("code_langs").as_py(), upto, upto[1:])}
+        out.append((cell("shard").as_py(), of_lang, np.frombuffer(cell("base").as_py(), np.int32), np.frombuffer(cell("check").as_py(), np.int32)))
+    return out
 
 
-def count_states(blocks: DataFrame, tries: list) -> DataFrame:
+def count_states(blocks: DataFrame, tries: pa.Table) -> DataFrame:
     """shard, state, a: how often the tries' states are reached, over all positions of all blocks. ``tries``: rows of build_tries."""
-    shards = [t["shard"] for t in tries]
-    shared = blocks.sparkSession.sparkContext.broadcast([_by_lang(t) for t in tries])
+    shared = blocks.sparkSession.sparkContext.broadcast(_tries(tries))
 
     def walk(batches):
         held = shared.value
-        seen = [np.zeros(len(base), np.int64) for _, base, _ in held]
+        seen = [np.zeros(len(base), np.int64) for _, _, base, _ in held]
         for lang, words, at in _each_block(batches):
-            for (of_lang, base, check), total in zip(held, seen):
+            for (_, of_lang, base, check), total in zip(held, seen):
                 if lang not in of_lang:
                     continue
                 before, known = of_lang[lang]
@@ -426,7 +439,7 @@ def count_states(blocks: DataFrame, tries: list) -> DataFrame:
                     step = base[state] + code[live]
                     good = (code[live] > 0) & (check[step] == state)
                     live, state = live[good], step[good]
-        for shard, total in zip(shards, seen):
+        for (shard, *_), total in zip(held, seen):
             hit = np.flatnonzero(total)
             for lo in range(0, len(hit), 100_000):
                 part = hit[lo:lo + 100_000]
@@ -464,8 +477,8 @@ def count_phrases(blocks: DataFrame, words: DataFrame, scratch: Scratch, *, max_
         "shard", F.col("x.langs").alias("lang"), F.col("x.phrases").alias("phrase"), F.col("x.states").alias("state"))
     counts = None
     for lo in range(0, n_shards if n else 0, TRIES_AT_ONCE):
-        some = tries.filter(F.col("shard").between(lo, lo + TRIES_AT_ONCE - 1)).drop("langs", "phrases", "states").collect()
-        if some:
+        some = tries.filter(F.col("shard").between(lo, lo + TRIES_AT_ONCE - 1)).drop("langs", "phrases", "states").toArrow()
+        if some.num_rows:
             got = scratch.written(count_states(blocks, some))
             counts = got if counts is None else counts.unionByName(got)
     if counts is None:

@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_fixtures import documents, nothing, odd, odd_rows  # noqa: F401
 from pyspark.sql import functions as F
@@ -89,8 +90,10 @@ def test_double_array_holds_its_phrases_only():
     rnd = random.Random(9)
     for n in (1, 5, 400, 3000):
         held = sorted({(rnd.choice("ab"), " ".join(f"v{int(rnd.paretovariate(0.6)) % 200}" for _ in range(rnd.randint(2, 4)))) for _ in range(n)})
-        langs, words, base, check, states = C.trie_of(held)
-        code = {x: i for i, x in enumerate(zip(langs, words), 1)}
+        trie = C.Trie(pa.array([x[0] for x in held]), pa.array([x[1] for x in held]))
+        langs = [x for x, n in zip(trie.langs.to_pylist(), trie.n_words.tolist()) for _ in range(n)]
+        code = {x: i for i, x in enumerate(zip(langs, trie.words.to_pylist()), 1)}
+        base, check, states = trie.base, trie.check, trie.state
         assert len(set(states.tolist())) == len(held)
 
         def walk(lang, phrase):
