@@ -27,7 +27,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F, types as T
 
-from ..plans.ordering import global_cumsum
+from ..plans.ranking import global_cumsum
 from ..session import ensure_checkpoint_dir
 
 BLOCK_DOCS = 128

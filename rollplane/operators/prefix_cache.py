@@ -16,8 +16,8 @@ same hash, the block's bytes), so what is shuffled is linear in the text. Three
 A prompt that all texts share makes a hot key on the text side of an n:1 join only, which
 AQE splits; the first block, whose hash all texts share, is matched through a one-row broadcast.
 
-Defined cases: null and empty texts match nothing; null and empty entries are never found; of entries with equal
-text the least id stands for all.
+Defined cases: null texts match nothing, null entries are never found, an empty entry is a prefix of every text; of
+entries with equal text the least id stands for all.
 """
 
 from __future__ import annotations
@@ -95,7 +95,7 @@ def text_blocks(texts: DataFrame, text_id: str, text_col: str) -> DataFrame:
                 ids.take(pa.array(row)), pa.array(b.astype(np.int32)), pa.array(prefix_hashes(data, off[row], start).view(np.int64)),
                 _binary(data, start, np.minimum(start + BLOCK, off[row + 1]))], ["_tid", "_b", "_key", "_part"])
 
-    given = texts.filter(F.length(text_col) > 0).select(F.col(text_id), F.col(text_col).cast("binary").alias("t"))
+    given = texts.filter(F.col(text_col).isNotNull()).select(F.col(text_id), F.col(text_col).cast("binary").alias("t"))
     return given.mapInArrow(cut, f"_tid {kind}, _b int, _key long, _part binary")
 
 
@@ -110,7 +110,7 @@ def entry_keys(cache: DataFrame, entry_id: str, entry_col: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([ids, pa.array(b.astype(np.int32)), pa.array(prefix_hashes(data, off[:-1], start).view(np.int64)),
                                               _binary(data, start, off[1:])], ["_eid", "_b", "_key", "_tail"])
 
-    given = cache.filter(F.length(entry_col) > 0).select(F.col(entry_id), F.col(entry_col).cast("binary").alias("t"))
+    given = cache.filter(F.col(entry_col).isNotNull()).select(F.col(entry_id), F.col(entry_col).cast("binary").alias("t"))
     return given.mapInArrow(cut, f"_eid {kind}, _b int, _key long, _tail binary")
 
 

@@ -13,7 +13,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..plans.ordering import global_index
+from ..plans.ranking import global_index
 
 Tokenizer = Callable[[Column], Column]
 

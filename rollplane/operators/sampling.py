@@ -1,9 +1,9 @@
 """Prompt ordering, epoch cursors, buffers and batch selection (G1-G9, C8,
 S1-S4, D1, D2).
 
-Positions in a total order come from ``plans.ordering.global_index``
-(range partitions + per-partition counts), never from an unpartitioned
-window; only bounded scalars (a row count) reach the driver.
+Positions in a total order come from ``plans.ranking`` (ranges counted, then
+numbered), never from an unpartitioned window; taking n rows selects them
+without ranking the table; only bounded scalars (a row count) reach the driver.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..plans.ordering import global_cumsum, global_index, index_within_group
+from ..plans.ranking import first_rows, global_cumsum, global_index, index_within_group, rows_between
 
 # Integer LCG used as the seeded shuffle key (a bijection on
 # ids below 2**31, so every id keeps a distinct key).
@@ -29,8 +29,11 @@ def shuffle_key(id_col: Column | str, seed: int, epoch: int) -> Column:
 def epoch_shuffle(df: DataFrame, *, id_col: str, seed: int, epoch: int, shuffle: bool = True,
                   out_col: str = "rank") -> DataFrame:
     """Position of every row in the epoch's order (hash order, id ties)."""
-    order = [shuffle_key(id_col, seed, epoch), F.col(id_col)] if shuffle else [F.col(id_col)]
-    return global_index(df, order, out_col)
+    return global_index(df, _epoch_order(id_col, seed, epoch, shuffle), out_col)
+
+
+def _epoch_order(id_col: str, seed: int, epoch: int, shuffle: bool = True) -> list[Column]:
+    return [shuffle_key(id_col, seed, epoch), F.col(id_col)] if shuffle else [F.col(id_col)]
 
 
 def next_batch(df: DataFrame, *, id_col: str, seed: int, offset: int, n: int, shuffle: bool = True,
@@ -45,8 +48,7 @@ def next_batch(df: DataFrame, *, id_col: str, seed: int, offset: int, n: int, sh
     for e in range(e0, e1 + 1):
         lo = max(offset - e * total, 0)
         hi = min(offset + n - e * total, total)
-        r = epoch_shuffle(df, id_col=id_col, seed=seed, epoch=e, shuffle=shuffle)
-        parts.append(r.filter((F.col("rank") >= lo) & (F.col("rank") < hi))
+        parts.append(rows_between(df, _epoch_order(id_col, seed, e, shuffle), lo, hi, "rank")
                       .withColumn("epoch", F.lit(e))
                       .withColumn("batch_pos", F.col("rank") + F.lit(e * total - offset)))
     out = parts[0]
@@ -67,12 +69,11 @@ def pop_first(buffer: DataFrame, dataset: DataFrame, n: int, *, arrival_cols: Se
     """Take up to n groups from the buffer in arrival order, the rest from
     the dataset in its order; ``source`` tells which."""
     g = buffer.groupBy(group_col).agg(*[F.min(c).alias(c) for c in arrival_cols])
-    ranked = global_index(g, list(arrival_cols) + [group_col], "_r")
-    from_buf = ranked.filter(F.col("_r") < n).select(group_col, F.lit("buffer").alias("source"),
-                                                     F.col("_r").alias("slot"))
-    k = from_buf.count()   # bounded by n
-    rest = global_index(dataset, dataset_order, "_r").filter(F.col("_r") < n - k) \
-        .select(F.col(group_col), F.lit("dataset").alias("source"), (F.col("_r") + k).alias("slot"))
+    from_buf = rows_between(g, list(arrival_cols) + [group_col], 0, n, "slot").select(
+        group_col, F.lit("buffer").alias("source"), "slot")
+    k = min(n, g.count())   # one bounded scalar
+    rest = rows_between(dataset, dataset_order, 0, n - k, "_r").select(
+        F.col(group_col), F.lit("dataset").alias("source"), (F.col("_r") + k).alias("slot"))
     return from_buf.unionByName(rest)
 
 
@@ -91,9 +92,7 @@ def accept_first_n(groups: DataFrame, n: int, *, keep_col: str, completion_cols:
                    index_col: str) -> DataFrame:
     """First n kept groups in completion order, returned with their rank in
     sample-index order (``pos``)."""
-    kept = global_index(groups.filter(F.col(keep_col)), list(completion_cols), "_k")
-    first = kept.filter(F.col("_k") < n).drop("_k")
-    return global_index(first, [index_col], "pos")
+    return global_index(first_rows(groups.filter(F.col(keep_col)), list(completion_cols), n), [index_col], "pos")
 
 
 # G6 -------------------------------------------------------------------------
@@ -117,8 +116,7 @@ def oversampling_report(groups: DataFrame, *, n: int, block_size: int, keep_col:
 def train_test_split(df: DataFrame, *, id_col: str, seed: int, n_train: int, n_val: int) -> DataFrame:
     """Shuffle, keep the first n_train + n_val rows; the last n_val of those
     are the test split."""
-    r = epoch_shuffle(df, id_col=id_col, seed=seed, epoch=0)
-    r = r.filter(F.col("rank") < n_train + n_val)
+    r = rows_between(df, _epoch_order(id_col, seed, 0), 0, n_train + n_val, "rank")
     return r.withColumn("split", F.when(F.col("rank") < n_train, "train").otherwise("test"))
 
 
@@ -132,9 +130,8 @@ def round_robin_shard(df: DataFrame, dp: int, *, order_cols: Sequence[str]) -> D
 # C8 -------------------------------------------------------------------------
 def trim_to_batch(df: DataFrame, batch: int, *, order_cols: Sequence[str]) -> DataFrame:
     """Keep the first floor(n / batch) * batch rows of the order."""
-    g = global_index(df, order_cols, "_tb")
-    n = g.count()   # one bounded scalar
-    return g.filter(F.col("_tb") < (n // batch) * batch).drop("_tb")
+    n = df.count()   # one bounded scalar
+    return rows_between(df, order_cols, 0, n - n % batch) if n % batch else df
 
 
 # D1 / S1 ----------------------------------------------------------------------

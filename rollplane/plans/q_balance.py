@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..operators import balance as B
 from ..sources import fixtures as FX
 from ..sources.fixtures import with_fixtures as W
-from .ordering import global_index
+from .ranking import global_index
 from .registry import register
 
 STEP = 256

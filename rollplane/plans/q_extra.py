@@ -13,7 +13,7 @@ from ..sources import fixtures as FX, io
 from ..sources.fixtures import with_fixtures as W
 from ..sources.tables import read_table
 from ..streaming.buffer import run_dir
-from .ordering import global_index
+from .ranking import global_index
 from .q_grading import F1_FROM_PARTS, f1_sql_subquery
 from .registry import r6, register
 

@@ -161,7 +161,7 @@ SELECT question_id, gi AS group_index, CAST(gi * 4 + j AS BIGINT) AS "index", CA
 FROM (SELECT question_id, row_number() OVER (ORDER BY question_id) - 1 AS gi FROM prompts) p,
      (SELECT unnest(range(4)) AS j) r""", "prompts"))
 def q_replicate_samples(spark, sf):
-    from .ordering import global_index
+    from .ranking import global_index
     p = global_index(FX.prompts(spark, sf).select("question_id"), ["question_id"], "group_index")
     r = P.replicate_samples(p, 4)
     return r.select("question_id", "group_index", "index", "sample_in_group")

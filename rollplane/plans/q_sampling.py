@@ -9,7 +9,7 @@ from ..operators import groups as G, sampling as S
 from ..sources import fixtures as FX
 from ..sources.fixtures import with_fixtures as W
 from ..sources.tables import read_table
-from .ordering import global_index
+from .ranking import global_index
 from .registry import register
 
 SEED = 42

@@ -13,7 +13,7 @@ BY = dict(text_id="tid", text_col="t", entry_id="eid", entry_col="e")
 def brute(texts, entries):
     out = []
     for tid, t in texts:
-        hits = [(-len(e), eid) for eid, e in entries if e and t and t.startswith(e)]
+        hits = [(-len(e), eid) for eid, e in entries if e is not None and t is not None and t.startswith(e)]
         best = min(hits, default=(0, None))
         out.append((tid, best[1], -best[0]))
     return sorted(out)
