@@ -34,8 +34,8 @@ from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 from ..session import ensure_checkpoint_dir
 from .hashing import mix64, pack, string_hashes, unpack
 
-BLOCK_BYTES = 6_000_000
-TRIES_AT_ONCE = 4
+BLOCK_BYTES = 3_000_000
+TRIES_AT_ONCE = 2
 BLOCKS = "lang string, words binary, sizes binary, n binary, n_words int, at binary, n_at int"
 GROWTH = np.uint64(0x9E3779B97F4A7C15)
 
@@ -47,12 +47,17 @@ _KIND[[*b".,;:!?", *range(0x0A, 0x0E)]] = 2
 
 
 class Scratch:
-    """Written intermediate tables of one run, under ``spark.checkpoint.dir``; ``drop`` deletes them."""
+    """Written intermediate tables of one run, under ``spark.checkpoint.dir``, and its broadcasts; ``drop`` frees them."""
 
     def __init__(self, spark: SparkSession, label: str):
         self.spark = spark
         self.path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{label}-{uuid.uuid4().hex}"
         self.n = 0
+        self.held = []
+
+    def broadcast(self, value):
+        self.held.append(self.spark.sparkContext.broadcast(value))
+        return self.held[-1]
 
     def written(self, df: DataFrame) -> DataFrame:
         self.n += 1
@@ -61,6 +66,8 @@ class Scratch:
         return self.spark.read.schema(df.schema).parquet(at)
 
     def drop(self) -> None:
+        for b in self.held:
+            b.destroy()
         jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
         path = jvm.org.apache.hadoop.fs.Path(self.path)
         path.getFileSystem(conf).delete(path, True)
@@ -112,6 +119,7 @@ def blocks_of(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", b
                     if size[lang] >= block_bytes:
                         yield _block(lang, held.pop(lang))
                         del size[lang]
+                        pa.default_memory_pool().release_unused()
                 if sum(size.values()) >= 4 * block_bytes:  # very many languages
                     for lang in list(held):
                         yield _block(lang, held.pop(lang))
@@ -175,7 +183,7 @@ class Bitmap:
             yield h & np.uint64((1 << self.bits) - 1)
             h = h + step
 
-    def of(self, keys: DataFrame) -> "Bitmap":
+    def of(self, keys: DataFrame, scratch: Scratch) -> "Bitmap":
         """``keys``: one long column ``key``. At most 2^(29-16) rows of 8 KB come to the driver."""
         def spread(batches):
             for b in batches:
@@ -193,7 +201,7 @@ class Bitmap:
         placed = keys.select("key").mapInArrow(spread, "p long").distinct()
         for r in placed.groupBy(F.shiftright("p", self.CHUNK).alias("g")).applyInArrow(chunk, "c long, bits binary").collect():
             body[r["c"] * step:(r["c"] + 1) * step] = np.frombuffer(r["bits"], np.uint8)
-        self.shared = keys.sparkSession.sparkContext.broadcast(body)  # 64 MB at most
+        self.shared = scratch.broadcast(body)  # 64 MB at most
         return self
 
     def test(self, keys: np.ndarray) -> np.ndarray:
@@ -415,9 +423,9 @@ def _tries(rows: pa.Table) -> list[tuple[int, dict[str, tuple[int, pa.Array]], n
     return out
 
 
-def count_states(blocks: DataFrame, tries: pa.Table) -> DataFrame:
+def count_states(blocks: DataFrame, tries: pa.Table, scratch: Scratch) -> DataFrame:
     """shard, state, a: how often the tries' states are reached, over all positions of all blocks. ``tries``: rows of build_tries."""
-    shared = blocks.sparkSession.sparkContext.broadcast(_tries(tries))
+    shared = scratch.broadcast(_tries(tries))
 
     def walk(batches):
         held = shared.value
@@ -465,10 +473,10 @@ def count_phrases(blocks: DataFrame, words: DataFrame, scratch: Scratch, *, max_
             key = string_hashes(b.column(1)) ^ np.array([salt[x] for x in b.column(0).to_pylist()], np.uint64)
             yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64))], ["key"])
 
-    screen = Screen(n_buckets, Bitmap(words.count()).of(words.select("lang", "phrase").mapInArrow(word_keys, "key long")))
+    screen = Screen(n_buckets, Bitmap(words.count()).of(words.select("lang", "phrase").mapInArrow(word_keys, "key long"), scratch))
     for k in range(2, max_words + 1):
         passed = scratch.written(survivors(blocks, screen, k, n_buckets, min_count))
-        screen.levels.append(Bitmap(passed.count()).of(passed))
+        screen.levels.append(Bitmap(passed.count()).of(passed, scratch))
     candidates = scratch.written(listed(blocks, screen, max_words))
     n, size = candidates.agg(F.count(F.lit(1)), F.sum(F.octet_length("phrase"))).first()
     n_shards = max(1, -(-n // shard_phrases), -(-(size or 0) // shard_bytes))
@@ -479,7 +487,8 @@ def count_phrases(blocks: DataFrame, words: DataFrame, scratch: Scratch, *, max_
     for lo in range(0, n_shards if n else 0, TRIES_AT_ONCE):
         some = tries.filter(F.col("shard").between(lo, lo + TRIES_AT_ONCE - 1)).drop("langs", "phrases", "states").toArrow()
         if some.num_rows:
-            got = scratch.written(count_states(blocks, some))
+            got = scratch.written(count_states(blocks, some, scratch))
+            scratch.held.pop().destroy()
             counts = got if counts is None else counts.unionByName(got)
     if counts is None:
         return spark.createDataFrame([], "lang string, phrase string, a long")
