@@ -95,7 +95,7 @@ def text_blocks(texts: DataFrame, text_id: str, text_col: str) -> DataFrame:
                 ids.take(pa.array(row)), pa.array(b.astype(np.int32)), pa.array(prefix_hashes(data, off[row], start).view(np.int64)),
                 _binary(data, start, np.minimum(start + BLOCK, off[row + 1]))], ["_tid", "_b", "_key", "_part"])
 
-    given = texts.filter(F.col(text_col).isNotNull()).select(F.col(text_id), F.col(text_col).cast("binary").alias("t"))
+    given = texts.filter(F.col(text_col).isNotNull()).select(F.col(text_id).alias("_id"), F.col(text_col).cast("binary").alias("_text"))
     return given.mapInArrow(cut, f"_tid {kind}, _b int, _key long, _part binary")
 
 
@@ -110,7 +110,7 @@ def entry_keys(cache: DataFrame, entry_id: str, entry_col: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([ids, pa.array(b.astype(np.int32)), pa.array(prefix_hashes(data, off[:-1], start).view(np.int64)),
                                               _binary(data, start, off[1:])], ["_eid", "_b", "_key", "_tail"])
 
-    given = cache.filter(F.col(entry_col).isNotNull()).select(F.col(entry_id), F.col(entry_col).cast("binary").alias("t"))
+    given = cache.filter(F.col(entry_col).isNotNull()).select(F.col(entry_id).alias("_id"), F.col(entry_col).cast("binary").alias("_text"))
     return given.mapInArrow(cut, f"_eid {kind}, _b int, _key long, _tail binary")
 
 

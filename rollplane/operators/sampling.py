@@ -12,7 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..plans.ranking import first_rows, global_cumsum, global_index, index_within_group, rows_between
+from ..plans.ranking import first_rows, global_cumsum, global_index, index_within_group, rows_between, without_last
 
 # Integer LCG used as the seeded shuffle key (a bijection on
 # ids below 2**31, so every id keeps a distinct key).
@@ -131,7 +131,7 @@ def round_robin_shard(df: DataFrame, dp: int, *, order_cols: Sequence[str]) -> D
 def trim_to_batch(df: DataFrame, batch: int, *, order_cols: Sequence[str]) -> DataFrame:
     """Keep the first floor(n / batch) * batch rows of the order."""
     n = df.count()   # one bounded scalar
-    return rows_between(df, order_cols, 0, n - n % batch) if n % batch else df
+    return without_last(df, order_cols, n % batch)
 
 
 # D1 / S1 ----------------------------------------------------------------------

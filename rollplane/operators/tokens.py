@@ -13,11 +13,11 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions import arrays as A
 from ..plans.ordering import attach_scalars
+from . import scans
 
 
 # E10 ------------------------------------------------------------------------
@@ -115,12 +115,10 @@ def compute_advantages(df: DataFrame, estimator: str, *, reward: str = "reward",
         adv = A.grpo_returns(reward, kl)
         out = df.withColumn("advantages", adv).withColumn("returns", adv)
     elif estimator == "ppo":
-        g = A.gae(A.kl_shaped_rewards(reward, kl, kl_coef), values, gamma, lambd)
-        out = df.withColumn("_g", g).withColumn("advantages", F.col("_g.advantages")) \
-                .withColumn("returns", F.col("_g.returns")).drop("_g")
+        out = gae_rows(df, rewards=A.kl_shaped_rewards(reward, kl, kl_coef), values=values, gamma=gamma, lambd=lambd)
     elif estimator == "reinforce_plus_plus":
-        ret = A.rpp_returns(reward, kl, mask, kl_coef, gamma)
-        out = df.withColumn("advantages", ret).withColumn("returns", ret)
+        out = rpp_returns(df, reward=reward, kl=kl, mask=mask, kl_coef=kl_coef, gamma=gamma)
+        out = out.withColumn("advantages", F.col("returns"))
     elif estimator == "reinforce_plus_plus_baseline":
         adv = A.rpp_baseline_adv(reward, kl, kl_coef)
         out = df.withColumn("advantages", adv).withColumn("returns", adv)
@@ -132,40 +130,11 @@ def compute_advantages(df: DataFrame, estimator: str, *, reward: str = "reward",
     return out
 
 
-# H3 / H5: suffix recurrences over Arrow batches -----------------------------
-def _suffix_scan_np(x: np.ndarray, off: np.ndarray, w: float) -> np.ndarray:
-    """y_t = x_t + w * y_{t+1} inside each of the runs off[i]:off[i+1], all runs
-    of a batch together, one position from the end after another."""
-    lens = np.diff(off)
-    longest_first = np.argsort(-lens, kind="stable")
-    ends, n = off[1:][longest_first], lens[longest_first]
-    y, run = np.empty(len(x)), np.zeros(len(n))
-    active = len(n)
-    for back in range(1, int(lens.max(initial=0)) + 1):
-        while active and n[active - 1] < back:
-            active -= 1
-        at = ends[:active] - back
-        run[:active] = x[at] + w * run[:active]
-        y[at] = run[:active]
-    return y
-
-
+# H3 / H5: suffix recurrences (see operators.scans) ---------------------------
 def suffix_scan_rows(df: DataFrame, x: str, out: str, w: float) -> DataFrame:
     """Add ``out`` = the discounted suffix sums of the array column ``x`` (null
-    stays null), vectorised over the rows of each Arrow batch."""
-    schema = T.StructType([*df.schema.fields, T.StructField(out, T.ArrayType(T.DoubleType()))])
-
-    def run(batches):
-        for b in batches:
-            lists = b.column(b.schema.get_field_index(x))
-            lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
-            off = lists.offsets.to_numpy().astype(np.int64)
-            flat = lists.values.slice(off[0], off[-1] - off[0]).to_numpy(zero_copy_only=False).astype(np.float64)
-            y = _suffix_scan_np(flat, off - off[0], w)
-            scanned = pa.ListArray.from_arrays(pa.array(off - off[0], pa.int32()), pa.array(y), mask=lists.is_null())
-            yield pa.RecordBatch.from_arrays([*b.columns, scanned], [*b.schema.names, out])
-
-    return df.mapInArrow(run, schema)
+    stays null); only that array goes to Python."""
+    return df.withColumn(out, scans.discounted_sums(x, w))
 
 
 def rpp_returns(df: DataFrame, *, reward: str, kl: Column, mask: str, kl_coef: float, gamma: float,
@@ -177,9 +146,8 @@ def rpp_returns(df: DataFrame, *, reward: str, kl: Column, mask: str, kl_coef: f
 
 def gae_rows(df: DataFrame, *, rewards: Column, values: str, gamma: float, lambd: float) -> DataFrame:
     """H5 as a table operator: adds ``advantages`` and ``returns``."""
-    d = df.withColumn("_x", A.gae_deltas(rewards, values, gamma))
-    d = suffix_scan_rows(d, "_x", "advantages", gamma * lambd).drop("_x")
-    return d.withColumn("returns", F.zip_with("advantages", values, lambda a, b: a + b))
+    d = df.withColumn("_r", rewards).withColumn("_g", scans.gae("_r", values, gamma, lambd))
+    return d.withColumn("advantages", F.col("_g.advantages")).withColumn("returns", F.col("_g.returns")).drop("_r", "_g")
 
 
 # H6 -------------------------------------------------------------------------

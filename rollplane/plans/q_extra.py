@@ -283,8 +283,7 @@ SELECT DISTINCT instance_id FROM (SELECT CAST(ts AS DATE) AS poll, instance_id F
     "buffer_items"))
 def q_finished_ids_union(spark, sf):
     b = FX.buffer_items(spark, sf).filter(F.col("finish_reason") == "stop")
-    per_poll = b.groupBy(F.to_date("ts").alias("poll")).agg(F.collect_set("instance_id").alias("ids"))
-    return per_poll.select(F.explode("ids").alias("instance_id")).distinct()
+    return b.select("instance_id").distinct()
 
 
 # X1 / X2 / X4 ----------------------------------------------------------------

@@ -176,6 +176,22 @@ def _numbered(first: DataFrame, order_cols: Sequence[str | Column], name: str |
     return ranked if name else ranked.drop("_rank")
 
 
+def without_last(df: DataFrame, order_cols: Sequence[str | Column], m: int) -> DataFrame:
+    """All rows but the last ``m`` of the order (m up to TOP_N: one bounded top-n of the keys from the end)."""
+    if m <= 0:
+        return df
+    if m > TOP_N:
+        return rows_between(df, order_cols, 0, df.count() - m)
+    keyed = df.withColumn("_key", _key(order_cols))
+    tail = keyed.select("_key").orderBy(F.desc("_key")).limit(m)
+    cut = tail.agg(F.min("_key").alias("_cut"))
+    marked = attach_scalars(keyed, cut)
+    out = marked.filter(F.col("_key") < F.col("_cut")).drop("_cut", "_key")
+    same = marked.filter(F.col("_key") == F.col("_cut"))
+    left = same.count() - attach_scalars(tail, cut).filter(F.col("_key") == F.col("_cut")).count()
+    return out.unionByName(same.limit(left).drop("_cut", "_key")) if left else out
+
+
 def first_rows(df: DataFrame, order_cols: Sequence[str | Column], n: int) -> DataFrame:
     """The first ``n`` rows of the order, unnumbered."""
     return rows_between(df, order_cols, 0, n)
