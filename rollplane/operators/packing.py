@@ -67,17 +67,21 @@ def unpack_sequences(packs: DataFrame, *, part_cols: Sequence[str], order_alias:
 
 
 def pad_to_multiple(packs: DataFrame, multiple: int, *, arrays: Sequence[str] = ("tokens", "position_ids", "loss_masks"),
-                    length_of: str = "tokens") -> DataFrame:
+                    length_of: str = "tokens", new_boundary: bool = False) -> DataFrame:
     """Pad flat arrays with 0 to a multiple of ``multiple``; the last
-    ``cu_seqlens`` entry absorbs the padding."""
+    ``cu_seqlens`` entry absorbs the padding, or with ``new_boundary`` the padding (if any) is a
+    sequence of its own with an entry of its own."""
     n = F.size(length_of)
     pad = (F.lit(multiple) - n % multiple) % multiple
     out = packs.withColumn("_pad", pad)
     for c in arrays:
         out = out.withColumn(c, F.concat(F.col(c), F.array_repeat(F.lit(0), F.col("_pad"))))
     cu = F.col("cu_seqlens")
-    out = out.withColumn("cu_seqlens", F.concat(F.slice(cu, 1, F.size(cu) - 1),
-                                                 F.array(F.element_at(cu, -1) + F.col("_pad"))))
+    end = F.array(F.element_at(cu, -1) + F.col("_pad"))
+    if new_boundary:
+        out = out.withColumn("cu_seqlens", F.when(F.col("_pad") > 0, F.concat(cu, end)).otherwise(cu))
+    else:
+        out = out.withColumn("cu_seqlens", F.concat(F.slice(cu, 1, F.size(cu) - 1), end))
     return out.withColumnRenamed("_pad", "pad_length")
 
 

@@ -132,7 +132,7 @@ ROLE_MAP = {"human": "user", "gpt": "assistant", "system": "system"}
 def map_role(role: Column | str) -> Column:
     m = F.create_map(*[F.lit(x) for kv in ROLE_MAP.items() for x in kv])
     mapped = F.element_at(m, _c(role))
-    return F.when(mapped.isNull(), F.raise_error(F.concat(F.lit("Unknown role: "), _c(role))).cast("string")) \
+    return F.when(mapped.isNull(), F.raise_error(F.concat(F.lit("no chat role for "), _c(role))).cast("string")) \
             .otherwise(mapped)
 
 
@@ -174,8 +174,8 @@ def to_train_columns(df: DataFrame, *, reward: Column, raw_reward_col: str = "re
                      status_col: str = "status", metadata_col: str | None = None) -> DataFrame:
     """Samples -> trainer columns: rewards, raw_reward (overridden by
     metadata['raw_reward'] when present), truncated 0/1, loss masks
-    defaulted, response lengths, total lengths.  Optional columns are
-    decided per row (presence), not by the first row."""
+    defaulted, and total lengths where there is a ``tokens`` column. Optional columns are
+    decided per row (presence), not by the first row; all others are carried."""
     raw = F.col(raw_reward_col).cast("double")
     if metadata_col:
         raw = F.coalesce(F.element_at(F.col(metadata_col), F.lit("raw_reward")).cast("double"), raw)
@@ -185,6 +185,8 @@ def to_train_columns(df: DataFrame, *, reward: Column, raw_reward_col: str = "re
         out = out.withColumn("loss_masks", default_loss_mask("loss_mask", "response_length"))
     else:
         out = out.withColumn("loss_masks", F.array_repeat(F.lit(1), F.col("response_length").cast("int")))
+    if "tokens" in df.columns:
+        out = out.withColumn("total_lengths", F.size("tokens"))
     return out
 
 

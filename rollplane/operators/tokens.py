@@ -76,16 +76,14 @@ def masked_whiten(df: DataFrame, x: str, mask: str = "loss_mask", *, out_col: st
                   shift_mean: bool = True, eps: float = 1e-8) -> DataFrame:
     """Whiten an array column with global masked statistics (Bessel corrected
     when the mask count >= 2); every position is transformed, masked or
-    not.  A zero mask sum fails."""
+    not.  The mask is 0 or 1; a zero mask sum fails."""
     out_col = out_col or x
-    sq = F.transform(F.col(x), lambda v: v * v)
-    stats = df.agg(F.sum(A.msum(x, mask)).alias("_ws"), F.sum(A.msum(sq, mask)).alias("_wq"),
-                   F.sum(A.mcount(mask)).alias("_wn"))
+    # moments of the masked-in tokens by Spark's central-moment aggregates, which keep their digits at any mean
+    token = df.select(F.explode(F.arrays_zip(F.col(x).alias("v"), F.col(mask).alias("m"))).alias("t")).filter("t.m != 0")
     n = F.col("_wn")
-    mean = F.col("_ws") / n
-    var = F.col("_wq") / n - mean * mean
-    var = F.when(n >= 2, var * n / (n - 1)).otherwise(var)
-    stats = stats.select(
+    mean = F.col("_wa")
+    var = F.when(n >= 2, F.col("_wp") * n / (n - 1)).otherwise(F.col("_wp"))
+    stats = token.agg(F.count(F.lit(1)).alias("_wn"), F.avg("t.v").alias("_wa"), F.var_pop("t.v").alias("_wp")).select(
         F.when(n == 0, F.raise_error(F.lit("The global mask sum is zero.")).cast("double")).otherwise(mean).alias("_wm"),
         var.alias("_wv"))
     j = attach_scalars(df, stats)

@@ -124,8 +124,11 @@ def q_step_metric_reduce(spark, sf):
 SELECT step, 'train/log_probs' AS key, round(log_probs, 6) AS value FROM red
 UNION ALL SELECT step, 'train/kl', round(kl, 6) FROM red""", "tok"))
 def q_metrics_sink(spark, sf):
-    long = io.metrics_long(_step_reduce(spark, sf), step_col="step", prefix="train/")
-    return long.select("step", "key", r6("value").alias("value"))
+    reduced, path = _step_reduce(spark, sf), run_dir(spark, "metrics")
+    kind = reduced.schema["step"].dataType
+    for _ in range(2):  # a repeated write replaces the first
+        io.metrics_sink(reduced, path, step_col="step", prefix="train/")
+    return spark.read.parquet(path).select(F.col("step").cast(kind).alias("step"), "key", r6("value").alias("value"))
 
 
 # E16 ------------------------------------------------------------------------

@@ -199,11 +199,11 @@ def test_search_format_reasons(spark):
         ("<|im_start|>assistant\n<think>a</think><search>q</search>",),
     ], "t string")
     got = [(r["v"]["valid"], r["v"]["reason"]) for r in df.select(TX.search_format_valid("t").alias("v")).collect()]
-    assert got[0] == (True, "Valid sequence format")
-    assert got[1] == (False, "Unexpected content 'stray' between tags (state: after_think)")
-    assert got[2] == (False, "Mismatch in think tags: 1 opening vs 0 closing tags")
-    assert got[3] == (False, "Missing assistant marker")
-    assert got[4] == (False, "Incomplete sequence, ended in state after_search")
+    assert got[0] == (True, "valid")
+    assert got[1] == (False, "text outside of tags after after_think: stray")
+    assert got[2] == (False, "<think> is opened 1 times, closed 0")
+    assert got[3] == (False, "no assistant turn")
+    assert got[4] == (False, "stops after after_search")
 
 
 def test_remote_reward_with_fake_client(spark):
