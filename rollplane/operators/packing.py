@@ -98,6 +98,26 @@ def zigzag_shard(df: DataFrame, *, tokens: str, cp_size: int, keep: Sequence[str
     return ex.select(*keep, "cp_rank", F.concat(first, second).alias("shard"), c.alias("chunk_len"))
 
 
+def zigzag_offsets(df: DataFrame, *, total_length: str, response_length: str, cp_size: int, keep: Sequence[str] = ()) -> DataFrame:
+    """Per context-parallel rank its two chunks of the sequence, and of each the positions whose logits predict
+    response tokens and those tokens (half-open, from the start of the prompt; 0 to 0 where a chunk has none).
+    The logit before a token predicts it, so the logits are those from the last prompt position to the last but one."""
+    total, prompt = F.col(total_length), F.col(total_length) - F.col(response_length)
+    chunk = F.ceil(total / (2 * cp_size)).cast("int")
+    rank = F.col("cp_rank")
+
+    def part(number: Column, i: int) -> list[Column]:
+        start, end = number * chunk, (number + 1) * chunk
+        first, last = F.greatest(start, (prompt - 1).cast("int")), F.least(end, (total - 1).cast("int"))
+        some = first < last
+        at = lambda c: F.when(some, c).otherwise(0)
+        return [start.alias(f"chunk{i}_start"), end.alias(f"chunk{i}_end"), at(first).alias(f"logits{i}_start"), at(last).alias(f"logits{i}_end"),
+                at(first + 1).alias(f"tokens{i}_start"), at(last + 1).alias(f"tokens{i}_end")]
+
+    ranks = df.select(*keep, total_length, response_length, F.explode(F.sequence(F.lit(0), F.lit(cp_size - 1))).alias("cp_rank"))
+    return ranks.select(*keep, "cp_rank", chunk.alias("chunk_len"), *part(rank, 0), *part(F.lit(2 * cp_size - 1) - rank, 1))
+
+
 def zigzag_gather(shards: DataFrame, *, keys: Sequence[str], cp_size: int, total_len: str) -> DataFrame:
     """Inverse of ``zigzag_shard``: reassemble and cut the padding."""
     g = shards.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("cp_rank", "shard", "chunk_len"))).alias("_s"),

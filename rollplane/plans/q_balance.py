@@ -113,3 +113,25 @@ def q_microbatch_schedule(spark, sf):
     g = global_index(g, ["group_index", "idx_in_group"], "row_idx")
     return B.microbatch_schedule(g, order_col="row_idx", length_col="response_length", global_batch=512,
                                  dp_size=4, max_tokens=300)
+
+
+@register("fixed_microbatches", W("""
+, o AS (SELECT group_index, idx_in_group, row_number() OVER (ORDER BY group_index, idx_in_group) - 1 AS i FROM samples)
+SELECT group_index, idx_in_group, i // 512 AS step, CAST((i % 512) % 4 AS INTEGER) AS dp_rank,
+       CAST(((i % 512) // 4) // 12 AS INTEGER) AS microbatch, CAST(11 AS INTEGER) AS num_microbatches FROM o""", "samples"))
+def q_fixed_microbatches(spark, sf):
+    m = B.fixed_microbatches(_ordered(spark, sf), order_col="row_idx", global_batch=512, dp_size=4, micro_batch=12)
+    return m.select("group_index", "idx_in_group", "step", "dp_rank", "microbatch", "num_microbatches")
+
+
+# every item once, and as many parts as the tokens need
+@register("pack_by_budget_report", W(f"""
+, o AS (SELECT response_length, (row_number() OVER (ORDER BY group_index, idx_in_group) - 1) // {STEP} AS batch FROM samples)
+SELECT batch, count(*) AS n_items, CAST(sum(response_length) AS BIGINT) AS tokens,
+       least(count(*), CAST(ceil(sum(response_length) / 1000.0) AS BIGINT)) AS n_parts FROM o GROUP BY batch""", "samples"))
+def q_pack_by_budget_report(spark, sf):
+    g = _ordered(spark, sf)
+    parts = B.balanced_partitions(g, batch_cols=["batch"], item_col="row_idx", length_col="response_length", max_tokens=1000)
+    j = parts.join(g.select("batch", "row_idx", "response_length"), ["batch", "row_idx"])
+    return j.groupBy("batch").agg(F.count_distinct("row_idx").alias("n_items"), F.sum("response_length").cast("long").alias("tokens"),
+                                  F.count_distinct("part").alias("n_parts"))

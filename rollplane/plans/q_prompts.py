@@ -375,3 +375,32 @@ def q_zigzag_shard(spark, sf):
     z = PK.zigzag_shard(t, tokens="tokens", cp_size=2, keep=["group_index", "idx_in_group"])
     return z.select("group_index", "idx_in_group", "cp_rank", F.size("shard").alias("shard_len"),
                     F.aggregate("shard", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("shard_sum"))
+
+
+def _offsets_sql(i: int, number: str) -> str:
+    lo, hi = f"greatest({number} * ch, total - response_length - 1)", f"least(({number} + 1) * ch, total - 1)"
+    at = lambda x: f"CAST(CASE WHEN {lo} < {hi} THEN {x} ELSE 0 END AS INTEGER)"
+    return (f"CAST({number} * ch AS INTEGER) AS chunk{i}_start, CAST(({number} + 1) * ch AS INTEGER) AS chunk{i}_end, "
+            f"{at(lo)} AS logits{i}_start, {at(hi)} AS logits{i}_end, {at(lo + ' + 1')} AS tokens{i}_start, {at(hi + ' + 1')} AS tokens{i}_end")
+
+
+# prompts of 3 + idx_in_group tokens before each response
+@register("zigzag_offsets", W(f"""
+, c AS (SELECT group_index, idx_in_group, response_length, response_length + 3 + idx_in_group AS total FROM token_rows),
+r AS (SELECT *, (total + 5) // 6 AS ch, unnest([0, 1, 2]) AS k FROM c)
+SELECT group_index, idx_in_group, CAST(k AS INTEGER) AS cp_rank, CAST(ch AS INTEGER) AS chunk_len,
+       {_offsets_sql(0, 'k')}, {_offsets_sql(1, '(5 - k)')} FROM r""", "tok"))
+def q_zigzag_offsets(spark, sf):
+    t = FX.token_rows(spark, sf).withColumn("total", F.col("response_length") + 3 + F.col("idx_in_group"))
+    return PK.zigzag_offsets(t, total_length="total", response_length="response_length", cp_size=3, keep=["group_index", "idx_in_group"])
+
+
+@register("zigzag_gather", W("""
+SELECT group_index, idx_in_group, md5(string_agg(CAST(tk AS VARCHAR), ',' ORDER BY t)) AS tokens_md5, CAST(count(*) AS INTEGER) AS n_tokens
+FROM tok GROUP BY group_index, idx_in_group""", "tok"))
+def q_zigzag_gather(spark, sf):
+    """Shards put together again are the sequence."""
+    t = FX.token_rows(spark, sf).withColumn("n", F.size("tokens"))
+    z = PK.zigzag_shard(t, tokens="tokens", cp_size=2, keep=["group_index", "idx_in_group", "n"])
+    g = PK.zigzag_gather(z, keys=["group_index", "idx_in_group"], cp_size=2, total_len="n")
+    return g.select("group_index", "idx_in_group", F.md5(F.array_join("tokens", ",")).alias("tokens_md5"), F.size("tokens").alias("n_tokens"))

@@ -82,3 +82,21 @@ def test_whitening_keeps_its_digits(spark):
     got = TK.masked_whiten(df, "x", eps=0.0).first().x
     mean, var = sum(xs) / 8, sum((x - sum(xs) / 8) ** 2 for x in xs) / 7
     assert all(abs(a - (b - mean) / var ** 0.5) < 1e-6 for a, b in zip(got, xs))
+
+
+def test_choice_by_number_and_by_metadata(spark):
+    rows = [("The answer is B", None, 1, None, None, 1.0), ("The answer is B", None, 2, None, None, 0.0), ("it is the green house", "x", None, "Green House!", None, 1.0),
+            ("it is the green house", "x", None, None, "the GREEN house", 1.0), ("it is the blue house", "x", None, "Green House", "green", 0.0),
+            ("The answer is B", None, 99, None, None, 0.0)]
+    df = spark.createDataFrame(rows, "resp string, label string, idx int, ca string, at string, want double")
+    got = df.select("want", TX.choice_grade("resp", "label", label_index=F.col("idx"), correct_answer=F.col("ca"), answer_text=F.col("at")).alias("g")).collect()
+    assert [r.g for r in got] == [r.want for r in got]
+
+
+def test_parts_come_from_the_token_budget(spark):
+    df = spark.createDataFrame([(b, i, n) for b, ns in enumerate([[5, 5, 5], [100], [3, 9, 4, 8]]) for i, n in enumerate(ns)], "b long, i long, n long")
+    got = B.balanced_partitions(df, batch_cols=["b"], item_col="i", length_col="n", max_tokens=10).collect()
+    parts = {b: len({r.part for r in got if r.b == b}) for b in range(3)}
+    assert parts == {0: 2, 1: 1, 2: 3}
+    with pytest.raises(ValueError):
+        B.balanced_partitions(df, batch_cols=["b"], item_col="i", length_col="n")
