@@ -162,6 +162,12 @@ def _ppo_clip(ppo_kl: Column, adv: Column, eps_clip: float = 0.2, eps_clip_high:
     return ppo_clip_loss(ppo_kl, adv, eps_clip, eps_clip_high)["pg_loss"]
 
 
+@register_loss("clipped_ratio")
+def _clipped_ratio(log_probs: Column, rollout_log_probs: Column, low: float = 0.0, high: float = 2.0) -> Column:
+    from ..functions.arrays import tis_weights
+    return tis_weights(log_probs, rollout_log_probs, low, high)["weights"]
+
+
 # X9 -------------------------------------------------------------------------
 GENERATORS: dict[str, dict[str, Callable]] = {}
 

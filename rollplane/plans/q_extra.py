@@ -191,8 +191,7 @@ def q_load_dump_subsample(spark, sf):
                                      _month().alias("rollout_id"), F.lit("train").alias("category"))
     path = run_dir(spark, "dumps")
     io.dump_samples(s, path, partition_by=("category", "rollout_id"))
-    loaded = spark.read.parquet(path).filter(F.col("category") == "train")
-    out = io.subsample_ends_by(loaded, 0.5, key_cols=["rollout_id"], order_cols=["group_index", "idx_in_group"])
+    out = io.load_dump_subsample(spark, path, rollout_id=None, ratio=0.5, order_cols=["group_index", "idx_in_group"])
     return out.select(F.col("rollout_id").cast("int"), "group_index", "idx_in_group")
 
 

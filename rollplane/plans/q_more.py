@@ -397,3 +397,35 @@ def q_microbatch_report(spark, sf):
     return m.join(g, "row_idx").groupBy("step", "dp_rank").agg(
         F.count(F.lit(1)).alias("n"), F.sum("response_length").alias("total"),
         (F.count_distinct("microbatch") == F.max("num_microbatches")).alias("all_used"))
+
+
+# The importance weight is a hook, too
+@register("custom_is_weight", W("""
+SELECT group_index, idx_in_group, round(sum(least(greatest(exp(lp - olp), 0.9), 1.05) * m) / greatest(sum(m), 1), 6) AS weight
+FROM tok GROUP BY group_index, idx_in_group""", "tok"))
+def q_custom_is_weight(spark, sf):
+    from ..operators import hooks
+    t = FX.token_rows(spark, sf)
+    w = hooks.loss_column("clipped_ratio", F.col("log_probs"), F.col("rollout_log_probs"), low=0.9, high=1.05)
+    return t.select(*KEY, w.alias("w"), "loss_mask").select(*KEY, r6(A.mmean("w", "loss_mask")).alias("weight"))
+
+
+# The message struct and the action of a response with tool calls
+_CALL = "regexp_extract(response, '(?s)<tool_call>(.*?)</tool_call>', 1)"
+
+
+@register("tool_call_struct", W(f"""
+, c AS (SELECT *, {_CALL} AS call, regexp_replace(response, '(?s)<tool_call>(.*?)</tool_call>', '', 'g') AS rest FROM graded)
+SELECT group_index, idx_in_group, 'assistant' AS role, CASE WHEN call <> '' AND trim(rest) = '' THEN NULL ELSE rest END AS content,
+       CASE WHEN call <> '' THEN 'call_0_' || json_extract_string(call, '$.name') END AS call_id,
+       CASE WHEN call <> '' THEN json_extract_string(call, '$.name') END AS function_name,
+       CASE WHEN call <> '' THEN CAST(json_extract(call, '$.arguments') AS VARCHAR) END AS arguments,
+       CASE WHEN call <> '' THEN json_extract_string(call, '$.name') ELSE 'respond' END AS action,
+       CASE WHEN call <> '' THEN CAST(json_extract(call, '$.arguments') AS VARCHAR) ELSE CAST(json_object('content', response) AS VARCHAR) END AS kwargs
+FROM c""", "graded"))
+def q_tool_call_struct(spark, sf):
+    from ..operators import prompts
+    m = FX.graded(spark, sf).select(*KEY, prompts.tool_call_message("response").alias("x"))
+    first = F.get(F.col("x.message.tool_calls"), F.lit(0))
+    return m.select(*KEY, "x.message.role", "x.message.content", first["id"].alias("call_id"), first["function"]["name"].alias("function_name"),
+                    first["function"]["arguments"].alias("arguments"), F.col("x.action.name").alias("action"), F.col("x.action.kwargs").alias("kwargs"))

@@ -100,3 +100,16 @@ def test_parts_come_from_the_token_budget(spark):
     assert parts == {0: 2, 1: 1, 2: 3}
     with pytest.raises(ValueError):
         B.balanced_partitions(df, batch_cols=["b"], item_col="i", length_col="n")
+
+
+def test_tool_call_message(spark):
+    rows = [(1, 'ok <tool_call>{"name":"f","arguments":{"a":1}}</tool_call>'), (2, '<tool_call>{"name":"f","arguments":"x"}</tool_call> <tool_call>{"arguments":{}}</tool_call>'),
+            (3, "plain"), (4, None), (5, "<tool_call>no json</tool_call>")]
+    got = {r.i: r.m for r in spark.createDataFrame(rows, "i long, t string").select("i", P.tool_call_message("t").alias("m")).collect()}
+    m = got[1].message
+    assert (m.role, m.content, [(c.id, c.type, c.function.name, c.function.arguments) for c in m.tool_calls]) == \
+        ("assistant", "ok ", [("call_0_f", "function", "f", '{"a":1}')])
+    assert (got[1].action.name, got[1].action.kwargs) == ("f", '{"a":1}')
+    assert got[2].message.content is None and [c.id for c in got[2].message.tool_calls] == ["call_0_f", "call_1_unknown"]
+    assert got[2].action.name == "respond" and got[3].message.tool_calls is None and got[3].action.kwargs == '{"content":"plain"}'
+    assert got[4] is None and got[5].action.name == "respond"
