@@ -78,8 +78,8 @@ def load_dump_subsample(spark: SparkSession, path: str, *, rollout_id: int | Non
     """Reload one rollout of a dump (partition pruning on category and
     rollout id); with ``ratio`` keep the first k//2 and last k - k//2 rows,
     k = int(n * ratio).  k = 0 raises (the reference would return all rows).
-    ``rollout_id`` None takes every rollout of the dump, each cut by its own rows (of one with
-    k = 0 nothing is left)."""
+    ``rollout_id`` None takes every rollout of the dump, each cut by its own rows (one with
+    k = 0 raises, too)."""
     df = spark.read.parquet(path).filter(F.col("category") == category)
     if rollout_id is not None:
         df = df.filter(F.col("rollout_id") == rollout_id)
