@@ -10,7 +10,7 @@ are compared byte for byte.
 Defined cases: null text counts as empty, and empty texts are equal to each
 other; a null id sorts lowest (it stays only if all ids of its group are null);
 repeated rows of one id and text keep one row; an empty snapshot or batch is
-allowed; an empty table gives no rows; other columns are ignored.
+allowed; texts of any length are compared whole; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations

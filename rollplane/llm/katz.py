@@ -24,7 +24,7 @@ context of the first word.
 Defined cases: null and empty text is the end token alone; a null id is
 training data; no training documents: every token is the unknown word with
 probability 1; repeated rows count as often as they stand; an empty table gives
-no rows; columns other than id and text are ignored. The documents must be a
+no rows; columns other than id and text are ignored; texts of any length are read whole. The documents must be a
 replayable read (see ``bpe``); checksums guard it.
 """
 

@@ -8,7 +8,7 @@ the scan: no shuffle, no join, whatever a line's frequency.
 
 Defined cases: null and empty text have no sentences and no licences; unknown
 sentences between known ones do not break a rule; the same licence found again
-is listed once; repeated rows give repeated rows; an empty table gives none;
+is listed once; texts of any length are read whole; repeated rows give repeated rows; an empty table gives none;
 other columns are ignored.
 """
 

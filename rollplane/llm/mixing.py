@@ -10,7 +10,8 @@ larger budget only adds documents (nested thresholds).
 Defined cases: null and empty text have size 0 and are taken 0 words (their
 source's whole copies still hold them); a null source is a source of its own,
 last in order; repeated rows share a hash and are separated by row; an empty
-table gives no rows; columns other than id, text and source are ignored.
+table gives no rows; columns other than id, text and source are ignored;
+texts of any length are counted whole.
 """
 
 from __future__ import annotations

@@ -25,7 +25,7 @@ than 3 with probability 1.2e-5; above 0.8 less.
 Defined cases: null text counts as empty; a text with fewer than five words is
 one shingle of all its words; texts without words match only equal texts; the
 row of smallest id stays (null ids last, then by row); repeated rows are copies; an empty
-table gives no rows; other columns are ignored.
+table gives no rows; other columns are ignored; texts of any length are read whole.
 """
 
 from __future__ import annotations

@@ -12,7 +12,7 @@ Defined cases: null text counts as empty; a null host or path is a site of its
 own; labels of unknown documents and null labels are ignored, several labels of
 one document are averaged (a tie is bad); without usable labels every
 document gets the prior 0.5 and is kept; repeated rows are judged alike; an
-empty table gives no rows; other columns are ignored.
+empty table gives no rows; other columns are ignored; texts of any length are read whole.
 """
 
 from __future__ import annotations

@@ -9,7 +9,7 @@ aggregation per step.
 
 Defined cases: null text counts as empty and has 0 of everything; a document on
 which all rules abstain gets the prior; repeated rows count as often as they
-stand; an empty table gives no rows; other columns are ignored.
+stand; texts of any length are read whole; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations

@@ -10,7 +10,7 @@ Defined cases: null text weighs ``row_overhead`` and has checksum 0; a null
 dimension sorts below all values; ties on a dimension are broken by a hash of
 (id, size, checksum), then by row, so repeated rows split too; fewer rows than
 shards leave shards empty; an empty table gives no rows; other columns of the
-input are ignored.
+input are ignored; texts of any length are measured whole.
 """
 
 from __future__ import annotations
