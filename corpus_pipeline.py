@@ -2,7 +2,11 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as
 Parquet and read again as the next stage's docs. All but the last return the
-columns of documents.
+columns of documents, extra ones included.
+
+Defined cases: a null text counts as empty everywhere; equal texts (nulls and empty ones among them) become one
+row, that of largest id; a null id loses to any other; texts of any length are taken whole; repeated rows are
+copies; columns of any name are carried; an empty table stays empty and gives no rows.
 """
 
 from __future__ import annotations
