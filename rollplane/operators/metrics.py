@@ -187,6 +187,15 @@ def has_repetition(text: Column | str) -> Column:
     return F.when(F.length(c) > 10000, _repetitive_udf()(c)).otherwise(F.lit(False))
 
 
+def repetition_truncation(df: DataFrame, *, keys: Sequence[str] = (), text: str = "response", status: str = "status") -> DataFrame:
+    """Per ``keys`` (a rollout; none: the whole table) the number of samples and the fractions of repetitive and of truncated
+    ones. A null text is not repetitive, a null status not truncated; no samples give no row, or nulls without keys."""
+    flag = lambda c: F.coalesce(c, F.lit(False)).cast("double")
+    # flagged first, so that texts stay out of the aggregation
+    flags = df.select(*keys, flag(has_repetition(text)).alias("_r"), flag(F.col(status) == "truncated").alias("_t"))
+    return flags.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_samples"), F.avg("_r").alias("repetition_frac"), F.avg("_t").alias("truncated_ratio"))
+
+
 # E22 ------------------------------------------------------------------------
 def rollout_step(rollout_id: Column, *, rollout_batch_size: int, n_samples: int, global_batch_size: int,
                  use_train_step: bool = True) -> Column:

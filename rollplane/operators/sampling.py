@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..plans.ranking import first_rows, global_cumsum, global_index, index_within_group, rows_between, without_last
 
 # Integer LCG used as the seeded shuffle key (a bijection on
-# ids below 2**31, so every id keeps a distinct key).
+# ids below 2**31; larger ids share keys by their remainder and follow each other by id).
 LCG_A, LCG_C, LCG_M = 1103515245, 12345, 2147483648
 
 
@@ -23,7 +23,8 @@ def shuffle_key(id_col: Column | str, seed: int, epoch: int) -> Column:
     """G1 order key of an id for ``seed + epoch``; always computed from the
     original id, so a shuffle is idempotent per epoch."""
     c = F.col(id_col) if isinstance(id_col, str) else id_col
-    return F.pmod(c * F.lit(LCG_A) + F.lit((seed + epoch) * 7919 + LCG_C), F.lit(LCG_M))
+    small = F.pmod(c.cast("long"), F.lit(LCG_M))  # the product stays inside a long
+    return F.pmod(small * F.lit(LCG_A) + F.lit((seed + epoch) * 7919 + LCG_C), F.lit(LCG_M))
 
 
 def epoch_shuffle(df: DataFrame, *, id_col: str, seed: int, epoch: int, shuffle: bool = True,

@@ -113,3 +113,24 @@ def test_tool_call_message(spark):
     assert got[2].message.content is None and [c.id for c in got[2].message.tool_calls] == ["call_0_f", "call_1_unknown"]
     assert got[2].action.name == "respond" and got[3].message.tool_calls is None and got[3].action.kwargs == '{"content":"plain"}'
     assert got[4] is None and got[5].action.name == "respond"
+
+
+def test_repetition_and_truncation_fractions(spark):
+    import random
+    from rollplane.operators import metrics as M
+    rnd = random.Random(1)
+    noise = "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(12_000))
+    rows = [(1, "ab" * 6000, "truncated"), (1, noise, "completed"), (1, None, None), (1, "short", "truncated"), (2, "x" * 20_000, "completed")]
+    df = spark.createDataFrame(rows, "rollout long, response string, status string")
+    got = {r.rollout: (r.n_samples, r.repetition_frac, r.truncated_ratio) for r in M.repetition_truncation(df, keys=["rollout"]).collect()}
+    assert got == {1: (4, 0.25, 0.5), 2: (1, 1.0, 0.0)}
+    r = M.repetition_truncation(df).first()
+    assert (r.n_samples, r.repetition_frac, r.truncated_ratio) == (5, 0.4, 0.4)
+    assert M.repetition_truncation(df.limit(0), keys=["rollout"]).count() == 0
+
+
+def test_shuffle_keys_of_very_large_ids(spark):
+    from rollplane.operators import sampling as SM
+    ids = [0, 1, 2**31 - 1, 2**31, 10**12, 2**62, -5]
+    got = [r[0] for r in spark.createDataFrame([(i,) for i in ids], "i long").select(SM.shuffle_key("i", 3, 4)).collect()]
+    assert got == [(i * SM.LCG_A + 7 * 7919 + SM.LCG_C) % SM.LCG_M for i in ids]
