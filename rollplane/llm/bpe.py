@@ -1,8 +1,8 @@
 """Byte-level BPE over a global shuffle of distinct words.
 
-Texts are split into pre-tokens by the pattern (JVM). Each block of documents
+Texts are split into pre-tokens by the pattern (JVM), once. Each block of documents
 lists its distinct pre-tokens once and keeps the documents as positions into
-that list. The lists are shuffled by word, so every distinct word of the corpus
+that list. Lists and positions go through one exchange: the lists are shuffled by word, so every distinct word of the corpus
 is merged once, in one place; its ids go back to the blocks that hold it and the
 documents are put together again by position. A word comes at most once from
 each block, so frequent words make no hot key. Decoding joins the
@@ -30,6 +30,10 @@ from .hashing import pack, runs, string_hashes, unpack
 
 BLOCK_WORDS = 2_500_000
 SLICE_WORDS = 250_000
+SPLIT_COLUMNS = ["key", "block", "words", "at", "check", "ids", "lens", "n_distinct"]
+MERGED = pa.schema([("key", pa.int64()), ("at", pa.binary()), ("check", pa.int64()), ("n", pa.list_(pa.int32())),
+                    ("ids", pa.list_(pa.int32()))])
+ENCODED = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -125,31 +129,33 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str =
     n_buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     pre = pretokens(docs, pattern, id_col, text_col)
 
-    def words(batches):
-        for block, _, _, distinct, _ in _blocks(batches, block_words):
+    def split(batches):
+        """Both row kinds of a block: its positions under the block's own key, its words under the
+        keys -1, -2, .. of their buckets."""
+        for block, ids, lens, distinct, at in _blocks(batches, block_words):
             sums = _checksum(distinct)
+            check = int(np.bitwise_xor.reduce(sums)) if len(distinct) else 0
+            yield pa.RecordBatch.from_arrays([
+                pa.array([block], pa.int64()), pa.array([block], pa.int64()), pa.nulls(1, pa.list_(pa.string())),
+                pa.array([pack(at)], pa.binary()), pa.array([check], pa.int64()),
+                pa.array([ids.to_pylist()], pa.list_(pa.int64())), pa.array([lens.astype(np.int32)], pa.list_(pa.int32())),
+                pa.array([len(distinct)], pa.int32())], SPLIT_COLUMNS)
             bucket = sums % n_buckets
             order = np.argsort(bucket, kind="stable")
             cuts = np.searchsorted(bucket[order], np.arange(n_buckets + 1))
             full = [b for b in range(n_buckets) if cuts[b] < cuts[b + 1]]
             off = pa.array([cuts[b] for b in full] + [len(order)], pa.int32())
             yield pa.RecordBatch.from_arrays([
-                pa.array(full, pa.int32()), pa.array([block] * len(full), pa.int64()),
+                pa.array([-1 - b for b in full], pa.int64()), pa.array([block] * len(full), pa.int64()),
                 pa.ListArray.from_arrays(off, distinct.take(pa.array(order))),
                 pa.array([pack(np.diff(order[cuts[b]:cuts[b + 1]], prepend=0)) for b in full], pa.binary()),
                 pa.array([int(np.bitwise_xor.reduce(sums[order[cuts[b]:cuts[b + 1]]])) for b in full], pa.int64()),
-            ], ["bucket", "block", "words", "at", "check"])
-
-    def positions(batches):
-        for block, ids, lens, distinct, at in _blocks(batches, block_words):
-            check = int(np.bitwise_xor.reduce(_checksum(distinct))) if len(distinct) else 0
-            yield pa.RecordBatch.from_arrays([
-                pa.array([block], pa.int64()), pa.array([ids.to_pylist()], pa.list_(pa.int64())),
-                pa.array([lens.astype(np.int32)], pa.list_(pa.int32())), pa.array([pack(at)], pa.binary()),
-                pa.array([len(distinct)], pa.int32()), pa.array([check], pa.int64()),
-            ], ["block", "ids", "lens", "at", "n_distinct", "check"])
+                pa.nulls(len(full), pa.list_(pa.int64())), pa.nulls(len(full), pa.list_(pa.int32())),
+                pa.nulls(len(full), pa.int32())], SPLIT_COLUMNS)
 
     def merge(t: pa.Table) -> pa.Table:
+        if t["key"][0].as_py() >= 0:  # a block's positions: they wait for their ids
+            return MERGED.empty_table()
         lists = t["words"].combine_chunks()
         coded = lists.flatten().dictionary_encode()
         known = table.value
@@ -161,11 +167,13 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str =
         off = lists.offsets.to_numpy().astype(np.int64)
         ends = np.concatenate(([0], np.cumsum(n[at])))[off]
         return pa.table({
-            "block": t["block"], "at": t["at"], "check": t["check"],
+            "key": t["block"], "at": t["at"], "check": t["check"],
             "n": pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(n[at].astype(np.int32))),
             "ids": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids))})
 
     def assemble(seq: pa.Table, enc: pa.Table) -> pa.Table:
+        if seq.num_rows and seq["key"][0].as_py() < 0:  # a bucket's words: merged already
+            return ENCODED.empty_table()
         if seq.num_rows != 1:
             raise RuntimeError("a block came back without its documents: the input changed between reads")
         lens = seq["lens"].combine_chunks().flatten().to_numpy().astype(np.int64)
@@ -205,11 +213,12 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str =
         return pa.table({"doc_id": seq["ids"].combine_chunks().flatten(),
                          "ids": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(out, pa.int32()))})
 
-    listed = pre.mapInArrow(words, "bucket int, block long, words array<string>, at binary, check long")
-    merged = listed.groupBy("bucket").applyInArrow(
-        merge, "block long, at binary, check long, n array<int>, ids array<int>")
-    seqs = pre.mapInArrow(positions, "block long, ids array<long>, lens array<int>, at binary, n_distinct int, check long")
-    return seqs.groupBy("block").cogroup(merged.groupBy("block")).applyInArrow(assemble, "doc_id long, ids array<int>")
+    # One pass of the pattern and one exchange serve both sides: the words are merged where they arrive,
+    # the positions stay there until the ids come back to them.
+    both = pre.mapInArrow(split, "key long, block long, words array<string>, at binary, check long, ids array<long>, "
+                                 "lens array<int>, n_distinct int")
+    merged = both.groupBy("key").applyInArrow(merge, "key long, at binary, check long, n array<int>, ids array<int>")
+    return both.groupBy("key").cogroup(merged.groupBy("key")).applyInArrow(assemble, "doc_id long, ids array<int>")
 
 
 def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
