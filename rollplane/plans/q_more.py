@@ -164,6 +164,26 @@ def q_math_grade(spark, sf):
     return s.select(*KEY, TX.math_grade(F.concat(F.lit("so \\boxed{"), shown, F.lit("}")), label).alias("reward"))
 
 
+@register("math_verdict", W(r"""
+SELECT group_index, idx_in_group, CASE WHEN k < 5 AND NOT off THEN 1.0::DOUBLE ELSE 0.0 END AS reward, k = 5 AS undecided
+FROM (SELECT group_index, idx_in_group, l_partkey % 7 AS k, l_partkey % 3 = 0 AS off FROM samples)""", "samples"))
+def q_math_verdict(spark, sf):
+    """Halves as a fraction, a mixed number, a sum with a power, a quotient and in a tuple against decimals that are right or one
+    off; a root is left undecided, text with three unknowns is wrong."""
+    s = FX.samples(spark, sf)
+    n, k = F.col("response_length"), F.col("l_partkey") % 7
+    q = n.cast("string")
+    odd = (2 * n + 1).cast("string")
+    shown = (F.when(k == 0, F.concat(odd, F.lit("/2"))).when(k == 1, F.concat(q, F.lit("\\frac{1}{2}")))
+              .when(k == 2, F.concat(q, F.lit("+2^3-7.5"))).when(k == 3, F.concat(odd, F.lit("*3/6")))
+              .when(k == 4, F.concat(F.lit("("), odd, F.lit("/2, 10.25)")))
+              .when(k == 5, F.concat(F.lit("\\sqrt{"), q, F.lit(".5}"))).otherwise(F.concat(F.lit("x+y+z+"), q)))
+    value = F.concat((n + F.when(F.col("l_partkey") % 3 == 0, 1).otherwise(0)).cast("string"), F.lit(".5"))
+    label = F.when(k == 4, F.concat(F.lit("("), value, F.lit(",41/4)"))).otherwise(value)
+    v = TX.math_verdict(F.concat(F.lit("so \\boxed{"), shown, F.lit("}")), label)
+    return s.select(*KEY, v.alias("v")).select(*KEY, "v.reward", "v.undecided")
+
+
 # B16 / E9 / E17 ------------------------------------------------------------------
 _SPEC = """
 , sp AS (SELECT group_index, idx_in_group, sum(l_partkey % 40) AS accept_tokens, sum(l_partkey % 50) AS draft_tokens,
