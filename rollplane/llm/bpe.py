@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .hashing import pack, runs, string_hashes, unpack
 
-BLOCK_WORDS = 2_500_000
+BLOCK_WORDS = 1_500_000
 SLICE_WORDS = 250_000
 SPLIT_COLUMNS = ["key", "block", "words", "at", "check", "ids", "lens", "n_distinct"]
 MERGED = pa.schema([("key", pa.int64()), ("at", pa.binary()), ("check", pa.int64()), ("n", pa.list_(pa.int32())),
@@ -108,6 +108,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], limit: int):
         if n >= limit:
             yield block()
             k, held, n = k + 1, [], 0
+            pa.default_memory_pool().release_unused()
     if held:
         yield block()
 
