@@ -31,6 +31,9 @@ from ..plans.ranking import global_cumsum
 from ..session import ensure_checkpoint_dir
 
 BLOCK_DOCS = 128
+BLOCK_WORDS = 100_000    # words of a block that holds more than one document
+ROW_GROUP = 4 << 20      # bytes and rows of a row group: Spark decodes one at a time, each of its rows a whole block
+ROW_GROUP_BLOCKS = 16
 CHUNK_TERMS = 1_000_000  # (query, term) pairs broadcast at once
 
 
@@ -72,21 +75,31 @@ def bm25_index(corpus: DataFrame, *, d_id: str, text: str, block_docs: int = BLO
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for lo in range(0, b.num_rows, block_docs):
-                part = b.slice(lo, block_docs)
-                if part.column(0).null_count:
-                    raise ValueError("a document without an id cannot be found again")
-                yield one(part.column(0), part.column(1))
+            if b.column(0).null_count:
+                raise ValueError("a document without an id cannot be found again")
+            size = pc.fill_null(pc.list_value_length(b.column(1)), 0).to_numpy().tolist()
+            lo = words = 0
+            for i, n in enumerate(size):
+                if i > lo and (i - lo == block_docs or words + n > BLOCK_WORDS):
+                    yield one(b.column(0).slice(lo, i - lo), b.column(1).slice(lo, i - lo))
+                    lo, words = i, 0
+                words += n
+            if size:
+                yield one(b.column(0).slice(lo), b.column(1).slice(lo))
+            pa.default_memory_pool().release_unused()
 
     return corpus.select(F.col(d_id).alias("d"), bm25_terms(text).alias("t")).mapInArrow(build, schema)
 
 
 def write_index(index: DataFrame) -> DataFrame:
-    """The index written under the checkpoint folder and read back, so that its passes don't tokenise again."""
+    """The index written under the checkpoint folder and read back, so that its passes don't tokenise again. Row groups
+    are small: a task that writes holds one, a task that reads decodes one at a time, and a row is a whole block."""
     import uuid
     spark = index.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/bm25-{uuid.uuid4().hex}"
-    index.write.parquet(path)
+    blocks = "docs" in index.columns
+    small = {"parquet.block.size": ROW_GROUP, "parquet.block.row.count.limit": ROW_GROUP_BLOCKS, "parquet.page.size.row.check.min": 1}
+    index.write.options(**(small if blocks else {})).parquet(path)
     return spark.read.schema(index.schema).parquet(path)
 
 

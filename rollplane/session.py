@@ -21,6 +21,8 @@ SQL_OPTIONS = {
     # Later map entries win when metadata overrides are merged.
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # A batch for Python is bounded by its bytes, too: rows may hold whole texts or index blocks.
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20),
 }
 
 

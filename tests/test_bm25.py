@@ -76,3 +76,20 @@ def test_blocks_without_a_chance_are_not_scored(spark, monkeypatch):
     for block in B._blocks([batch], words):
         s.visit(block, lambda bound: B._micro(bound + 1e-9) >= s.floor)
     assert len(index) == 21 and len(scored) == 1
+
+
+def test_a_task_reads_the_index_in_small_pieces(spark):
+    import pyarrow.parquet as pq
+    docs = spark.range(0, 6000, 1, 1).selectExpr("id", "concat_ws(' ', transform(sequence(1, 40), x -> concat('w', (id * x) % 997))) body")
+    index = B.write_index(B.bm25_index(docs, d_id="id", text="body"))
+    files = [pq.ParquetFile(f.replace("file:", "")) for f in index.inputFiles()]
+    assert max(f.metadata.row_group(i).num_rows for f in files for i in range(f.num_row_groups)) <= B.ROW_GROUP_BLOCKS
+    assert sum(len(r.docs) for r in index.select("docs").collect()) == 6000
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= 16 << 20
+
+
+def test_long_documents_make_small_blocks(spark):
+    words = B.BLOCK_WORDS // 2 + 1
+    docs = spark.range(0, 5, 1, 1).selectExpr("id", f"concat_ws(' ', transform(sequence(1, {words}), x -> concat('w', x % 50))) body")
+    sizes = [len(r.docs) for r in B.bm25_index(docs, d_id="id", text="body").collect()]
+    assert sizes == [1] * 5
