@@ -134,3 +134,15 @@ def test_shuffle_keys_of_very_large_ids(spark):
     ids = [0, 1, 2**31 - 1, 2**31, 10**12, 2**62, -5]
     got = [r[0] for r in spark.createDataFrame([(i,) for i in ids], "i long").select(SM.shuffle_key("i", 3, 4)).collect()]
     assert got == [(i * SM.LCG_A + 7 * 7919 + SM.LCG_C) % SM.LCG_M for i in ids]
+
+
+def test_metrics_of_many_steps_share_folders(spark, tmp_path):
+    path = str(tmp_path / "m")
+    steps = spark.range(0, 3000).selectExpr("id as step", "cast(id as double) as loss")
+    io.metrics_sink(steps, path, step_col="step", prefix="train/")
+    io.metrics_sink(spark.createDataFrame([(7, -1.0), (None, 5.0), (1 << 20, 6.0)], "step long, loss double"), path, step_col="step", prefix="train/")
+    io.metrics_sink(spark.createDataFrame([(None, 8.0)], "step long, loss double"), path, step_col="step", prefix="train/")
+    got = {r.step: r.value for r in spark.read.parquet(path).collect()}
+    assert spark.read.parquet(path).count() == 3002 and len(got) == 3002
+    assert (got[7], got[8], got[None], got[1 << 20]) == (-1.0, 8.0, 8.0, 6.0)
+    assert len(list((tmp_path / "m" / "section=train").iterdir())) == 3
