@@ -227,16 +227,24 @@ def mis_log_ratio(train_lp: ColumnOrName, rollout_lp: ColumnOrName, mask: Column
     raise ValueError(f"Invalid level: {level}")
 
 
+def mis_weights_before(train_lp: ColumnOrName, rollout_lp: ColumnOrName, mask: ColumnOrName, level: str = "token") -> Column:
+    """The weights exp(log-ratio) at a level, log-ratio clamped to +-20."""
+    return F.transform(mis_log_ratio(train_lp, rollout_lp, mask, level), lambda x: F.exp(clamp(x, -SAFETY_BOUND, SAFETY_BOUND)))
+
+
 def mis_weights(train_lp: ColumnOrName, rollout_lp: ColumnOrName, mask: ColumnOrName, *, level: str = "token",
                 mode: str = "truncate", upper: float = 2.0, lower: float | None = None) -> Column:
-    """struct(weights_before, weights, modified_mask, frac_low, frac_high)
-    with log-ratio clamped to +-20; modes truncate (0..upper), clip
-    (lower..upper) and mask (reject outside [lower, upper]); lower defaults
+    """``mis_bounded`` of ``mis_weights_before``. Each field computes the weights for itself: where several
+    fields are used, ``operators.tokens.with_mis_weights`` computes them once."""
+    return mis_bounded(mis_weights_before(train_lp, rollout_lp, mask, level), mask, mode=mode, upper=upper, lower=lower)
+
+
+def mis_bounded(w0: ColumnOrName, mask: ColumnOrName, *, mode: str = "truncate", upper: float = 2.0, lower: float | None = None) -> Column:
+    """struct(weights_before, weights, modified_mask, frac_low, frac_high) of the weights ``w0``;
+    modes truncate (0..upper), clip (lower..upper) and mask (reject outside [lower, upper]); lower defaults
     to 1/upper.  Weights are zeroed where loss_mask is 0."""
     lower = 1.0 / upper if lower is None else lower
-    lr = mis_log_ratio(train_lp, rollout_lp, mask, level)
-    w0 = F.transform(lr, lambda x: F.exp(clamp(x, -SAFETY_BOUND, SAFETY_BOUND)))
-    m = _c(mask)
+    w0, m = _c(w0), _c(mask)
     if mode == "truncate":
         w = F.zip_with(w0, m, lambda x, k: clamp(x, 0.0, upper) * k)
         mm = F.transform(m, lambda k: k.cast("double"))

@@ -203,6 +203,14 @@ def gae_chunked(df: DataFrame, *, rewards: str, values: str, gamma: float, lambd
 
 
 # H14 ------------------------------------------------------------------------
+def with_mis_weights(df: DataFrame, out_col: str, train_lp: str, rollout_lp: str, mask: str = "loss_mask", *, level: str = "token",
+                     mode: str = "truncate", upper: float = 2.0, lower: float | None = None) -> DataFrame:
+    """H12 as a table operator: adds the struct ``out_col``; the weights are a column that its fields share, so
+    the log-ratio and its mean are computed once a row."""
+    staged = df.withColumn("_w0", A.mis_weights_before(train_lp, rollout_lp, mask, level))
+    return staged.withColumn(out_col, A.mis_bounded("_w0", mask, mode=mode, upper=upper, lower=lower)).drop("_w0")
+
+
 def mis_batch_normalize(df: DataFrame, weights: str, mask: str = "loss_mask", *, level: str = "token",
                         out_col: str | None = None) -> DataFrame:
     """Divide IS weights by their batch mean (token-weighted, or the mean of
@@ -368,8 +376,8 @@ def mis_metrics_report(df: DataFrame, *, train_lp: str = "log_probs", rollout_lp
     """One row of ``mis_`` metrics: sample means (masked token means first) of the
     weights before and after, of the fractions below and above the bounds and,
     with ``veto_threshold``, of the catastrophic tokens and sequences."""
-    d = df.select(mask, train_lp, rollout_lp, A.mis_weights(train_lp, rollout_lp, mask, level=level, mode=mode,
-                                                            upper=upper, lower=lower).alias("_w"))
+    d = with_mis_weights(df.select(mask, train_lp, rollout_lp), "_w", train_lp, rollout_lp, mask, level=level, mode=mode,
+                         upper=upper, lower=lower)
     cols = {"mis_mean_is_weight_before_clip": "_w.weights_before", "mis_mean_is_weight_after_clip": "_w.weights",
             f"mis_{mode}_fraction_low": "_w.frac_low", f"mis_{mode}_fraction_high": "_w.frac_high"}
     if veto_threshold is not None:

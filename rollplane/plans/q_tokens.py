@@ -211,9 +211,9 @@ SELECT group_index, idx_in_group,
 FROM x GROUP BY group_index, idx_in_group""", "tok"))
 def q_mis_weights(spark, sf):
     t = _tok(spark, sf)
-    tr = A.mis_weights("log_probs", "rollout_log_probs", "loss_mask", level="token", mode="truncate", upper=2.0)
-    ge = A.mis_weights("log_probs", "rollout_log_probs", "loss_mask", level="geometric", mode="mask", upper=2.0)
-    return t.select(*KEY, "loss_mask", tr.alias("tr"), ge.alias("ge")).select(
+    t = TK.with_mis_weights(t, "tr", "log_probs", "rollout_log_probs", level="token", mode="truncate", upper=2.0)
+    t = TK.with_mis_weights(t, "ge", "log_probs", "rollout_log_probs", level="geometric", mode="mask", upper=2.0)
+    return t.select(
         *KEY,
         r6(A.mmean("tr.weights", "loss_mask")).alias("trunc_weight"),
         r6(A.mmean("tr.frac_high", "loss_mask")).alias("trunc_frac_high"),

@@ -73,3 +73,37 @@ def test_only_the_array_goes_to_python(spark):
     df = spark.range(3).select("id", F.array(F.lit(1.0), F.lit(2.0)).alias("x"), F.lit("wide").alias("s"))
     text = df.withColumn("y", S.discounted_sums("x", 0.5)).select("y")._jdf.queryExecution().optimizedPlan().toString()
     assert "wide" not in text
+
+
+def test_token_arrays_follow_their_rules(spark):
+    from rollplane.sources import fixtures as FX
+    rows = [(5, 1, 7), (5, 2, 0), (5, 3, -2), (-7, 4, 3), (None, 0, 3), (2, None, 2), (3, 3, None), (10**15, 6, 40)]
+    df = spark.createDataFrame(rows, "group_index long, idx_in_group long, response_length long")
+    got = df.select("*", *[FX._token_array(c).alias(c) for c in FX._TOKEN_ARRAYS]).collect()
+    rem = lambda x, m: abs(x) % m * (1 if x >= 0 else -1)
+    for r in got:
+        g, i, n = r.group_index, r.idx_in_group, r.response_length
+        if n is None:
+            assert r.log_probs is None and r.loss_mask is None
+            continue
+        at = range(n) if n > 0 else range(0, n - 2, -1)
+        if g is None or i is None:
+            assert r.tokens == [None] * len(at) and r.loss_mask == [1] + [0] * (len(at) - 1)
+            continue
+        assert r.loss_mask == [int(t == 0 or rem(g + i + t, 5) != 0) for t in at]
+        assert r.rollout_log_probs == [-rem(g * 31 + i * 17 + t * 7 + 3, 97) / 50 for t in at]
+        assert r["values"] == [(rem(g * 7 + i * 3 + t, 21) - 10) / 10 for t in at]
+        assert r.tokens == [rem(g * 7 + i * 3 + t * 11, 1000) + 1 for t in at]
+
+
+def test_shared_weights_equal_those_of_each_field(spark):
+    from rollplane.functions import arrays as A
+    from rollplane.operators import tokens as TK
+    df = spark.createDataFrame([([0.1, -3.0, 2.0], [0.0, 0.0, 0.5], [1, 1, 0]), ([], [], []), (None, None, None)],
+                               "a array<double>, b array<double>, loss_mask array<int>")
+    for kind in (dict(level="token", mode="truncate"), dict(level="geometric", mode="mask"), dict(level="sequence", mode="clip")):
+        want = df.select(A.mis_weights("a", "b", "loss_mask", **kind).alias("w")).collect()
+        out = TK.with_mis_weights(df, "w", "a", "b", **kind)
+        assert out.select("w").collect() == want
+        plan = out.select("w.weights", "w.frac_low", "w.frac_high")._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("EXP(") == 1
