@@ -109,7 +109,7 @@ def q_group_balance_shard(spark, sf):
 def q_microbatch_schedule(spark, sf):
     from ..operators.sampling import trim_to_batch
     # whole steps only, as training does
-    g = trim_to_batch(_ordered(spark, sf).drop("row_idx"), 512, order_cols=["group_index", "idx_in_group"])
+    g = trim_to_batch(FX.samples(spark, sf).select("group_index", "idx_in_group", "response_length"), 512, order_cols=["group_index", "idx_in_group"])
     g = global_index(g, ["group_index", "idx_in_group"], "row_idx")
     return B.microbatch_schedule(g, order_col="row_idx", length_col="response_length", global_batch=512,
                                  dp_size=4, max_tokens=300)
