@@ -58,7 +58,7 @@ def _ordered(spark, sf):
 
 def _batch_lists(spark, sf):
     g = _ordered(spark, sf)
-    return g.groupBy("batch").agg(F.array_sort(F.collect_list(F.struct("row_idx", "response_length"))).alias("_l"))
+    return g.groupBy("batch").agg(F.sort_array(F.collect_list(F.struct("row_idx", "response_length"))).alias("_l"))
 
 
 @register("balanced_partitions")
@@ -71,8 +71,9 @@ def q_balanced_partitions(spark, sf):
 def q_greedy_partitions(spark, sf):
     b = _batch_lists(spark, sf)
     lens = F.transform("_l", lambda e: e["response_length"])
+    b = b.select("batch", "_l", B.greedy_assign(lens, 8).alias("_part"))
     z = b.select("batch", F.arrays_zip(F.transform("_l", lambda e: e["row_idx"]).alias("row_idx"),
-                                       B.greedy_assign(lens, 8).alias("part")).alias("z"))
+                                       F.col("_part").alias("part")).alias("z"))
     return z.select("batch", F.explode("z").alias("e")).select("batch", "e.row_idx", "e.part")
 
 
