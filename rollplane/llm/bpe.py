@@ -5,7 +5,7 @@ lists its distinct pre-tokens once and keeps the documents as positions into
 that list. Lists and positions go through one exchange: the lists are shuffled by word, so every distinct word of the corpus
 is merged once, in one place; its ids go back to the blocks that hold it and the
 documents are put together again by position. A word comes at most once from
-each block, so frequent words make no hot key. Decoding joins the
+each block, so frequent words make no hot key. All lists are shuffled as compressed bytes. Decoding joins the
 ids with the token-byte table, whose size is the vocabulary's (broadcast).
 
 Defined cases: null and empty text encode to no ids; a pre-token of any length
@@ -26,13 +26,13 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from .hashing import pack, runs, string_hashes, unpack
+from .hashing import pack, pack_strings, runs, string_hashes, unpack, unpack_strings
 
 BLOCK_WORDS = 1_500_000
 SLICE_WORDS = 250_000
-SPLIT_COLUMNS = ["key", "block", "words", "at", "check", "ids", "lens", "n_distinct"]
-MERGED = pa.schema([("key", pa.int64()), ("at", pa.binary()), ("check", pa.int64()), ("n", pa.list_(pa.int32())),
-                    ("ids", pa.list_(pa.int32()))])
+SPLIT_COLUMNS = ["key", "block", "sizes", "words", "at", "check", "ids", "lens", "n_distinct"]
+MERGED = pa.schema([("key", pa.int64()), ("at", pa.binary()), ("check", pa.int64()), ("n_distinct", pa.int32()),
+                    ("n", pa.binary()), ("ids", pa.binary())])
 ENCODED = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
 
 
@@ -137,7 +137,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str =
             sums = _checksum(distinct)
             check = int(np.bitwise_xor.reduce(sums)) if len(distinct) else 0
             yield pa.RecordBatch.from_arrays([
-                pa.array([block], pa.int64()), pa.array([block], pa.int64()), pa.nulls(1, pa.list_(pa.string())),
+                pa.array([block], pa.int64()), pa.array([block], pa.int64()), pa.nulls(1, pa.binary()), pa.nulls(1, pa.binary()),
                 pa.array([pack(at)], pa.binary()), pa.array([check], pa.int64()),
                 pa.array([ids.to_pylist()], pa.list_(pa.int64())), pa.array([lens.astype(np.int32)], pa.list_(pa.int32())),
                 pa.array([len(distinct)], pa.int32())], SPLIT_COLUMNS)
@@ -145,32 +145,33 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str =
             order = np.argsort(bucket, kind="stable")
             cuts = np.searchsorted(bucket[order], np.arange(n_buckets + 1))
             full = [b for b in range(n_buckets) if cuts[b] < cuts[b + 1]]
-            off = pa.array([cuts[b] for b in full] + [len(order)], pa.int32())
+            mine = [order[cuts[b]:cuts[b + 1]] for b in full]
+            packed = [pack_strings(distinct.take(pa.array(x))) for x in mine]
             yield pa.RecordBatch.from_arrays([
                 pa.array([-1 - b for b in full], pa.int64()), pa.array([block] * len(full), pa.int64()),
-                pa.ListArray.from_arrays(off, distinct.take(pa.array(order))),
-                pa.array([pack(np.diff(order[cuts[b]:cuts[b + 1]], prepend=0)) for b in full], pa.binary()),
-                pa.array([int(np.bitwise_xor.reduce(sums[order[cuts[b]:cuts[b + 1]]])) for b in full], pa.int64()),
+                pa.array([x for x, _ in packed], pa.binary()), pa.array([x for _, x in packed], pa.binary()),
+                pa.array([pack(np.diff(x, prepend=0)) for x in mine], pa.binary()),
+                pa.array([int(np.bitwise_xor.reduce(sums[x])) for x in mine], pa.int64()),
                 pa.nulls(len(full), pa.list_(pa.int64())), pa.nulls(len(full), pa.list_(pa.int32())),
-                pa.nulls(len(full), pa.int32())], SPLIT_COLUMNS)
+                pa.array([len(x) for x in mine], pa.int32())], SPLIT_COLUMNS)
 
     def merge(t: pa.Table) -> pa.Table:
         if t["key"][0].as_py() >= 0:  # a block's positions: they wait for their ids
             return MERGED.empty_table()
-        lists = t["words"].combine_chunks()
-        coded = lists.flatten().dictionary_encode()
+        counts = t["n_distinct"].to_numpy().astype(np.int64)
+        lists = pa.chunked_array([unpack_strings(x.as_py(), y.as_py(), int(c))
+                                  for x, y, c in zip(t["sizes"], t["words"], counts)], pa.string())
+        coded = lists.dictionary_encode().unify_dictionaries()
         known = table.value
-        each = [merge_word(w.encode(), known) for w in coded.dictionary.to_pylist()]
+        each = [merge_word(w.encode(), known) for w in coded.chunk(0).dictionary.to_pylist()]
         n = np.array([len(x) for x in each], np.int64)
         flat = np.fromiter((i for x in each for i in x), np.int32, int(n.sum()))
-        at = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        ids = flat[runs((np.cumsum(n) - n)[at], n[at])]
-        off = lists.offsets.to_numpy().astype(np.int64)
-        ends = np.concatenate(([0], np.cumsum(n[at])))[off]
+        start = np.cumsum(n) - n
+        found = [c.indices.to_numpy(zero_copy_only=False).astype(np.int64) for c in coded.chunks]
         return pa.table({
-            "key": t["block"], "at": t["at"], "check": t["check"],
-            "n": pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(n[at].astype(np.int32))),
-            "ids": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids))})
+            "key": t["block"], "at": t["at"], "check": t["check"], "n_distinct": t["n_distinct"],
+            "n": pa.array([pack(n[x]) for x in found], pa.binary()),
+            "ids": pa.array([pack(flat[runs(start[x], n[x])]) for x in found], pa.binary())}).cast(MERGED)
 
     def assemble(seq: pa.Table, enc: pa.Table) -> pa.Table:
         if seq.num_rows and seq["key"][0].as_py() < 0:  # a bucket's words: merged already
@@ -183,7 +184,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str =
         n = np.full(seq["n_distinct"][0].as_py(), -1, np.int32)
         start = np.zeros(len(n), np.int64)
         for r in range(enc.num_rows):
-            given = enc["n"][r].values.to_numpy()
+            given = unpack(enc["n"][r].as_py(), enc["n_distinct"][r].as_py())
             back = np.cumsum(unpack(enc["at"][r].as_py(), len(given)), dtype=np.int64)
             n[back] = given
             check ^= enc["check"][r].as_py()
@@ -193,11 +194,11 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str =
         ids = np.empty(int(n.sum(dtype=np.int64)), np.int32)
         filled = 0
         for r in range(enc.num_rows):
-            part = enc["ids"][r].values.to_numpy()
-            back = np.cumsum(unpack(enc["at"][r].as_py(), len(enc["n"][r].values)), dtype=np.int64)
-            start[back] = filled + np.cumsum(n[back], dtype=np.int64) - n[back]
-            ids[filled:filled + len(part)] = part
-            filled += len(part)
+            back = np.cumsum(unpack(enc["at"][r].as_py(), enc["n_distinct"][r].as_py()), dtype=np.int64)
+            ends = filled + np.cumsum(n[back], dtype=np.int64)
+            start[back] = ends - n[back]
+            ids[filled:ends[-1]] = unpack(enc["ids"][r].as_py(), int(ends[-1]) - filled)
+            filled = int(ends[-1])
         # in slices, so that the index arrays stay small beside the block itself
         doc_ends = np.concatenate(([0], np.cumsum(lens)))
         ends = np.zeros(len(doc_ends), np.int64)
@@ -216,9 +217,9 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str =
 
     # One pass of the pattern and one exchange serve both sides: the words are merged where they arrive,
     # the positions stay there until the ids come back to them.
-    both = pre.mapInArrow(split, "key long, block long, words array<string>, at binary, check long, ids array<long>, "
-                                 "lens array<int>, n_distinct int")
-    merged = both.groupBy("key").applyInArrow(merge, "key long, at binary, check long, n array<int>, ids array<int>")
+    both = pre.mapInArrow(split, "key long, block long, sizes binary, words binary, at binary, check long, "
+                                 "ids array<long>, lens array<int>, n_distinct int")
+    merged = both.groupBy("key").applyInArrow(merge, "key long, at binary, check long, n_distinct int, n binary, ids binary")
     return both.groupBy("key").cogroup(merged.groupBy("key")).applyInArrow(assemble, "doc_id long, ids array<int>")
 
 

@@ -116,6 +116,19 @@ def unpack(body: bytes, n: int) -> np.ndarray:
     return np.frombuffer(raw, np.uint8).reshape(4, n).T.copy().view("<u4").reshape(n) if n else np.empty(0, "<u4")
 
 
+def pack_strings(strings: pa.Array) -> tuple[bytes, bytes]:
+    """(lengths in bytes, bodies) of strings, both compressed."""
+    data, off = _bytes_of(strings)
+    return pack(np.diff(off)), pa.Codec("zstd", compression_level=3).compress(data.tobytes(), asbytes=True)
+
+
+def unpack_strings(lens: bytes, body: bytes, n: int) -> pa.Array:
+    off = np.zeros(n + 1, np.int32)
+    np.cumsum(unpack(lens, n), out=off[1:])
+    raw = pa.Codec("zstd").decompress(body, decompressed_size=int(off[-1])) if off[-1] else pa.py_buffer(b"")
+    return pa.StringArray.from_buffers(n, pa.py_buffer(off), raw)
+
+
 def runs(starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
     """Indexes start..start+len-1 of each run, one after another."""
     total = int(lens.sum())

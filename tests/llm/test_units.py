@@ -124,3 +124,14 @@ def test_known_licence_sentences_are_normalised_and_hinted():
         assert re.fullmatch(r"[a-z0-9]+( [a-z0-9]+)*", s) and re.search(license_scan.HINT, s)
     for _, ids in license_scan.RULES:
         assert set(ids) <= set(license_scan.SENTENCES)
+
+
+def test_word_lists_are_shuffled_compressed():
+    """Lists of words survive packing, take under half of their plain size, and none crosses BPE's exchange unpacked."""
+    words = ["", "a", "\u00e9t\u00e9", "\u6f22\u5b57", *[f" number{i * 7}" for i in range(5000)]]
+    lens, body = hashing.pack_strings(pa.array(words))
+    assert hashing.unpack_strings(lens, body, len(words)).to_pylist() == words
+    assert hashing.unpack_strings(*hashing.pack_strings(pa.array([], pa.string())), 0).to_pylist() == []
+    assert hashing.unpack_strings(*hashing.pack_strings(pa.array(["", ""])), 2).to_pylist() == ["", ""]
+    assert len(lens) + len(body) < sum(len(w.encode()) for w in words) / 2
+    assert "words" in bpe.SPLIT_COLUMNS and bpe.MERGED.field("ids").type == bpe.MERGED.field("n").type == pa.binary()
