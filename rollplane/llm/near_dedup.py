@@ -14,8 +14,8 @@ propose pairs in rounds (never all pairs of a group): first each node with the
 least first node of its bands, then each node still apart with its bands' first and
 last, and last the pairs still in different classes. Of those, bands of a first
 node with few others give the pairs that share at least 3 of them; the large
-families keep only pairs that a bound on their difference allows
-(``possible_pairs``), which drops none that is similar. Each pair is verified on the
+families join on the shingles in which two nodes differ alike from the family's first
+text, rarest first (``possible_pairs``), which drops no pair that is similar. Each pair is verified on the
 exact multisets, links make classes (min label with pointer jumping over
 written tables).
 
@@ -41,6 +41,8 @@ from .hashing import mix64, word_hashes
 N_BANDS, BAND_ROWS, SHINGLE, SIMILARITY = 32, 4, 5, 0.8
 # Last round: shared bands a pair needs, and nodes beside a first node that make its family large.
 MIN_SHARED, FAMILY = 3, 16
+# Longs of a sketch of a node's differences from its family's first text.
+SKETCH = 8
 _G = np.uint64(0x9E3779B97F4A7C15)
 CHUNK_BYTES = 1 << 19
 
@@ -195,68 +197,89 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     return _beside_heads(pairs, texts).applyInArrow(check, "a binary, b binary")
 
 
+def _sketch(keys: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Parities of the bits that the units of weighted keys fall on: two sketches differ in no
+    more bits than their sets do in units."""
+    unit = np.repeat(keys.view(np.uint64), weights)
+    nth = np.arange(len(unit)) - np.repeat(np.cumsum(weights) - weights, weights)
+    bit = mix64(unit + nth.astype(np.uint64) * _G) % np.uint64(64 * SKETCH)
+    odd = np.bincount(bit.astype(np.int64), minlength=64 * SKETCH) % 2
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def deltas(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """For pairs (a, b): the sizes of both, what b lost of a (number of
-    shingles) and what it has beyond a (shingles and how many of each)."""
+    """For pairs (a, b): the size of b, by how much it differs from a (norm) and where: a
+    key and a weight for each shingle that b has more of, and for each it has less of; and
+    a sketch: bits that each unit of these differences flips."""
     def differ(t: pa.Table) -> pa.Table:
         a, head, rest = _members(t)
-        rows = []
-        for b, (keys, counts) in rest:
-            at = np.searchsorted(head[0], keys)
-            at[at == len(head[0])] = 0
-            shared = np.where(head[0][at] == keys, head[1][at], 0)
-            more = counts > shared
-            rows.append({"a": a, "b": b, "a_size": int(head[1].sum()), "size": int(counts.sum()),
-                         "lost": int(head[1].sum() - np.minimum(counts, shared).sum()),
-                         "extra": [{"s": int(k), "w": int(w)} for k, w in
-                                   zip(keys[more].view(np.int64), (counts - shared)[more])]})
-        return pa.Table.from_pylist(rows, schema=_DELTA)
+        size, norm, sketch, keys, weights = [], [], [], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for _, (k, c) in rest:
+            every = np.union1d(head[0], k)
+            by = np.zeros(len(every), np.int64)
+            by[np.searchsorted(every, k)] = c
+            by[np.searchsorted(every, head[0])] -= head[1]
+            at = np.flatnonzero(by)
+            size.append(int(c.sum()))
+            norm.append(int(np.abs(by).sum()))
+            e = every[at].view(np.int64)
+            keys.append(np.where(by[at] > 0, e, ~e))
+            weights.append(np.abs(by[at]))
+            sketch.append(_sketch(keys[-1], weights[-1]))
+        off = pa.array(np.cumsum([len(x) for x in keys]), pa.int32())
+        return pa.table({"a": pa.array([a] * len(rest), pa.binary()), "b": pa.array([b for b, _ in rest], pa.binary()),
+                         "size": pa.array(size, pa.int64()), "norm": pa.array(norm, pa.int64()),
+                         "sketch": pa.array(sketch, pa.list_(pa.int64())),
+                         "keys": pa.ListArray.from_arrays(off, pa.array(np.concatenate(keys))),
+                         "weights": pa.ListArray.from_arrays(off, pa.array(np.concatenate(weights)))})
 
     return _beside_heads(pairs, texts).applyInArrow(
-        differ, "a binary, b binary, a_size long, size long, lost long, extra array<struct<s: bigint, w: bigint>>")
-
-
-_DELTA = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("a_size", pa.int64()), ("size", pa.int64()),
-                    ("lost", pa.int64()), ("extra", pa.list_(pa.struct([("s", pa.int64()), ("w", pa.int64())])))])
+        differ, "a binary, b binary, size long, norm long, sketch array<long>, keys array<long>, weights array<long>")
 
 
 def possible_pairs(family: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     """Pairs of a family's nodes in different classes that may still be similar.
 
-    family: (first, node, label). Two sets of sizes m and n reach the
-    threshold t only if they differ in at most (m + n)(1 - t)/(1 + t) shingles.
-    Relative to the family's first text they differ at least in what each has
-    beyond it and no other member has (u), and in how many of its shingles they
-    lost (lost): u_x + u_y + |lost_x - lost_y|. Nodes that fail this against the best of
-    their family (by bins of lost) are set aside before any pair is made."""
+    family: (first, node, label), where a node similar to ``first`` is in its class already.
+    Two sets of sizes m and n reach the threshold t only if they differ in at most
+    T = (m + n)(1 - t)/(1 + t) shingles. Seen from the family's first text, x differs by nx
+    shingles, y by ny, and the two by nx + ny - 2 o, o being what both gained or both lost; so
+    2 o >= nx + ny - T. Pairs with o = 0 and no more than T are both similar to the first text.
+    With the differences of each node put in one order (those of fewest nodes first), o is
+    at most what either has from the first common one on (rest): pairs are joined on a
+    difference only where 2 rest >= nx + ny - T holds for both, and only with those bins of nodes
+    that have one for which it may hold. Every similar pair meets on its first common difference.
+    Sketches that differ in more than T bits rule out pairs that meet by chance."""
     most = (1 - threshold) / (1 + threshold)
     d = written(deltas(family.select(F.col("first").alias("a"), F.col("node").alias("b")), texts), "deltas")
-    extra = d.select(F.xxhash64("a").alias("f"), F.xxhash64("b").alias("x"), F.explode("extra").alias("e"))
-    own = (extra.groupBy("f", "e.s").agg(F.count(F.lit(1)).alias("k"), F.min("x").alias("x"), F.min("e.w").alias("w"))
-                .filter("k = 1").groupBy("f", "x").agg(F.sum("w").alias("u")))
-    s = d.drop("extra").join(own, (F.xxhash64("a") == F.col("f")) & (F.xxhash64("b") == F.col("x")), "left")
-    s = s.join(family.select(F.col("first").alias("a"), F.col("node").alias("b"), "label"), ["a", "b"])
-    s = written(s.select("a", "b", "label", "size", "lost", F.coalesce("u", F.lit(0)).alias("u"),
-                         F.expr("cast(lost * 100 div greatest(a_size, 1) as int)").alias("bin")), "members")
-    bins = s.groupBy("a", "bin").agg(F.min(F.expr("u - lost")).alias("low"), F.min(F.expr("u + lost")).alias("high"),
-                                     F.max("size").alias("largest"))
-    w = W.partitionBy("a").orderBy("bin")  # at most 101 bins a family
-    bins = bins.select("a", "bin", F.min("low").over(w).alias("low"),
-                       F.min("high").over(w.rowsBetween(0, W.unboundedFollowing)).alias("high"),
-                       F.max("largest").over(W.partitionBy("a")).alias("largest"))
-    room = f"(size + least(size / {threshold}, largest)) * {most} + 1e-9"
     # of two classes one is not the family's largest: its nodes look for partners
-    main = (s.groupBy("a", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("a")
-             .agg(F.max_by("label", F.struct("n", "label")).alias("main")))
-    x = (s.join(main, "a").filter("label != main").join(bins, ["a", "bin"])
-          .filter(f"u + lost + low <= {room} or u - lost + high <= {room}"))
-    x = x.select("a", F.col("b").alias("xb"), F.col("label").alias("xl"), F.col("size").alias("xs"),
-                 F.col("lost").alias("xlost"), F.col("u").alias("xu"))
-    near = F.expr(f"label != xl and size >= {threshold} * xs - 1e-9 and xs >= {threshold} * size - 1e-9 and "
-                  f"u + xu + abs(lost - xlost) <= (size + xs) * {most} + 1e-9")
-    s = s.withColumnRenamed("a", "a2")
-    return x.join(s, (F.col("a") == F.col("a2")) & near).select(
-        F.least("xb", "b").alias("a"), F.greatest("xb", "b").alias("b")).distinct()
+    main = (family.groupBy("first", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("first")
+                  .agg(F.max_by("label", F.struct("n", "label")).alias("main")))
+    bits = [f"s{i}" for i in range(SKETCH)]
+    member = family.join(main, "first").select(F.col("first").alias("a"), F.col("node").alias("b"), "label",
+                                               (F.col("label") != F.col("main")).alias("seeks"))
+    member = member.join(d.select("a", "b", *[F.col("sketch")[i].alias(s) for i, s in enumerate(bits)]), ["a", "b"])
+    member = member.withColumn("f", F.xxhash64("a")).drop("a")
+    at = d.select(F.xxhash64("a").alias("f"), "b", "size", "norm", F.explode(F.arrays_zip("keys", "weights")).alias("e"))
+    at = at.select("f", "b", "size", "norm", "e.keys", "e.weights").withColumnsRenamed({"keys": "key", "weights": "w"})
+    held = at.groupBy("f", "key").agg(F.count(F.lit(1)).alias("k")).filter("k > 1")
+    late = W.partitionBy("f", "b").orderBy(F.desc("k"), F.desc("key")).rowsBetween(W.unboundedPreceding, 0)
+    at = at.join(held, ["f", "key"]).withColumn("rest", F.sum("w").over(late))
+    at = at.withColumn("room", F.expr(f"size * {1 + 1 / threshold} * {most} + 1e-9")).filter("rest >= norm - room")
+    at = written(at.join(member, ["f", "b"]).select("f", "key", F.expr("cast(8 * log2(norm) as int)").alias("bin"), "b", "label",
+                                                    "seeks", "size", "norm", "rest", "room", *bits), "differences")
+    # per difference and bin of norms (some 8 for each doubling): the best that its nodes offer
+    bins = at.groupBy("f", "key", "bin").agg(F.min("norm").alias("least"), F.max(F.expr("2 * rest - norm")).alias("reach"),
+                                             F.min("label").alias("label1"), F.max("label").alias("label2"))
+    x = at.filter("seeks").drop("bin").join(bins, ["f", "key"]).filter(
+        "(label1 != label or label2 != label) and norm + least <= 2 * rest + room and norm <= reach + room")
+    x = x.select("f", "key", "bin", *[F.col(c).alias(f"x_{c}") for c in ("b", "label", "size", "norm", "rest", *bits)])
+    apart = " + ".join(f"bit_count({s} ^ x_{s})" for s in bits)
+    near = F.expr(f"label != x_label and size >= {threshold} * x_size - 1e-9 and x_size >= {threshold} * size - 1e-9 and "
+                  f"norm + x_norm <= 2 * least(rest, x_rest) + (size + x_size) * {most} + 1e-9 and "
+                  f"{apart} <= (size + x_size) * {most} + 1e-9")
+    return x.join(at.drop("room", "seeks"), ["f", "key", "bin"]).filter(near).select(
+        F.least("x_b", "b").alias("a"), F.greatest("x_b", "b").alias("b")).distinct()
 
 
 def components(edges: DataFrame, nodes: DataFrame) -> DataFrame:
