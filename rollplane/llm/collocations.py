@@ -1,4 +1,4 @@
-"""Phrase collocations: exact counts by broadcast double-array tries over Apriori-safe candidates.
+"""Phrase collocations: exact counts by double-array tries over Apriori-safe candidates.
 
 1. Each block of texts of one language is written once as its distinct words and the positions
    as numbers into them (0: a piece ends). Word counts come from the blocks' own counts.
@@ -7,13 +7,16 @@
    with its count; the hashes' sums are never below the phrases' counts, so a phrase of
    ``min_count`` occurrences always passes. Passed keys become a Bloom filter (16 bits a key,
    2^29 bits at most: beyond, it lets more through, and the result stays the same).
-3. The blocks list the phrases that passed (strings, distinct).
-4. The list is divided by hash into shards of at most ``shard_phrases`` phrases and
-   ``shard_bytes`` bytes, on average. Each becomes a double-array trie over words, is broadcast, and
-   numpy moves the states of all positions of a block through it, one word at a time; bincounts of the
-   accepting states are summed over the tasks. These counts are exact and are the ones used.
-   One pass over the packed positions serves ``TRIES_AT_ONCE`` shards, so what is broadcast stays
-   bounded and the number of passes grows with the candidates.
+3. Each position whose phrase of two words passed has a window: the longest phrase from it that
+   passed (all its beginnings passed, too). Tasks send each distinct window (words, not hashes) of
+   a share of their blocks once, with its count, to a shard chosen by its first two words; so all
+   windows that a phrase begins are in one shard. There are as many shards as keep each to
+   ``shard_phrases`` phrases, ``shard_bytes`` bytes and ``SHARD_POSITIONS`` positions, on average.
+4. Each shard builds a double-array trie over the words of its windows, and numpy moves the states
+   of all its windows through it, one word at a time; the windows' counts are added at every state
+   they pass, so a phrase inside a longer window is counted on the way. These counts are exact and
+   are the ones used. Nothing is broadcast but the Bloom filters, and the blocks are gone through a
+   fixed number of times (once to a level and once for the windows), however many candidates there are.
 
 Defined cases: null and empty text have no words; a null language counts as ``und``; long texts are
 taken whole; repeated rows count each time; ties have a total order (see ``collocations``); an empty
@@ -32,10 +35,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from ..session import ensure_checkpoint_dir
-from .hashing import mix64, pack, string_hashes, unpack
+from .hashing import mix64, pack, pack_strings, string_hashes, unpack, unpack_strings
 
 BLOCK_BYTES = 3_000_000
-TRIES_AT_ONCE = 2
+HELD = 500_000  # keys or windows that a task holds before it sends them
+SHARD_POSITIONS = 2_000_000
+RANK_PARTS = 64
 BLOCKS = "lang string, words binary, sizes binary, n binary, n_words int, at binary, n_at int"
 GROWTH = np.uint64(0x9E3779B97F4A7C15)
 
@@ -185,21 +190,35 @@ class Bitmap:
 
     def of(self, keys: DataFrame, scratch: Scratch) -> "Bitmap":
         """``keys``: one long column ``key``. At most 2^(29-16) rows of 8 KB come to the driver."""
+        def sent(held: list[np.ndarray]) -> pa.RecordBatch:
+            """One row for each chunk: the places in it."""
+            p = np.unique(np.concatenate([x.astype(np.uint32) for x in self.places(np.concatenate(held))]))
+            full, cut = np.unique(p >> np.uint32(self.CHUNK), return_index=True)
+            p = (p & np.uint32((1 << self.CHUNK) - 1)).astype("<u2")
+            return pa.RecordBatch.from_arrays([pa.array(full.astype(np.int64)), pa.array(
+                [p[a:b].tobytes() for a, b in zip(cut, [*cut[1:], len(p)])], pa.binary())], ["c", "p"])
+
         def spread(batches):
+            held, size = [], 0
             for b in batches:
-                for p in self.places(b.column(0).to_numpy().view(np.uint64)):
-                    yield pa.RecordBatch.from_arrays([pa.array(p.astype(np.int64))], ["p"])
+                held.append(b.column(0).to_numpy().view(np.uint64))
+                size += b.num_rows
+                if size >= HELD:
+                    yield sent(held)
+                    held, size = [], 0
+            if size:
+                yield sent(held)
 
         def chunk(t: pa.Table) -> pa.Table:
-            p = t["p"].to_numpy()
             bits = np.zeros(1 << self.CHUNK, np.uint8)
-            bits[p & ((1 << self.CHUNK) - 1)] = 1
-            return pa.table({"c": [int(p[0] >> self.CHUNK)], "bits": pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())})
+            for p in t["p"]:
+                bits[np.frombuffer(p.as_buffer(), "<u2")] = 1
+            return pa.table({"c": [t["c"][0].as_py()], "bits": pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())})
 
         step = 1 << (self.CHUNK - 3)
         body = np.zeros(1 << (self.bits - 3), np.uint8)
-        placed = keys.select("key").mapInArrow(spread, "p long").distinct()
-        for r in placed.groupBy(F.shiftright("p", self.CHUNK).alias("g")).applyInArrow(chunk, "c long, bits binary").collect():
+        placed = keys.select("key").mapInArrow(spread, "c long, p binary")
+        for r in placed.groupBy("c").applyInArrow(chunk, "c long, bits binary").collect():
             body[r["c"] * step:(r["c"] + 1) * step] = np.frombuffer(r["bits"], np.uint8)
         self.shared = scratch.broadcast(body)  # 64 MB at most
         return self
@@ -242,17 +261,34 @@ def survivors(blocks: DataFrame, screen: Screen, k: int, n_buckets: int, min_cou
     """Keys (long) of hashed phrases of k words with ``min_count`` occurrences at least."""
     low = np.uint64(0xFFFFFFFF)
 
+    def sent(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        key, n = (np.concatenate(x) for x in zip(*held))
+        if len(held) > 1:
+            order = np.argsort(key)
+            key = key[order]
+            first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+            key, n = key[first], np.add.reduceat(n[order], first)
+        full, cut = np.unique((key >> np.uint64(32)).astype(np.int64), return_index=True)
+        cuts = [*cut.tolist(), len(key)]
+        rest = (key & low).astype(np.int64)
+        return pa.RecordBatch.from_arrays([
+            pa.array(full, pa.int64()), pa.array(np.diff(cuts), pa.int32()),
+            pa.array([pack(np.diff(rest[a:b], prepend=0)) for a, b in zip(cuts, cuts[1:])], pa.binary()),
+            pa.array([pack(n[a:b]) for a, b in zip(cuts, cuts[1:])], pa.binary())], ["bucket", "m", "keys", "n"])
+
     def counted(batches):
+        held, size, seen = [], 0, 0
         for lang, words, at in _each_block(batches):
             key, n = np.unique(screen.keys(lang, words, at, k)[1], return_counts=True)
-            bucket = (key >> np.uint64(32)).astype(np.int64)
-            full, cut = np.unique(bucket, return_index=True)
-            cuts = [*cut.tolist(), len(key)]
-            rest = (key & low).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([
-                pa.array(full, pa.int64()), pa.array(np.diff(cuts), pa.int32()),
-                pa.array([pack(np.diff(rest[a:b], prepend=0)) for a, b in zip(cuts, cuts[1:])], pa.binary()),
-                pa.array([pack(n[a:b]) for a, b in zip(cuts, cuts[1:])], pa.binary())], ["bucket", "m", "keys", "n"])
+            if not len(key):
+                continue
+            held.append((key, n))
+            size, seen = size + len(key), seen + len(at)
+            if size >= HELD or seen >= 1 << 30:  # packed counts have 32 bits
+                yield sent(held)
+                held, size, seen = [], 0, 0
+        if held:
+            yield sent(held)
 
     def summed(t: pa.Table) -> pa.Table:
         m = t["m"].to_pylist()
@@ -267,24 +303,86 @@ def survivors(blocks: DataFrame, screen: Screen, k: int, n_buckets: int, min_cou
     return blocks.mapInArrow(counted, "bucket long, m int, keys binary, n binary").groupBy("bucket").applyInArrow(summed, "key long")
 
 
-def listed(blocks: DataFrame, screen: Screen, max_words: int) -> DataFrame:
-    """lang, phrase of everything that passed the screens."""
-    def phrases(batches):
+def _distinct(cols: list[np.ndarray], n: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """The distinct rows of ``cols`` (non-negative, as many as words of a window), ordered, and the sums of their ``n``."""
+    bits = max(1, int(max(c.max() for c in cols)).bit_length())
+    if bits * len(cols) < 64:
+        key = np.zeros(len(n), np.int64)
+        for c in cols:
+            key = (key << bits) | c
+        order = np.argsort(key)
+        new = np.diff(key[order]) != 0
+    else:
+        order = np.lexsort(cols[::-1])
+        new = np.zeros(len(n) - 1, bool)
+        for c in cols:
+            new |= np.diff(c[order]) != 0
+    first = np.flatnonzero(np.concatenate(([True], new)))
+    return [c[order[first]] for c in cols], np.add.reduceat(n[order], first)
+
+
+WINDOWS = "shard int, lang string, sizes binary, words binary, n_words int, codes binary, n binary, m int"
+
+
+def windows(blocks: DataFrame, screen: Screen, max_words: int, n_shards: int) -> DataFrame:
+    """Rows of ``m`` distinct windows of a language in a shard: their words, the numbers of these by column (from 1; 0: past
+    the end), and how often each window came."""
+    def of_block(lang, words, at) -> tuple[pa.Array, list[np.ndarray], np.ndarray] | None:
+        long = np.zeros(len(at), np.int64)
+        for k in range(2, max_words + 1):
+            live, key = screen.keys(lang, words, at, k)
+            long[live[screen.levels[k - 1].test(key)]] = k
+        begin = np.flatnonzero(long)
+        if not len(begin):
+            return None
+        long = long[begin]
+        at = np.concatenate((at, np.zeros(max_words, at.dtype)))
+        cols, n = _distinct([np.where(long > j, at[begin + j], 0) for j in range(max_words)], np.ones(len(begin), np.int64))
+        used = np.zeros(len(words) + 1, bool)
+        for c in cols:
+            used[c] = True
+        used[0] = False
+        number = np.cumsum(used, dtype=np.int32)
+        return words.take(pa.array(np.flatnonzero(used) - 1)), [np.where(c > 0, number[c], 0).astype(np.int32) for c in cols], n
+
+    def sent(lang: str, held: list[tuple[pa.Array, list[np.ndarray], np.ndarray]]) -> pa.RecordBatch:
+        coded = pa.concat_arrays([words for words, _, _ in held]).dictionary_encode()
+        words, code = coded.dictionary, np.concatenate(([0], coded.indices.to_numpy(zero_copy_only=False) + 1)).astype(np.int32)
+        upto = np.cumsum([0] + [len(w) for w, _, _ in held]).tolist()
+        cols = [np.concatenate([np.where(c[j] > 0, code[c[j] + lo], np.int32(0)) for (_, c, _), lo in zip(held, upto)]) for j in range(max_words)]
+        cols, n = _distinct(cols, np.concatenate([n for _, _, n in held]))
+        h = np.concatenate((np.zeros(1, np.uint64), string_hashes(words)))
+        key = mix64(mix64(_lang_hash(lang) + GROWTH * h[cols[0]]) + GROWTH * h[cols[1]])
+        shard = (key % np.uint64(n_shards)).astype(np.int32)
+        order = np.argsort(shard, kind="stable")
+        cols, n = [c[order] for c in cols], n[order]
+        full, cut = np.unique(shard[order], return_index=True)
+        out = []
+        for x, lo, hi in zip(full.tolist(), cut, [*cut[1:], len(order)]):
+            known, number = np.unique(np.concatenate([c[lo:hi] for c in cols]), return_inverse=True)
+            known, number = (known[1:], number) if known[0] == 0 else (known, number + 1)
+            sizes, body = pack_strings(words.take(pa.array(known - 1)))
+            out.append((x, lang, sizes, body, len(known), pack(number), pack(n[lo:hi]), hi - lo))
+        types = [pa.int32(), pa.string(), pa.binary(), pa.binary(), pa.int32(), pa.binary(), pa.binary(), pa.int32()]
+        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), types)],
+                                          ["shard", "lang", "sizes", "words", "n_words", "codes", "n", "m"])
+
+    def gather(batches):
+        held, size, seen = {}, 0, 0
         for lang, words, at in _each_block(batches):
-            for k in range(2, max_words + 1):
-                live, key = screen.keys(lang, words, at, k)
-                live = live[screen.levels[k - 1].test(key)]
-                same = at[live]
-                for j in range(1, k):  # by the words themselves: hashes may be shared
-                    _, where, same = np.unique((same.astype(np.int64) << 32) | at[live + j], return_index=True, return_inverse=True)
-                live = live[where] if len(live) else live
-                parts = [words.take(pa.array(at[live + j] - 1)) for j in range(k)]
-                names = pc.binary_join_element_wise(*parts, " ")
-                for lo in range(0, len(names), 50_000):
-                    some = names.slice(lo, 50_000)
-                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(some), pa.string()), some], ["lang", "phrase"])
-
-    return blocks.mapInArrow(phrases, "lang string, phrase string").distinct()
+            got = of_block(lang, words, at)
+            if got is None:
+                continue
+            held.setdefault(lang, []).append(got)
+            size, seen = size + max(len(got[2]), got[0].nbytes // 16), seen + len(at)
+            if size >= HELD or seen >= 1 << 30:
+                for x in list(held):
+                    yield sent(x, held.pop(x))
+                size, seen = 0, 0
+        for x in list(held):
+            yield sent(x, held.pop(x))
+
+    return blocks.mapInArrow(gather, WINDOWS)
 
 
 # --- tries -------------------------------------------------------------------------------------
@@ -374,87 +472,88 @@ class Trie:
         lists = pc.split_pattern(phrases, " ")
         depth = np.diff(lists.offsets.to_numpy())
         of_phrase = np.repeat(np.arange(len(depth)), depth)
-        lang, word = langs.dictionary_encode(), lists.flatten().dictionary_encode()
-        lang_of = lang.indices.to_numpy(zero_copy_only=False).astype(np.int64)[of_phrase]
-        both = lang_of * len(word.dictionary) + word.indices.to_numpy(zero_copy_only=False)
+        lang = langs.dictionary_encode()
+        code = self._coded(lang.dictionary, lang.indices.to_numpy(zero_copy_only=False)[of_phrase], lists.flatten())
+        table = np.zeros((len(depth), int(depth.max())), np.int64)
+        table[of_phrase, np.arange(len(code)) - np.repeat(np.cumsum(depth) - depth, depth)] = code
+        self._place(table)
+
+    @classmethod
+    def of_windows(cls, langs: list[str], words: list[pa.Array], tables: list[np.ndarray]) -> tuple["Trie", np.ndarray]:
+        """The trie of all rows of ``tables`` (each of one language: numbers into its words from 1, and 0 past a window's
+        end), and the rows as codes."""
+        trie = cls.__new__(cls)
+        lang = pa.array(langs, pa.string()).dictionary_encode()
+        upto = np.cumsum([0] + [len(w) for w in words])
+        code = np.concatenate(([0], trie._coded(lang.dictionary, np.repeat(lang.indices.to_numpy(zero_copy_only=False), np.diff(upto)),
+                                                pa.concat_arrays(words)))).astype(np.int32)
+        table = np.concatenate([np.where(t > 0, code[t + lo], np.int32(0)) for t, lo in zip(tables, upto.tolist())])
+        trie._place(table)
+        return trie, table
+
+    def _coded(self, langs: pa.Array, lang_of: np.ndarray, words: pa.Array) -> np.ndarray:
+        """Codes of ``words`` of languages ``lang_of`` (indexes into ``langs``)."""
+        word = words.dictionary_encode()
+        both = lang_of.astype(np.int64) * len(word.dictionary) + word.indices.to_numpy(zero_copy_only=False)
         known, code = np.unique(both, return_inverse=True)
-        self.langs = lang.dictionary
+        self.langs = langs
         self.n_words = np.bincount(known // len(word.dictionary), minlength=len(self.langs))
         self.words = word.dictionary.take(pa.array(known % len(word.dictionary)))
-        table = np.zeros((len(depth), int(depth.max())), np.int64)
-        table[of_phrase, np.arange(len(code)) - np.repeat(np.cumsum(depth) - depth, depth)] = code + 1
-        trie = DoubleArray(len(known), int(depth.sum()))
-        node, self.state, base_of = np.zeros(len(depth), np.int64), np.zeros(len(depth), np.int32), len(known) + 1
+        return code + 1
+
+    def _place(self, table: np.ndarray) -> None:
+        """Place the rows of ``table`` (codes; 0: past the end)."""
+        depth = (table > 0).sum(1)
+        trie = DoubleArray(len(self.words), int(depth.sum()))
+        node, self.state, base_of = np.zeros(len(depth), np.int64), np.zeros(len(depth), np.int32), len(self.words) + 1
         for k in range(table.shape[1]):
             deep = np.flatnonzero(depth > k)
+            if not len(deep):
+                break
             nodes, node[deep] = np.unique(node[deep] * base_of + table[deep, k], return_inverse=True)
             states = trie.add_level(nodes // base_of, nodes % base_of)
             end = deep[depth[deep] == k + 1]
             self.state[end] = states[node[end]]
         self.base, self.check = trie.arrays()
 
-
-TRIES = ("shard int, langs array<string>, phrases array<string>, states array<int>, code_langs array<string>, code_n array<long>, "
-         "code_words array<string>, base binary, `check` binary")
-
-
-def build_tries(candidates: DataFrame, n_shards: int) -> DataFrame:
-    def build(t: pa.Table) -> pa.Table:
-        langs, phrases = t["lang"].combine_chunks().cast(pa.string()), t["phrase"].combine_chunks().cast(pa.string())
-        trie = Trie(langs, phrases)
-        one = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x if isinstance(x, pa.Array) else pa.array(x))
-        return pa.table({"shard": pa.array([t["shard"][0].as_py()], pa.int32()), "langs": one(langs), "phrases": one(phrases),
-                         "states": one(trie.state), "code_langs": one(trie.langs), "code_n": one(trie.n_words), "code_words": one(trie.words),
-                         "base": pa.array([trie.base.tobytes()], pa.binary()), "check": pa.array([trie.check.tobytes()], pa.binary())})
-
-    sharded = candidates.withColumn("shard", F.pmod(F.xxhash64("lang", "phrase"), F.lit(n_shards)).cast("int"))
-    return sharded.groupBy("shard").applyInArrow(build, TRIES)
-
-
-def _tries(rows: pa.Table) -> list[tuple[int, dict[str, tuple[int, pa.Array]], np.ndarray, np.ndarray]]:
-    """(shard, each language's (code before its first word, words), base, check) of rows of build_tries."""
-    out = []
-    for i in range(rows.num_rows):
-        cell = lambda c, i=i: rows[c][i]
-        upto = np.concatenate(([0], np.cumsum(cell("code_n").values.to_numpy()))).tolist()
-        words = cell("code_words").values
-        of_lang = {lang: (a, words.slice(a, b - a)) for lang, a, b in zip(cell("code_langs").as_py(), upto, upto[1:])}
-        out.append((cell("shard").as_py(), of_lang, np.frombuffer(cell("base").as_py(), np.int32), np.frombuffer(cell("check").as_py(), np.int32)))
-    return out
-
-
-def count_states(blocks: DataFrame, tries: pa.Table, scratch: Scratch) -> DataFrame:
-    """shard, state, a: how often the tries' states are reached, over all positions of all blocks. ``tries``: rows of build_tries."""
-    shared = scratch.broadcast(_tries(tries))
-
-    def walk(batches):
-        held = shared.value
-        seen = [np.zeros(len(base), np.int64) for _, _, base, _ in held]
-        for lang, words, at in _each_block(batches):
-            for (_, of_lang, base, check), total in zip(held, seen):
-                if lang not in of_lang:
-                    continue
-                before, known = of_lang[lang]
-                code = pc.fill_null(pc.index_in(words, value_set=known), -1).to_numpy().astype(np.int64)
-                code = np.concatenate(([0], np.where(code < 0, 0, code + before + 1)))[at]
-                # level 1: the root's children; then one word more at each level
-                live = np.flatnonzero((code > 0) & (check[code] == 0))
-                state = code[live]
-                while len(live):
-                    total += np.bincount(state, minlength=len(total))
-                    inside = live + 1 < len(code)
-                    live, state = live[inside] + 1, state[inside]
-                    step = base[state] + code[live]
-                    good = (code[live] > 0) & (check[step] == state)
-                    live, state = live[good], step[good]
-        for (shard, *_), total in zip(held, seen):
+    def counts(self, table: np.ndarray, n: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each length the (row that begins with the phrase, occurrences) of every phrase that begins rows of ``table``
+        (codes; 0: past the end); ``n``: how often each row counts."""
+        out = []
+        live, state = np.arange(len(table)), np.zeros(len(table), np.int64)
+        total, row = np.zeros(len(self.base), np.int64), np.zeros(len(self.base), np.int64)
+        for k in range(table.shape[1]):
+            step = self.base[state] + table[live, k]
+            good = (table[live, k] > 0) & (self.check[step] == state)
+            live, state = live[good], step[good]
+            total[:] = 0
+            np.add.at(total, state, n[live])
+            row[state] = live
             hit = np.flatnonzero(total)
-            for lo in range(0, len(hit), 100_000):
-                part = hit[lo:lo + 100_000]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), shard, np.int32)), pa.array(part.astype(np.int32)),
-                                                  pa.array(total[part])], ["shard", "state", "a"])
+            out.append((row[hit], total[hit]))
+        return out
+
 
-    return blocks.mapInArrow(walk, "shard int, state int, a long").groupBy("shard", "state").agg(F.sum("a").alias("a"))
+def counted_phrases(windows: DataFrame, max_words: int, min_count: int) -> DataFrame:
+    """lang, phrase, a: exact counts of all phrases of two words or more that begin a window, ``min_count`` at least."""
+    def count(t: pa.Table) -> pa.Table:
+        rows = t.drop_columns("shard").to_pylist()
+        trie, table = Trie.of_windows([r["lang"] for r in rows], [unpack_strings(r["sizes"], r["words"], r["n_words"]) for r in rows],
+                                      [unpack(r["codes"], max_words * r["m"]).reshape(max_words, -1).T.astype(np.int32) for r in rows])
+        n = np.concatenate([unpack(r["n"], r["m"]) for r in rows]).astype(np.int64)
+        del rows
+        lang_of = np.repeat(np.arange(len(trie.langs)), trie.n_words)
+        langs, names, a = [], [], []
+        for k, (row, total) in enumerate(trie.counts(table, n)):
+            if k:
+                often = total >= min_count
+                code = table[row[often], :k + 1] - 1
+                names.append(pc.binary_join_element_wise(*(trie.words.take(pa.array(code[:, j])) for j in range(k + 1)), " "))
+                langs.append(trie.langs.take(pa.array(lang_of[code[:, 0]])))
+                a.append(total[often])
+        return pa.table({"lang": pa.concat_arrays(langs), "phrase": pa.concat_arrays(names), "a": np.concatenate(a)})
+
+    return windows.groupBy("shard").applyInArrow(count, "lang string, phrase string, a long")
 
 
 # --- operator ----------------------------------------------------------------------------------
@@ -463,7 +562,6 @@ def count_phrases(blocks: DataFrame, words: DataFrame, scratch: Scratch, *, max_
                   shard_phrases: int, shard_bytes: int) -> DataFrame:
     """lang, phrase, a of all phrases of 2 to ``max_words`` words with at least ``min_count`` occurrences.
     ``words``: lang, phrase, a of the words with as many."""
-    spark = blocks.sparkSession
     total = blocks.agg(F.sum("n_at")).first()[0] or 0
     n_buckets = 1 << max(8, (total // 1_000_000).bit_length())  # a bucket holds some million positions
 
@@ -473,26 +571,16 @@ def count_phrases(blocks: DataFrame, words: DataFrame, scratch: Scratch, *, max_
             key = string_hashes(b.column(1)) ^ np.array([salt[x] for x in b.column(0).to_pylist()], np.uint64)
             yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64))], ["key"])
 
-    screen = Screen(n_buckets, Bitmap(words.count()).of(words.select("lang", "phrase").mapInArrow(word_keys, "key long"), scratch))
+    n_words, occurrences, size = words.agg(F.count(F.lit(1)), F.sum("a"), F.sum(F.col("a") * F.octet_length("phrase"))).first()
+    screen = Screen(n_buckets, Bitmap(n_words).of(words.select("lang", "phrase").mapInArrow(word_keys, "key long"), scratch))
+    n_phrases = n_bytes = 0
     for k in range(2, max_words + 1):
         passed = scratch.written(survivors(blocks, screen, k, n_buckets, min_count))
-        screen.levels.append(Bitmap(passed.count()).of(passed, scratch))
-    candidates = scratch.written(listed(blocks, screen, max_words))
-    n, size = candidates.agg(F.count(F.lit(1)), F.sum(F.octet_length("phrase"))).first()
-    n_shards = max(1, -(-n // shard_phrases), -(-(size or 0) // shard_bytes))
-    tries = scratch.written(build_tries(candidates, n_shards))
-    names = tries.select("shard", F.explode(F.arrays_zip("langs", "phrases", "states")).alias("x")).select(
-        "shard", F.col("x.langs").alias("lang"), F.col("x.phrases").alias("phrase"), F.col("x.states").alias("state"))
-    counts = None
-    for lo in range(0, n_shards if n else 0, TRIES_AT_ONCE):
-        some = tries.filter(F.col("shard").between(lo, lo + TRIES_AT_ONCE - 1)).drop("langs", "phrases", "states").toArrow()
-        if some.num_rows:
-            got = scratch.written(count_states(blocks, some, scratch))
-            scratch.held.pop().destroy()
-            counts = got if counts is None else counts.unionByName(got)
-    if counts is None:
-        return spark.createDataFrame([], "lang string, phrase string, a long")
-    return scratch.written(counts.filter(F.col("a") >= min_count).join(names, ["shard", "state"]).select("lang", "phrase", "a"))
+        n = passed.count()
+        screen.levels.append(Bitmap(n).of(passed, scratch))
+        n_phrases, n_bytes = n_phrases + n, n_bytes + n * k * (1 + (size or 0) // (occurrences or 1))
+    n_shards = max(1, -(-n_phrases // shard_phrases), -(-n_bytes // shard_bytes), -(-total // SHARD_POSITIONS))
+    return scratch.written(counted_phrases(windows(blocks, screen, max_words, n_shards), max_words, min_count))
 
 
 def scored(phrases: DataFrame, words: DataFrame, max_words: int) -> DataFrame:
@@ -538,8 +626,11 @@ def collocations(docs: DataFrame, *, max_words: int = 3, min_count: int = 10, sh
                             shard_bytes=shard_bytes)
     best = (scored(phrases, words, max_words).join(contained(phrases), ["lang", "phrase"], "left")
             .filter(F.col("longer").isNull() | (100 * F.col("longer") < share * F.col("a"))))
-    order = W.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
-    ranked = best.withColumn("rank", F.row_number().over(order).cast("long"))
+    first = [F.desc("score"), F.desc("a"), F.asc("phrase")]
+    if per_lang is not None:  # the first of each part, so that no task orders all phrases of a language
+        part = W.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(RANK_PARTS))).orderBy(*first)
+        best = best.withColumn("rank", F.row_number().over(part)).filter(F.col("rank") <= per_lang)
+    ranked = best.withColumn("rank", F.row_number().over(W.partitionBy("lang").orderBy(*first)).cast("long"))
     if per_lang is not None:
         ranked = ranked.filter(F.col("rank") <= per_lang)
     result = Scratch(docs.sparkSession, "collocations-out").written(

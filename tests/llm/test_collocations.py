@@ -131,3 +131,54 @@ def test_odd_rows(odd, odd_rows, nothing):
     assert C.collocations(nothing).count() == 0
     blank = odd.withColumn("text", F.lit(" \n"))
     assert C.collocations(blank).count() == 0
+
+
+def test_no_more_passes_with_more_shards(spark, monkeypatch):
+    # the blocks were gone through once for every two tries
+    written, n = C.Scratch.written, []
+    monkeypatch.setattr(C.Scratch, "written", lambda self, df: n.append(1) or written(self, df))
+    rows = some_rows(random.Random(11), 60)
+    df, want, tables = spark.createDataFrame(rows, "lang string, text string").coalesce(2), brute(rows, min_count=2), []
+    for shard_phrases in (250_000, 3):
+        n.clear()
+        assert got(C.collocations(df, min_count=2, shard_phrases=shard_phrases)) == want
+        tables.append(len(n))
+    assert tables[0] == tables[1]
+
+
+def test_what_tasks_hold_does_not_matter(spark, monkeypatch):
+    monkeypatch.setattr(C, "HELD", 50)
+    monkeypatch.setattr(C, "RANK_PARTS", 3)
+    rows = some_rows(random.Random(12))
+    df = spark.createDataFrame(rows, "lang string, text string").coalesce(1)
+    assert got(C.collocations(df, block_bytes=300, min_count=3, max_words=4, per_lang=30)) == brute(rows, 4, 3, per_lang=30)
+
+
+@pytest.mark.parametrize("top", [3, 1 << 30])
+def test_distinct_rows(top):
+    rnd = np.random.default_rng(13)
+    cols, n = [rnd.choice([0, 1, top], 500) for _ in range(4)], rnd.integers(1, 9, 500)
+    want = Counter()
+    for *row, a in zip(*(c.tolist() for c in cols), n.tolist()):
+        want[tuple(row)] += a
+    some, a = C._distinct(cols, n)
+    assert list(zip(zip(*(c.tolist() for c in some)), a.tolist())) == sorted(want.items())
+
+
+def test_counts_of_beginnings():
+    # two languages, words in other orders, windows that come twice and begin others
+    words = [pa.array(["a", "b", "c"]), pa.array(["c", "a"]), pa.array(["a", "b"])]
+    tables = [np.array([[1, 2, 3], [1, 2, 0], [2, 3, 0]], np.int32), np.array([[2, 1, 2]], np.int32), np.array([[1, 2, 0], [2, 1, 1]], np.int32)]
+    langs, n = ["en", "en", "de"], [4, 3, 10**13, 2, 7, 1]
+    trie, table = C.Trie.of_windows(langs, words, tables)
+    want = Counter()
+    for (lang, row), a in zip([(x, r) for x, w, t in zip(langs, words, tables) for r in [[w[i - 1].as_py() for i in r if i] for r in t.tolist()]], n):
+        for k in range(1, len(row) + 1):
+            want[(lang, *row[:k])] += a
+    lang_of = np.repeat(trie.langs.to_pylist(), trie.n_words)
+    found = {}
+    for k, (row, total) in enumerate(trie.counts(table, np.array(n)), 1):
+        for r, a in zip(row.tolist(), total.tolist()):
+            code = table[r, :k] - 1
+            found[(str(lang_of[code[0]]), *(trie.words[int(c)].as_py() for c in code))] = a
+    assert found == want
